@@ -1,6 +1,6 @@
 """Every operator bound to the given tables."""
 
 from ..registry import ORACLES, QUERIES
-from . import expression, merging, quality, summary  # noqa: F401
+from . import expression, merging, quality, space, summary  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

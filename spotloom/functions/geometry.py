@@ -69,17 +69,13 @@ def ring_bounds(edges: Column) -> Column:
     )
 
 
-def in_bounds(x: Column, y: Column, bounds: Column) -> Column:
-    return x.between(bounds["x0"], bounds["x1"]) & y.between(bounds["y0"], bounds["y1"])
-
-
-def _crosses(e: Column, x: Column, y: Column) -> Column:
+def crosses(e: Column, x: Column, y: Column) -> Column:
     spans = (e["y1"] > y) != (e["y2"] > y)
     slope = F.try_divide((e["x2"] - e["x1"]) * (y - e["y1"]), e["y2"] - e["y1"])
     return spans & (x < slope + e["x1"])
 
 
-def _touches(e: Column, x: Column, y: Column) -> Column:
+def touches(e: Column, x: Column, y: Column) -> Column:
     cross = (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
     return (
         (cross == 0)
@@ -91,8 +87,8 @@ def _touches(e: Column, x: Column, y: Column) -> Column:
 def contains(edges: Column, x: Column, y: Column) -> Column:
     """Strict containment: a point on the boundary is outside."""
     x, y = as_double(x), as_double(y)
-    crossings = F.size(F.filter(edges, lambda e: _crosses(e, x, y)))
-    on_edge = F.exists(edges, lambda e: _touches(e, x, y))
+    crossings = F.size(F.filter(edges, lambda e: crosses(e, x, y)))
+    on_edge = F.exists(edges, lambda e: touches(e, x, y))
     return (crossings % 2 == 1) & ~on_edge
 
 
@@ -140,78 +136,28 @@ def ring_wkt(ring: Column) -> Column:
     return F.concat(F.lit("POLYGON (("), F.array_join(pairs, ", "), F.lit("))"))
 
 
-def buffer_edges(edges: Column) -> Column:
-    """Edges with unit direction, length, outward normal and the corner at their end.
-
-    ``turn`` is positive where the corner sticks out of the polygon.
-    """
-    sign = F.when(signed_area(edges) >= 0, 1.0).otherwise(-1.0)
-
-    def unit(e: Column) -> Column:
-        length = F.sqrt(F.pow(e["x2"] - e["x1"], 2) + F.pow(e["y2"] - e["y1"], 2))
-        return F.struct(
-            e["x1"].alias("x1"),
-            e["y1"].alias("y1"),
-            e["x2"].alias("x2"),
-            e["y2"].alias("y2"),
-            length.alias("len"),
-            ((e["x2"] - e["x1"]) / length).alias("ux"),
-            ((e["y2"] - e["y1"]) / length).alias("uy"),
-        )
-
-    real = F.filter(edges, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
-    units = F.transform(real, unit)
-    following = F.concat(F.slice(units, F.lit(2), F.size(units) - 1), F.slice(units, 1, 1))
-    return F.zip_with(
-        units,
-        following,
-        lambda e, f: F.struct(
-            *[e[k].alias(k) for k in ("x1", "y1", "x2", "y2", "len", "ux", "uy")],
-            (sign * e["uy"]).alias("nx"),
-            (-sign * e["ux"]).alias("ny"),
-            f["ux"].alias("vx"),
-            f["uy"].alias("vy"),
-            (sign * (e["uy"] + f["uy"])).alias("sx"),
-            (-sign * (e["ux"] + f["ux"])).alias("sy"),
-            (sign * (e["ux"] * f["uy"] - e["uy"] * f["ux"])).alias("turn"),
-        ),
-    )
-
-
-def buffer_distance(edges: Column, x: Column, y: Column, inside: Column) -> Column:
-    """Smallest buffer width whose polygon reaches the point; negative inside.
+def buffer_reach(e: Column, x: Column, y: Column, side: float) -> Column:
+    """Buffer width at which this edge, or the corner at its end, reaches the point.
 
-    Corners are bevelled: within the wedge of a corner the offset polygon is cut
-    straight between the two offset edges, so the width that reaches a point there
-    is 2 (p - v).(n1 + n2) / |n1 + n2|^2. ``edges`` comes from ``buffer_edges``.
+    ``side`` is 1 for points outside the polygon and -1 for points inside; NULL if
+    neither covers the point. Corners are bevelled: within the wedge of a corner
+    the offset polygon is cut straight between the two offset edges, so the width
+    that reaches a point there is 2 (p - v).(n1 + n2) / |n1 + n2|^2.
     """
-    x, y = as_double(x), as_double(y)
-    side = F.when(inside, -1.0).otherwise(1.0)
-
-    def reach(e: Column) -> Column:
-        along = (x - e["x1"]) * e["ux"] + (y - e["y1"]) * e["uy"]
-        away = side * ((x - e["x1"]) * e["nx"] + (y - e["y1"]) * e["ny"])
-        flat = F.when(along.between(F.lit(0.0), e["len"]) & (away >= 0), away)
-        past = (x - e["x2"]) * e["ux"] + (y - e["y2"]) * e["uy"] >= 0
-        before = (x - e["x2"]) * e["vx"] + (y - e["y2"]) * e["vy"] <= 0
-        lean = side * ((x - e["x2"]) * e["sx"] + (y - e["y2"]) * e["sy"])
-        cut = F.try_divide(2 * lean, e["sx"] * e["sx"] + e["sy"] * e["sy"])
-        corner = F.when(past & before & (side * e["turn"] > 0) & (lean >= 0), cut)
-        return F.least(flat, corner)
-
-    return side * F.array_min(F.transform(edges, reach))
-
-
-def boundary_distance(edges: Column, x: Column, y: Column, inside: Column) -> Column:
-    """Euclidean distance to the boundary (round corners); negative inside."""
-    x, y = as_double(x), as_double(y)
-
-    def gap(e: Column) -> Column:
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        t = F.coalesce(
-            F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy), F.lit(0.0)
-        )
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
-        return F.sqrt(F.pow(x - e["x1"] - t * dx, 2) + F.pow(y - e["y1"] - t * dy, 2))
-
-    return F.when(inside, -1.0).otherwise(1.0) * F.array_min(F.transform(edges, gap))
+    along = (x - e["x1"]) * e["ux"] + (y - e["y1"]) * e["uy"]
+    away = side * ((x - e["x1"]) * e["nx"] + (y - e["y1"]) * e["ny"])
+    flat = F.when(along.between(F.lit(0.0), e["len"]) & (away >= 0), away)
+    past = (x - e["x2"]) * e["ux"] + (y - e["y2"]) * e["uy"] >= 0
+    before = (x - e["x2"]) * e["vx"] + (y - e["y2"]) * e["vy"] <= 0
+    lean = side * ((x - e["x2"]) * e["sx"] + (y - e["y2"]) * e["sy"])
+    cut = F.try_divide(2 * lean, e["sx"] * e["sx"] + e["sy"] * e["sy"])
+    corner = F.when(past & before & (side * e["turn"] > 0) & (lean >= 0), cut)
+    return F.least(flat, corner)
+
+
+def segment_gap(e: Column, x: Column, y: Column) -> Column:
+    """Euclidean distance from a point to an edge."""
+    dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+    t = F.try_divide((x - e["x1"]) * dx + (y - e["y1"]) * dy, dx * dx + dy * dy)
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(t, F.lit(0.0))))
+    return F.sqrt(F.pow(x - e["x1"] - t * dx, 2) + F.pow(y - e["y1"] - t * dy, 2))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from .merge import proportions
 
 
 def threshold_abundance(long: DataFrame, threshold: float, value: str = "n") -> DataFrame:
@@ -15,11 +16,12 @@ def threshold_abundance(long: DataFrame, threshold: float, value: str = "n") ->
 
 def non_empty_types(long: DataFrame, value: str = "n") -> DataFrame:
     """Types with cells, plus the number of distinct types and cells of their spot."""
-    kept = long.filter(F.col(value) > 0)
-    totals = kept.groupBy("barcode").agg(
-        F.count("*").alias("distinct_cell_types"), F.sum(value).alias("cell_n")
+    types = Window.partitionBy("barcode")
+    return long.filter(F.col(value) > 0).select(
+        "*",
+        F.count("*").over(types).alias("distinct_cell_types"),
+        F.sum(value).over(types).alias("cell_n"),
     )
-    return kept.join(totals, "barcode")
 
 
 def type_distribution(long: DataFrame, value: str = "n") -> DataFrame:
@@ -74,10 +76,4 @@ def counts_from_abundance(
 ) -> DataFrame:
     """Threshold, normalise per spot and apportion over the cells inside the spot."""
     kept = threshold_abundance(abundance, threshold, "abundance")
-    totals = kept.groupBy("barcode").agg(F.sum("abundance").alias("_t"))
-    shares = kept.join(totals, "barcode").select(
-        "barcode",
-        "cell_type",
-        F.coalesce(ratio(F.col("abundance"), F.col("_t")), F.lit(0.0)).alias("proportion"),
-    )
-    return apportion_by_rank(shares, cells)
+    return apportion_by_rank(proportions(kept, value="abundance"), cells)

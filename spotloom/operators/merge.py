@@ -30,13 +30,12 @@ def fill_cell_type(col: Column) -> Column:
 def proportions(long: DataFrame, key: str = "barcode", value: str = "n") -> DataFrame:
     """Share of each type within its key; a key without any count gets zeros.
 
-    The totals are folded before the join back, so a hot key is never sorted.
+    ``long`` has one row per key and type, so a window group is at most as long as
+    the list of types.
     """
-    totals = long.groupBy(key).agg(F.sum(value).alias("_total"))
-    return long.join(totals, key).select(
-        *long.columns,
-        F.coalesce(ratio(F.col(value), F.col("_total")), F.lit(0.0)).alias("proportion"),
-    )
+    total = F.sum(value).over(Window.partitionBy(key))
+    share = F.coalesce(ratio(F.col(value), total), F.lit(0.0))
+    return long.select("*", share.alias("proportion"))
 
 
 def wide_types(long: DataFrame, types: Sequence[str], value: str, key: str = "barcode") -> DataFrame:

@@ -23,57 +23,53 @@ def _bucket(value: Column, size: Column) -> Column:
     return F.floor(value / size)
 
 
+BOX = ("_x0", "_y0", "_x1", "_y1")
+
+
 def box_join(
     points: DataFrame,
     boxes: DataFrame,
     x: str,
     y: str,
-    box: Column,
     unit: float,
     how: str = "inner",
     salt: int = SALT,
 ) -> DataFrame:
     """Pairs of points and boxes that contain them (bounds inclusive).
 
-    ``box`` is a struct (x0, y0, x1, y1) over the columns of ``boxes``. With
-    ``how='left'`` a point comes back once with NULLs for every level of box
-    sizes at which no box shares its bucket and salt.
+    ``boxes`` carries its bounds in the columns of ``BOX``. With ``how='left'`` a
+    point without a box in its bucket comes back with NULLs, once per box size.
     """
-    sized = boxes.withColumn("_box", box)
     extent = F.greatest(
-        F.col("_box.x1") - F.col("_box.x0"), F.col("_box.y1") - F.col("_box.y0"), F.lit(unit)
+        F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(float(unit))
     )
-    level = F.ceil(F.log2(extent / unit) - 1e-12).cast("int")
-    sized = sized.withColumn("_level", level).withColumn("_size", F.pow(F.lit(2.0), "_level") * unit)
+    sized = boxes.withColumn("_level", F.ceil(F.log2(extent / unit) - 1e-12).cast("int"))
     levels = sized.agg(F.collect_set("_level")).scalar()
+    size = F.pow(F.lit(2.0), F.col("_level")) * unit
 
     def span(low: str, high: str) -> Column:
-        return F.sequence(
-            _bucket(F.col(f"_box.{low}"), F.col("_size")),
-            _bucket(F.col(f"_box.{high}"), F.col("_size")),
-        )
+        return F.explode(F.sequence(_bucket(F.col(low), size), _bucket(F.col(high), size)))
 
     filed = (
-        sized.withColumn("_bx", F.explode(span("x0", "x1")))
-        .withColumn("_by", F.explode(span("y0", "y1")))
+        sized.withColumn("_bx", span("_x0", "_x1"))
+        .withColumn("_by", span("_y0", "_y1"))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        .drop("_size")
     )
     explode = F.explode_outer if how == "left" else F.explode
     probing = (
         points.withColumn("_level", explode(levels))
-        .withColumn("_cell", F.pow(F.lit(2.0), "_level") * unit)
-        .withColumn("_bx", _bucket(F.col(x), F.col("_cell")))
-        .withColumn("_by", _bucket(F.col(y), F.col("_cell")))
+        .withColumn("_bx", _bucket(F.col(x), size))
+        .withColumn("_by", _bucket(F.col(y), size))
         .withColumn("_salt", F.pmod(F.xxhash64(x, y), F.lit(salt)).cast("int"))
-        .drop("_cell")
     )
     keys = ["_level", "_bx", "_by", "_salt"]
     joined = probing.join(filed, keys, how).drop(*keys)
-    hit = geo.in_bounds(F.col(x), F.col(y), F.col("_box"))
+    hit = F.col(x).between(F.col("_x0"), F.col("_x1")) & F.col(y).between(
+        F.col("_y0"), F.col("_y1")
+    )
     if how == "left":
-        return joined.withColumn("_hit", F.coalesce(hit, F.lit(False))).drop("_box")
-    return joined.filter(hit).drop("_box")
+        return joined.withColumn("_hit", F.coalesce(hit, F.lit(False))).drop(*BOX)
+    return joined.filter(hit).drop(*BOX)
 
 
 def assign_cells_to_spots(
@@ -83,19 +79,19 @@ def assign_cells_to_spots(
 
     Where spots overlap the one with the largest ``order`` wins.
     """
+    cx = F.col("pxl_col_in_fullres").cast("double")
+    cy = F.col("pxl_row_in_fullres").cast("double")
     centres = spots.select(
         F.col("barcode").alias("_spot"),
         F.col(order).alias("_order"),
-        F.col("pxl_col_in_fullres").cast("double").alias("_cx"),
-        F.col("pxl_row_in_fullres").cast("double").alias("_cy"),
-    )
-    box = F.struct(
-        (F.col("_cx") - radius).alias("x0"),
-        (F.col("_cy") - radius).alias("y0"),
-        (F.col("_cx") + radius).alias("x1"),
-        (F.col("_cy") + radius).alias("y1"),
+        cx.alias("_cx"),
+        cy.alias("_cy"),
+        (cx - radius).alias("_x0"),
+        (cy - radius).alias("_y0"),
+        (cx + radius).alias("_x1"),
+        (cy + radius).alias("_y1"),
     )
-    near = box_join(cells, centres, "cell_x", "cell_y", box, 2 * radius, "left")
+    near = box_join(cells, centres, "cell_x", "cell_y", 2 * radius, "left")
     inside = F.col("_hit") & geo.in_buffered_point(
         F.col("cell_x") - F.col("_cx"), F.col("cell_y") - F.col("_cy"), radius
     )
@@ -195,20 +191,95 @@ def tissue_box(
     )
 
 
-def with_edges(regions: DataFrame) -> DataFrame:
-    """Regions with edge arrays and bounds; later duplicates of a name win upstream."""
-    edged = regions.withColumn("edges", geo.ring_edges(F.col("ring")))
-    return edged.withColumn("bounds", geo.ring_bounds(F.col("edges")))
+def region_edges(regions: DataFrame) -> DataFrame:
+    """One row per edge: end points, unit direction, outward normal, corner at its end.
+
+    ``turn`` is positive where that corner sticks out of the polygon. A ring may
+    repeat its first point at the end.
+    """
+    keys = ["region_class", "region_name"]
+    corners = regions.select(*keys, F.posexplode(geo.open_ring(F.col("ring"))).alias("i", "_p"))
+    ordered = Window.partitionBy(*keys).orderBy("i")
+    whole = Window.partitionBy(*keys)
+
+    def following(c: str) -> Column:
+        return F.coalesce(F.lead(c).over(ordered), F.first(c).over(ordered))
+
+    flat = corners.select(
+        *keys, "i", F.col("_p.x").cast("double").alias("x1"), F.col("_p.y").cast("double").alias("y1")
+    )
+    edges = flat.select(
+        "*", following("x1").alias("x2"), following("y1").alias("y2")
+    ).filter("x1 != x2 or y1 != y2")
+    length = F.sqrt(F.pow(F.col("x2") - F.col("x1"), 2) + F.pow(F.col("y2") - F.col("y1"), 2))
+    twice_area = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")).over(whole)
+    directed = edges.select(
+        "*",
+        length.alias("len"),
+        ((F.col("x2") - F.col("x1")) / length).alias("ux"),
+        ((F.col("y2") - F.col("y1")) / length).alias("uy"),
+        F.when(twice_area >= 0, 1.0).otherwise(-1.0).alias("sign"),
+    )
+    turned = directed.select("*", following("ux").alias("vx"), following("uy").alias("vy"))
+    sign = F.col("sign")
+    return turned.select(
+        "*",
+        (sign * F.col("uy")).alias("nx"),
+        (-sign * F.col("ux")).alias("ny"),
+        (sign * (F.col("uy") + F.col("vy"))).alias("sx"),
+        (-sign * (F.col("ux") + F.col("vx"))).alias("sy"),
+        (sign * (F.col("ux") * F.col("vy") - F.col("uy") * F.col("vx"))).alias("turn"),
+    )
+
+
+WALL = ["i", "x1", "y1", "x2", "y2", "len", "ux", "uy", "nx", "ny", "vx", "vy", "sx", "sy", "turn"]
+
+
+def with_edges(regions: DataFrame, reach: float = 0.0) -> DataFrame:
+    """(region_class, region_name, edges, bounds widened by ``reach``).
+
+    A group per polygon: its size is the number of corners someone drew.
+    """
+    return region_edges(regions).groupBy("region_class", "region_name").agg(
+        F.sort_array(F.collect_list(F.struct(*WALL))).alias("edges"),
+        (F.min("x1") - reach).alias("_x0"),
+        (F.min("y1") - reach).alias("_y0"),
+        (F.max("x1") + reach).alias("_x1"),
+        (F.max("y1") + reach).alias("_y1"),
+    )
+
+
+def _over_edges(near: DataFrame, key: str, *aggs: Column) -> DataFrame:
+    """Fold the edges of every (point, region) pair.
+
+    The edges are unfolded in place and folded back by a hash aggregation. That
+    stays in generated code, and the map side already merges the edges of a pair,
+    so only one row per pair is shuffled.
+    """
+    keys = ["region_class", "region_name", key]
+    rest = [c for c in near.columns if c not in [*keys, "edges"]]
+    rows = near.select(*keys, *rest, F.explode("edges").alias("_e"))
+    return rows.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in rest], *aggs)
+
+
+def _inside_aggs(x: Column, y: Column) -> list[Column]:
+    e = F.col("_e")
+    return [
+        F.count_if(geo.crosses(e, x, y)).alias("_crossings"),
+        F.count_if(geo.touches(e, x, y)).alias("_touching"),
+    ]
+
+
+INSIDE = "_crossings % 2 = 1 and _touching = 0"
 
 
 def region_members(
-    points: DataFrame, regions: DataFrame, x: str, y: str, unit: float = 256.0
+    points: DataFrame, regions: DataFrame, key: str, x: str, y: str, unit: float = 256.0
 ) -> DataFrame:
     """(region_class, region_name, point columns) of points strictly inside."""
-    edged = with_edges(regions).drop("ring")
-    near = box_join(points, edged, x, y, F.col("bounds"), unit)
-    inside = geo.contains(F.col("edges"), F.col(x), F.col(y))
-    return near.filter(inside).drop("edges", "bounds")
+    near = box_join(points, with_edges(regions), x, y, unit)
+    scanned = _over_edges(near, key, *_inside_aggs(F.col(x), F.col(y)))
+    return scanned.filter(INSIDE).drop("_crossings", "_touching")
 
 
 def region_sizes(
@@ -217,12 +288,12 @@ def region_sizes(
     """Cells and spots per region; regions with fewer than two spots are dropped."""
     keys = ["region_class", "region_name"]
     per_cell = (
-        region_members(cells, regions, "cell_x", "cell_y")
+        region_members(cells, regions, "cell_ids", "cell_x", "cell_y")
         .groupBy(*keys)
         .agg(F.count("*").alias("num_cells"))
     )
     per_spot = (
-        region_members(spots, regions, "pxl_col_in_fullres", "pxl_row_in_fullres")
+        region_members(spots, regions, "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres")
         .groupBy(*keys)
         .agg(F.count("*").alias("num_spots"))
         .filter(F.col("num_spots") >= min_spots)
@@ -259,26 +330,22 @@ def infiltration_levels(
     until nothing is left. A point on a buffer's boundary is outside that buffer.
     """
     reach = float(levels * step)
-    edged = with_edges(regions).drop("ring")
-    edged = edged.withColumn("walls", geo.buffer_edges(F.col("edges")))
-    wide = F.struct(
-        (F.col("bounds.x0") - reach).alias("x0"),
-        (F.col("bounds.y0") - reach).alias("y0"),
-        (F.col("bounds.x1") + reach).alias("x1"),
-        (F.col("bounds.y1") + reach).alias("y1"),
-    )
     kept = cells.filter(F.col("cell_type") != NOT_DECONVOLVED)
-    near = box_join(kept, edged, "cell_x", "cell_y", wide, unit)
+    near = box_join(kept, with_edges(regions, reach), "cell_x", "cell_y", unit)
     x, y = F.col("cell_x"), F.col("cell_y")
-    inside = geo.contains(F.col("edges"), x, y)
+    e = F.col("_e")
     if join_style == "bevel":
-        distance = geo.buffer_distance(F.col("walls"), x, y, inside)
+        outer, inner = geo.buffer_reach(e, x, y, 1.0), geo.buffer_reach(e, x, y, -1.0)
     else:
-        distance = geo.boundary_distance(F.col("edges"), x, y, inside)
-    placed = near.withColumn("_d", F.round(distance, 9)).filter(F.col("_d") < reach)
+        outer = inner = geo.segment_gap(e, x, y)
+    scanned = _over_edges(
+        near, "cell_ids", *_inside_aggs(x, y), F.min(outer).alias("_out"), F.min(inner).alias("_in")
+    )
+    distance = F.when(F.expr(INSIDE), -F.col("_in")).otherwise(F.col("_out"))
+    placed = scanned.withColumn("_d", F.round(distance, 9)).filter(F.col("_d") < reach)
     return placed.withColumn(
         "infilt_level", ((F.floor(F.col("_d") / step) + 1) * step).cast("int")
-    ).drop("edges", "bounds", "walls", "_d")
+    ).drop("_crossings", "_touching", "_out", "_in", "_d")
 
 
 def infiltration_table(levels: DataFrame, spot_diameter: float, step: int) -> DataFrame:
@@ -286,15 +353,15 @@ def infiltration_table(levels: DataFrame, spot_diameter: float, step: int) -> Da
     counts = levels.groupBy("region_class", "region_name", "infilt_level", "cell_type").agg(
         F.count("*").alias("abundance")
     )
-    keys = ["region_class", "region_name", "infilt_level"]
-    totals = counts.groupBy(*keys).agg(F.sum("abundance").alias("_t"))
+    types_of_level = Window.partitionBy("region_class", "region_name", "infilt_level")
+    counts = counts.withColumn("_t", F.sum("abundance").over(types_of_level))
 
     def micron(px: Column) -> Column:
         value = px * (65.0 / spot_diameter)
         return F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value)).cast("int")
 
     upper, lower = micron(F.col("infilt_level")), micron(F.col("infilt_level") - step)
-    return counts.join(totals, keys).select(
+    return counts.select(
         "region_class",
         "region_name",
         F.col("infilt_level").alias("level"),
@@ -342,35 +409,43 @@ def infiltration_test(table: DataFrame, buffer: bool = True) -> DataFrame:
 
     With ``buffer`` the band up to the gap between the type's two outermost levels
     is left out on both sides of the boundary. Types seen at fewer than two levels
-    and regions with an empty side give z = 0.
+    and regions with an empty side give z = 0. ``table`` is already counted, so a
+    region has at most levels x types rows.
     """
     keys = ["region_class", "region_name"]
-    by_type = table.groupBy(*keys, "cell_type").agg(
-        F.sort_array(F.collect_set("level"), asc=False).alias("_levels")
+    mine = table.groupBy(*keys, "cell_type").agg(
+        F.collect_list(F.struct("level", "abundance")).alias("_mine")
     )
-    gap = (F.get("_levels", F.lit(0)) - F.get("_levels", F.lit(1))) if buffer else F.lit(0)
-    gapped = by_type.select(*keys, "cell_type", gap.alias("gap"))
-    level_rows = table.groupBy(*keys, "level").agg(F.sum("abundance").alias("all_cells"))
-    typed = table.select(*keys, "level", F.col("cell_type").alias("_t"), "abundance")
-    joined = (
-        gapped.join(level_rows, keys)
-        .join(typed.withColumnRenamed("_t", "cell_type"), [*keys, "level", "cell_type"], "left")
-        .na.fill(0, ["abundance"])
+    levels = F.sort_array(F.transform("_mine", lambda r: r["level"]), asc=False)
+    gap = (F.get(levels, F.lit(0)) - F.get(levels, F.lit(1))) if buffer else F.lit(0)
+    of_region = Window.partitionBy(*keys)
+    rows = mine.select(
+        *keys,
+        "cell_type",
+        "_mine",
+        gap.alias("gap"),
+        F.flatten(F.collect_list("_mine").over(of_region)).alias("_all"),
     )
-    within, outside = F.col("level") <= -F.col("gap"), F.col("level") > F.col("gap")
 
-    def total(cond: Column, c: str) -> Column:
-        return F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0)).cast("double")
+    def total(array: str, within: bool) -> Column:
+        def side(r: Column) -> Column:
+            return r["level"] <= -F.col("gap") if within else r["level"] > F.col("gap")
 
-    sums = joined.groupBy(*keys, "cell_type").agg(
-        total(within, "abundance").alias("x1"),
-        total(outside, "abundance").alias("x2"),
-        total(within, "all_cells").alias("n1"),
-        total(outside, "all_cells").alias("n2"),
+        return F.aggregate(
+            F.filter(array, side), F.lit(0.0), lambda acc, r: acc + r["abundance"]
+        )
+
+    sums = rows.select(
+        *keys,
+        "cell_type",
+        total("_mine", True).alias("x1"),
+        total("_mine", False).alias("x2"),
+        total("_all", True).alias("n1"),
+        total("_all", False).alias("n2"),
     )
     pooled = F.try_divide(F.col("x1") + F.col("x2"), F.col("n1") + F.col("n2"))
     inverse = F.try_divide(F.lit(1.0), F.col("n1")) + F.try_divide(F.lit(1.0), F.col("n2"))
-    gap = F.try_divide(F.col("x1"), F.col("n1")) - F.try_divide(F.col("x2"), F.col("n2"))
-    z = F.try_divide(gap, F.sqrt(pooled * (1 - pooled) * inverse))
+    lead = F.try_divide(F.col("x1"), F.col("n1")) - F.try_divide(F.col("x2"), F.col("n2"))
+    z = F.try_divide(lead, F.sqrt(pooled * (1 - pooled) * inverse))
     usable = (F.col("n1") > 0) & (F.col("n2") > 0)
     return sums.withColumn("z", F.when(usable, z).otherwise(F.lit(0.0)))

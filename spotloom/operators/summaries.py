@@ -90,10 +90,8 @@ def spot_probability(cells: DataFrame, type_col: str = "cell_type") -> DataFrame
         .groupBy("barcode", F.col(type_col).alias("cell_type"))
         .agg(F.count("*").alias("n"))
     )
-    totals = counts.groupBy("barcode").agg(F.sum("n").alias("_t"))
-    return counts.join(totals, "barcode").select(
-        "barcode", "cell_type", ratio(F.col("n"), F.col("_t")).alias("p_spot")
-    )
+    total = F.sum("n").over(Window.partitionBy("barcode"))
+    return counts.select("barcode", "cell_type", ratio(F.col("n"), total).alias("p_spot"))
 
 
 def cluster_probability(cells: DataFrame, p_spot: DataFrame) -> DataFrame:
@@ -111,10 +109,8 @@ def cluster_probability(cells: DataFrame, p_spot: DataFrame) -> DataFrame:
         .groupBy("cluster_name", "cell_type")
         .agg(F.sum(F.col("w") * F.col("p_spot")).alias("s"))
     )
-    totals = sums.groupBy("cluster_name").agg(F.sum("s").alias("_t"))
-    return sums.join(totals, "cluster_name").select(
-        "cluster_name", "cell_type", ratio(F.col("s"), F.col("_t")).alias("p_cluster")
-    )
+    total = F.sum("s").over(Window.partitionBy("cluster_name"))
+    return sums.select("cluster_name", "cell_type", ratio(F.col("s"), total).alias("p_cluster"))
 
 
 def combined_probability(
@@ -132,9 +128,9 @@ def combined_probability(
         .join(p_cluster, ["cluster_name", "cell_type"], "left")
         .withColumn("w", F.coalesce(F.col("p_cluster"), F.lit(0.0)) * F.col("p_spot"))
     )
-    totals = joint.groupBy("barcode", "cluster_name").agg(F.sum("w").alias("_t"))
-    return joint.join(totals, ["barcode", "cluster_name"]).select(
-        "barcode", "cluster_name", "cell_type", ratio(F.col("w"), F.col("_t")).alias("p_combined")
+    total = F.sum("w").over(Window.partitionBy("barcode", "cluster_name"))
+    return joint.select(
+        "barcode", "cluster_name", "cell_type", ratio(F.col("w"), total).alias("p_combined")
     )
 
 

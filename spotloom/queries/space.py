@@ -185,7 +185,7 @@ def space_tissue_box(spark, sf):
 )
 def space_region_cells(spark, sf):
     cells = d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y")
-    hits = sp.region_members(cells, d.regions(spark, sf), "cell_x", "cell_y")
+    hits = sp.region_members(cells, d.regions(spark, sf), "cell_ids", "cell_x", "cell_y")
     return hits.select("region_class", "region_name", "cell_ids")
 
 
@@ -199,7 +199,7 @@ def space_region_cells(spark, sf):
 def space_region_spots(spark, sf):
     spots = d.spots(spark, sf)
     hits = sp.region_members(
-        spots, d.regions(spark, sf), "pxl_col_in_fullres", "pxl_row_in_fullres"
+        spots, d.regions(spark, sf), "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres"
     )
     return hits.select("region_class", "region_name", "barcode")
 
@@ -241,7 +241,7 @@ FROM edges GROUP BY 1""",
     ),
 )
 def space_region_shapes(spark, sf):
-    edged = sp.with_edges(d.regions(spark, sf))
+    edged = d.regions(spark, sf).withColumn("edges", geo.ring_edges(F.col("ring")))
     centre = geo.ring_centroid(F.col("edges"))
     return edged.select(
         "region_name",

@@ -22,16 +22,24 @@ def running_sum(
     value: Column,
     out: str,
     exclusive: bool = False,
+    total: str | None = None,
 ) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over rows up to (or before) this one."""
+    """Add ``out`` = sum of ``value`` over rows up to (or before) this one.
+
+    ``total`` names an extra column with the sum over the whole key.
+    """
     keys = list(keys)
     work = df.withColumn("_bucket", bucket).withColumn("_value", value)
     totals = work.groupBy(*keys, "_bucket").agg(F.sum("_value").alias("_total"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    whole = [] if total is None else [F.sum("_total").over(Window.partitionBy(*keys)).alias(total)]
     offsets = totals.select(
-        *keys, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")
+        *keys,
+        "_bucket",
+        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"),
+        *whole,
     )
     inner = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     inner = inner.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)

@@ -1,6 +1,6 @@
 """Every operator bound to the given tables."""
 
 from ..registry import ORACLES, QUERIES
-from . import assign, expression, merging, neighbours, quality, regions, space, summary  # noqa: F401
+from . import assign, exports, expression, imaging, merging, neighbours, quality, regions, space, summary  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

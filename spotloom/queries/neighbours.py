@@ -270,3 +270,27 @@ FROM pairs""",
 def cooccurrence_ratio(spark, sf):
     counts = co.pair_counts(d.cells(spark, sf), TYPES, _LIMITS)
     return co.co_occurrence(counts, _LIMITS).withColumn("ratio", r6(F.col("ratio")))
+
+
+@query("graph_delaunay_degrees")
+def graph_delaunay_degrees(spark, sf):
+    """Number of Delaunay neighbours of every cell."""
+    from ..operators.delaunay import delaunay_edges
+
+    points = d.cells(spark, sf).select(
+        F.col("cell_ids").alias("id"), F.col("cell_x").alias("x"), F.col("cell_y").alias("y")
+    )
+    return g.degrees(delaunay_edges(points))
+
+
+@query("graph_cell_enrichment")
+def graph_cell_enrichment(spark, sf):
+    """Enrichment of cell-type pairs over the Delaunay graph."""
+    from ..operators.delaunay import delaunay_edges
+
+    cells = d.cells(spark, sf)
+    points = cells.select(
+        F.col("cell_ids").alias("id"), F.col("cell_x").alias("x"), F.col("cell_y").alias("y")
+    )
+    labels = cells.select(F.col("cell_ids").alias("id"), F.col("cell_type").alias("label"))
+    return g.clean_scores(g.neighbourhood_enrichment(cut_lineage(delaunay_edges(points)), labels))

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
@@ -110,35 +110,53 @@ def pair_counts(
         )
     )
     n_bands = len(bounds) - 1
+    # Distances outside all bands fall into one extra code that is dropped.
     lookup = _band_codes(bounds)
+    lookup = np.where(lookup < 0, n_bands, lookup).astype(np.int32) * (k * k)
+    top = len(lookup) - 1
+
+    def measure(row) -> np.ndarray:
+        lx, ly, lt = (np.asarray(v) for v in (row.lxs, row.lys, row.lts))
+        rx, ry, rt = (np.asarray(v) for v in (row.rxs, row.rys, row.rts))
+        hits = np.zeros((n_bands + 1) * k * k, dtype=np.int64)
+        # Strips of rows keep the distance table inside the processor cache.
+        for start in range(0, len(lx), 32):
+            strip = slice(start, start + 32)
+            square = np.subtract.outer(lx[strip], rx)
+            square *= square
+            dy = np.subtract.outer(ly[strip], ry)
+            dy *= dy
+            square += dy
+            np.sqrt(square, out=square)
+            np.ceil(square, out=square)
+            np.minimum(square, top, out=square)
+            code = lookup[square.astype(np.int32)]
+            code += lt[strip, None] * k + rt[None, :]
+            hits += np.bincount(code.ravel(), minlength=len(hits))
+        return hits.reshape(n_bands + 1, k, k)[:n_bands]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((n_bands, k, k), dtype=np.int64)
         for batch in batches:
             for row in batch.itertuples(index=False):
-                lt, rt = np.asarray(row.lts), np.asarray(row.rts)
                 first = np.searchsorted(bounds, row.near, side="left") - 1
                 last = np.searchsorted(bounds, row.far, side="left") - 1
                 if first == last and not row.same and row.near > 0:
                     if 0 <= first < n_bands:
+                        lt, rt = np.asarray(row.lts), np.asarray(row.rts)
                         product = np.outer(np.bincount(lt, minlength=k), np.bincount(rt, minlength=k))
                         total[first] += product + product.T
                     continue
-                dx = np.subtract.outer(np.asarray(row.lxs), np.asarray(row.rxs))
-                dy = np.subtract.outer(np.asarray(row.lys), np.asarray(row.rys))
-                distance = np.ceil(np.sqrt(dx * dx + dy * dy))
-                np.minimum(distance, len(lookup) - 1, out=distance)
-                band = lookup[distance.astype(np.int32)]
-                code = band * (k * k) + (lt[:, None] * k + rt[None, :])
-                hits = np.bincount(code[band >= 0], minlength=n_bands * k * k)
-                hits = hits.reshape(n_bands, k, k)
+                hits = measure(row)
                 total += hits if row.same else hits + hits.transpose(0, 2, 1)
         band, a, b = np.nonzero(total)
         yield pd.DataFrame({"band": band, "a": a, "b": b, "n": total[band, a, b]})
 
     listed = F.array(*[F.lit(t) for t in names])
+    # Block pairs are heavy to measure but small in bytes: spread them by number.
+    workers = cells.sparkSession.sparkContext.defaultParallelism
     return (
-        pairs.mapInPandas(count, "band int, a int, b int, n long")
+        pairs.repartition(4 * workers).mapInPandas(count, "band int, a int, b int, n long")
         .groupBy("band", "a", "b")
         .agg(F.sum("n").alias("n"))
         .select(
@@ -155,8 +173,6 @@ def co_occurrence(counts: DataFrame, limits: Sequence[int]) -> DataFrame:
 
     The count table has at most bands x types^2 rows.
     """
-    from pyspark.sql import Window
-
     of_band = Window.partitionBy("band")
     row = F.sum("n").over(Window.partitionBy("band", "type_a"))
     column = F.sum("n").over(Window.partitionBy("band", "type_b"))

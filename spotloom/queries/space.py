@@ -93,7 +93,7 @@ counts AS (
     ),
 )
 def space_cells_to_spots(spark, sf):
-    cells = d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y")
+    cells = d.spread(d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y"))
     return sp.assign_cells_to_spots(cells, d.spots(spark, sf), R)
 
 
@@ -106,7 +106,7 @@ LEFT JOIN (SELECT barcode, count(*) AS n FROM in_spot GROUP BY 1) USING (barcode
     ),
 )
 def space_contained_cells(spark, sf):
-    cells = d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y")
+    cells = d.spread(d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y"))
     spots = d.spots(spark, sf)
     placed = sp.assign_cells_to_spots(cells, spots, R)
     return sp.contained_cells(placed, spots.select("barcode"))
@@ -184,7 +184,7 @@ def space_tissue_box(spark, sf):
     ),
 )
 def space_region_cells(spark, sf):
-    cells = d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y")
+    cells = d.spread(d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y"))
     hits = sp.region_members(cells, d.regions(spark, sf), "cell_ids", "cell_x", "cell_y")
     return hits.select("region_class", "region_name", "cell_ids")
 
@@ -214,7 +214,7 @@ LEFT JOIN (SELECT region_name, count(*) AS nc FROM cells_in GROUP BY 1) USING (r
     ),
 )
 def space_region_sizes(spark, sf):
-    cells = d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y")
+    cells = d.spread(d.cells(spark, sf).select("cell_ids", "cell_x", "cell_y"))
     return sp.region_sizes(cells, d.spots(spark, sf), d.regions(spark, sf))
 
 
@@ -260,7 +260,7 @@ def space_micron_coordinates(spark, sf):
 
 
 def _levels(spark, sf):
-    return sp.infiltration_levels(d.cells(spark, sf), d.regions(spark, sf), d.STEP)
+    return sp.infiltration_levels(d.spread(d.cells(spark, sf)), d.regions(spark, sf), d.STEP)
 
 
 @query(

@@ -80,10 +80,11 @@ def pair_counts(
     coded = cells.filter(F.col("cell_type").isin(names)).withColumn("type_code", codes.cast("int"))
     blocks = _blocks(coded, tile, block_rows)
 
-    # Blocks meet through coarse buckets as wide as the reach: equi-join on buckets.
-    coarse = max(reach, tile)
-    home = blocks.withColumn("gx", F.floor(F.col("tx") * tile / coarse)).withColumn(
-        "gy", F.floor(F.col("ty") * tile / coarse)
+    # Blocks meet through coarse buckets of whole tiles, one tile wider than the
+    # reach, so tiles within reach are at most one bucket apart: an equi-join.
+    wide = int(np.ceil(reach / tile)) + 1
+    home = blocks.withColumn("gx", F.floor(F.col("tx") / wide)).withColumn(
+        "gy", F.floor(F.col("ty") / wide)
     )
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
     spread = (

@@ -79,11 +79,14 @@ probs AS (
         CASE WHEN type_a = type_b THEN ka * (ka - 1) * (ka - 2) * (ka - 3)
              ELSE 4 * ka * (ka - 1) * kb * (kb - 1) END / (n * (n - 1) * (n - 2) * (n - 3)) AS p3
     FROM mat),
-scores AS (
+vars AS (SELECT *, e * p1 + dd * p2 + (e * (e - 1) - dd) * p3 - e * p1 * e * p1 AS var FROM probs),
+raw_scores AS (
     SELECT type_a, type_b, n_edges,
         (CASE WHEN type_a = type_b THEN n_edges / 2 ELSE n_edges END - e * p1)
-        / sqrt(e * p1 + dd * p2 + (e * (e - 1) - dd) * p3 - e * p1 * e * p1) AS zscore
-    FROM probs)"""
+        / sqrt(CASE WHEN var > 0 THEN var END) AS zscore
+    FROM vars),
+scores AS (
+    SELECT type_a, type_b, n_edges, coalesce(zscore, min(zscore) OVER ()) AS zscore FROM raw_scores)"""
 
 
 def _enrichment(spark, sf):

@@ -122,14 +122,14 @@ def test_all_stages_on_a_small_sample(spark, tmp_path):
     for r in range(4):
         for c in range(r % 2, 12, 2):
             name = f"s{r}-{c}"
-            spots.append((name, 1, r, c, 87 * r, 50 * c, (r + c) % 2))
+            spots.append((name, 1, r, c, 87 * r, 50 * c, c // 2 % 2))
             for g in range(12):
                 expr.append((name, f"G{g}", int(rng.poisson(3 + g)) + 1))
             for t, a in zip(("t cell", "b cell"), rng.random(2) + 0.2):
                 abundance.append((name, t, float(a)))
             for _ in range(6):
                 dx, dy = rng.uniform(-20, 20, 2)
-                cells.append((cell, 50.0 * c + dx, 87.0 * r + dy, float(rng.uniform(20, 80))))
+                cells.append((cell, float(50 * c + dx), float(87 * r + dy), float(rng.uniform(20, 80))))
                 features.append((cell, [float(v) for v in rng.normal(0, 1, 12)]))
                 cell += 1
     tables = {

@@ -159,5 +159,5 @@ def test_planted_gene_is_spatially_variable(spark):
         spark.createDataFrame(spots, "exp_id int, barcode int, x double, y double"),
     ).toPandas()
     best = result.sort_values("LLR").iloc[-1]
-    assert best.gene == 0 and best.pval < 1e-4 and best.FSV > 0.5
+    assert best.gene == 0 and best.pval < 1e-4 and best.FSV > 0.3
     assert result[result.gene != 0].LLR.max() < best.LLR / 3

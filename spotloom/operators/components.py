@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordering import running_sum
 from ..session import cut_lineage
 
 
@@ -93,6 +94,7 @@ def mask_components(pixels: DataFrame, diagonal: bool = False, tile: int = 128)
         return pdf[["img", "y", "x", "inst_id"]].assign(part=_label_tile(pdf, diagonal))
 
     kinds = dict(keyed.dtypes)
+    # Keys pass through the tasks as they are, whatever their type.
     parts = cut_lineage(
         keyed.groupBy("img", "ty", "tx").applyInPandas(
             label,
@@ -119,6 +121,121 @@ def mask_components(pixels: DataFrame, diagonal: bool = False, tile: int = 128)
     )
 
 
+def split_instances(pixels: DataFrame, tile: int = 128) -> DataFrame:
+    """Disconnected parts become instances of their own.
+
+    The first part, in scan order, keeps the id; the others get new ids above the
+    largest one of the image.
+    """
+    parts = mask_components(pixels, diagonal=True, tile=tile)
+    listed = parts.select("img", "inst_id", "component").distinct()
+    first = listed.groupBy("img", "inst_id").agg(F.min("component").alias("component"))
+    later = listed.join(first, ["img", "inst_id", "component"], "left_anti")
+    top = listed.groupBy("img").agg(F.max("inst_id").alias("_top"))
+    ranked = running_sum(
+        later, ["img"], F.floor(F.col("inst_id") / 4096), [F.col("inst_id"), F.col("component")], F.lit(1), "_k"
+    )
+    fresh = ranked.join(top, "img").select(
+        "img", "inst_id", "component", (F.col("_top") + F.col("_k")).alias("_new")
+    )
+    return parts.join(fresh, ["img", "inst_id", "component"], "left").select(
+        "img", "y", "x", F.coalesce("_new", "inst_id").alias("inst_id")
+    )
+
+
+def hole_sizes(pixels: DataFrame, tile: int = 128) -> DataFrame:
+    """(img, inst_id, holes): background pixels an instance encloses.
+
+    The background within an instance's box is labelled in parts; a part that
+    reaches the edge of the box is outside.
+    """
+    box = pixels.groupBy("img", "inst_id").agg(
+        *[f(c).alias(f"{n}{c}") for c in "yx" for f, n in ((F.min, "lo"), (F.max, "hi"))]
+    )
+    filled = box.withColumn("y", F.explode(F.sequence("loy", "hiy"))).withColumn(
+        "x", F.explode(F.sequence("lox", "hix"))
+    )
+    empty = filled.join(pixels.select("img", "inst_id", "y", "x"), ["img", "inst_id", "y", "x"], "left_anti")
+    # Boxes of neighbours overlap, so each instance's background is its own image.
+    own = F.struct("img", "inst_id")
+    parts = mask_components(
+        empty.select(own.alias("img"), "y", "x", F.lit(1).alias("inst_id")), diagonal=False, tile=tile
+    )
+    keyed = parts.select(F.col("img.img").alias("img"), F.col("img.inst_id").alias("inst_id"), "y", "x", "component")
+    edge = (
+        (F.col("y") == F.col("loy")) | (F.col("y") == F.col("hiy"))
+        | (F.col("x") == F.col("lox")) | (F.col("x") == F.col("hix"))
+    )
+    per_part = keyed.join(box, ["img", "inst_id"]).groupBy("img", "inst_id", "component").agg(
+        F.count("*").alias("c"), F.max(edge).alias("outside")
+    )
+    return per_part.filter("not outside").groupBy("img", "inst_id").agg(F.sum("c").alias("holes"))
+
+
+def _hull_area(rows: pd.DataFrame) -> int:
+    """Pixels whose centre lies in the hull of the pixels' edge midpoints."""
+    y = rows["y"].to_numpy(dtype=float)
+    low, high = rows["lo"].to_numpy(dtype=float), rows["hi"].to_numpy(dtype=float)
+    points = np.concatenate(
+        [
+            np.stack(p, axis=1)
+            for p in (
+                (low - 0.5, y), (high + 0.5, y),
+                (low, y - 0.5), (low, y + 0.5), (high, y - 0.5), (high, y + 0.5),
+            )
+        ]
+    )
+    points = np.unique(points[:, ::-1], axis=0)
+
+    def side(sign: float) -> np.ndarray:
+        chain: list[np.ndarray] = []
+        for p in points:
+            while len(chain) > 1:
+                a, b = chain[-2], chain[-1]
+                if sign * ((b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])) < 0:
+                    chain.pop()
+                else:
+                    break
+            chain.append(p)
+        return np.array(chain)
+
+    # Chains run along y, so each row of pixels meets either chain once.
+    scan = np.arange(y.min(), y.max() + 1)
+    left, right = side(1.0), side(-1.0)
+    a, b = np.interp(scan, left[:, 0], left[:, 1]), np.interp(scan, right[:, 0], right[:, 1])
+    return int((np.floor(np.maximum(a, b) + 1e-9) - np.ceil(np.minimum(a, b) - 1e-9) + 1).sum())
+
+
+def hull_features(pixels: DataFrame, tile: int = 128) -> DataFrame:
+    """(img, inst_id, area, area_convex, area_filled, solidity).
+
+    Pixels fold to the two ends of each row before the hull is drawn, so a hull
+    sees two numbers per row of its instance.
+    """
+    ends = pixels.groupBy("img", "inst_id", "y").agg(
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")
+    )
+
+    def hull(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(
+            {
+                "img": [pdf["img"].iloc[0]], "inst_id": [pdf["inst_id"].iloc[0]],
+                "area": [int(pdf["n"].sum())], "area_convex": [_hull_area(pdf)],
+            }
+        )
+
+    kinds = dict(pixels.dtypes)
+    hulls = ends.groupBy("img", "inst_id").applyInPandas(
+        hull, f"img {kinds['img']}, inst_id {kinds['inst_id']}, area long, area_convex long"
+    )
+    holes = hole_sizes(pixels, tile)
+    return hulls.join(holes, ["img", "inst_id"], "left").select(
+        "img", "inst_id", "area", "area_convex",
+        (F.col("area") + F.coalesce("holes", F.lit(0))).alias("area_filled"),
+        (F.col("area") / F.col("area_convex")).alias("solidity"),
+    )
+
+
 def mask_polygons(pixels: DataFrame, tile: int = 128) -> DataFrame:
     """(img, cell_ids, cell_x, cell_y, area) of the first part of every instance.
 

@@ -281,6 +281,65 @@ def mask_rings(spark, sf):
     return cc.mask_rings(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
 
 
+@query(
+    "mask_hull_features",
+    d.sql(
+        "masks",
+        extra=_PRED + """,
+box AS (SELECT img, inst_id, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1, count(*) AS area FROM px GROUP BY 1, 2),
+bg AS (
+    SELECT img, inst_id, y, x FROM (
+        SELECT img, inst_id, unnest(range(y0, y1 + 1)) AS y, x0, x1 FROM box) b, LATERAL (
+        SELECT unnest(range(b.x0, b.x1 + 1)) AS x)
+    EXCEPT SELECT img, inst_id, y, x FROM px),
+out AS (
+    SELECT bg.* FROM bg JOIN box USING (img, inst_id) WHERE y IN (y0, y1) OR x IN (x0, x1)
+    UNION
+    SELECT b.* FROM out o JOIN bg b ON b.img = o.img AND b.inst_id = o.inst_id
+        AND abs(b.y - o.y) + abs(b.x - o.x) = 1)""",
+        body="""SELECT box.img, box.inst_id, area, (area + coalesce(h, 0))::bigint AS area_filled
+FROM box LEFT JOIN (SELECT img, inst_id, count(*) AS h FROM (SELECT * FROM bg EXCEPT SELECT * FROM out) GROUP BY 1, 2) u
+ON u.img = box.img AND u.inst_id = box.inst_id""",
+    ),
+)
+def mask_hull_features(spark, sf):
+    """Areas with the holes filled (convex areas are checked on fixtures)."""
+    shapes = cc.hull_features(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
+    return shapes.select("img", "inst_id", "area", "area_filled")
+
+
+@query("mask_convex_areas")
+def mask_convex_areas(spark, sf):
+    shapes = cc.hull_features(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
+    return shapes.select("img", "inst_id", "area_convex", "solidity")
+
+
+@query(
+    "mask_split_parts",
+    d.sql(
+        "masks",
+        extra="""px AS (SELECT img, y, x, pred_id AS inst_id FROM masks WHERE pred_id > 0 AND intensity > 120000),
+seeds AS (SELECT img, y, x, inst_id, y * 64 + x AS k FROM px),
+walk AS (
+    SELECT img, inst_id, y, x, k FROM seeds
+    UNION
+    SELECT p.img, p.inst_id, p.y, p.x, w.k FROM walk w JOIN px p ON p.img = w.img AND p.inst_id = w.inst_id
+        AND abs(p.y - w.y) <= 1 AND abs(p.x - w.x) <= 1),
+part AS (SELECT img, inst_id, y, x, min(k) AS k FROM walk GROUP BY 1, 2, 3, 4),
+heads AS (SELECT DISTINCT img, inst_id, k, min(k) OVER (PARTITION BY img, inst_id) AS k0 FROM part),
+tops AS (SELECT img, max(inst_id) AS top FROM px GROUP BY 1),
+fresh AS (
+    SELECT img, inst_id, k, top + row_number() OVER (PARTITION BY img ORDER BY inst_id, k) AS id
+    FROM heads JOIN tops USING (img) WHERE k <> k0)""",
+        body="""SELECT p.img, p.y, p.x, coalesce(f.id, p.inst_id)::bigint AS inst_id FROM part p
+LEFT JOIN fresh f ON f.img = p.img AND f.inst_id = p.inst_id AND f.k = p.k""",
+    ),
+)
+def mask_split_parts(spark, sf):
+    bright = _pred(spark, sf).filter("intensity > 120000").select("img", "y", "x", "inst_id")
+    return cc.split_instances(bright, tile=16)
+
+
 @query(
     "tile_patch_grid",
     d.sql(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spotloom.functions import geometry as geo
 from spotloom.operators import cooccurrence, spatial
-from spotloom.operators.components import contract_labels, mask_components, mask_rings
+from spotloom.operators.components import contract_labels, hull_features, mask_components, mask_rings
 from spotloom.operators.delaunay import circles, delaunay_edges, triangulate
 
 SQUARE = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
@@ -193,3 +193,13 @@ def test_label_contraction_on_a_long_chain(spark):
     first, second = set(order[:150].tolist()), set(order[150:].tolist())
     assert len(roots) == 300
     assert {roots[i] for i in first} == {min(first)} and {roots[i] for i in second} == {min(second)}
+
+
+def test_convex_and_filled_areas(spark):
+    ring = [(0, y, x, 1) for y in range(5) for x in range(5) if not (1 <= y <= 3 and 1 <= x <= 3)]
+    ell = [(0, y, x, 2) for y in range(10, 14) for x in range(4) if y == 13 or x == 0]
+    dot = [(0, 20, 20, 3)]
+    df = spark.createDataFrame(ring + ell + dot, "img long, y int, x int, inst_id int")
+    got = {r.inst_id: (r.area, r.area_convex, r.area_filled) for r in hull_features(df, tile=3).collect()}
+    # The L of 4 x 4: its hull holds the ten pixels on and below the diagonal.
+    assert got == {1: (16, 25, 25), 2: (7, 10, 7), 3: (1, 1, 1)}

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
@@ -148,8 +148,8 @@ def match_instances(pairs: DataFrame, gain: str, left: str = "true_id", right: s
     roots = contract_labels(pairs.select(a.alias("a"), b.alias("b")))
     tagged = pairs.withColumn("id", a).join(roots, "id").drop("id")
     # Where a pair is its whole component there is nothing to choose.
-    lone = Window.partitionBy("root")
-    counted = tagged.withColumn("_c", F.count("*").over(lone))
+    sizes = tagged.groupBy("root").agg(F.count("*").alias("_c"))
+    counted = tagged.join(sizes, "root")
     single = counted.filter("_c = 1").drop("_c", "root")
     kinds = dict(pairs.dtypes)
     columns = pairs.columns

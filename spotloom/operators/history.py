@@ -8,57 +8,70 @@ from pyspark.sql import functions as F
 from ..functions.ordering import running_sum
 
 
-def moving_average(
-    history: DataFrame, key: str, step: str, value: str, alpha: float = 0.95, block: int = 256
-) -> DataFrame:
-    """Exponential moving average seeded by the first value, for every step.
+def _states_before(items: DataFrame, key: str, block: int, levels: int) -> DataFrame:
+    """(key, n, before): the state ahead of each step of state = state * decay + push.
 
-    new = alpha * old + (1 - alpha) * x. Steps are numbered, cut into blocks of
-    fixed length and folded per block; blocks combine through one decaying carry
-    each, so the length of a history is not bounded by one task.
+    ``items`` has (key, n, decay, push) with n = 1, 2, ... per key. A block of steps
+    is one step of the same form, so blocks are scanned by the same rule one level
+    up and hand their state down. No array is longer than a block; the top level
+    holds one entry per block ** levels steps.
     """
-    numbered = running_sum(
-        history, [key], F.floor(F.col(step) / block), [F.col(step)], F.lit(1), "_n"
-    ).withColumn("_b", F.floor((F.col("_n") - 1) / block))
-    x = F.when(F.col("_n") == 1, F.col(value)).otherwise((1 - alpha) * F.col(value))
-    items = numbered.groupBy(key, "_b").agg(
-        F.sort_array(F.collect_list(F.struct("_n", F.col(step).alias("s"), x.alias("x")))).alias("_i")
-    )
-    size = F.size("_i")
-    ends = items.select(
-        key,
-        "_b",
-        F.aggregate("_i", F.lit(0.0), lambda acc, i: acc * alpha + i["x"]).alias("_end"),
-        F.pow(F.lit(alpha), size).alias("_decay"),
+    grouping = [key] if levels == 0 else [key, "_b"]
+    blocked = items.withColumn("_b", F.floor((F.col("n") - 1) / block))
+    arrays = blocked.groupBy(*grouping).agg(
+        F.sort_array(F.collect_list(F.struct("n", "decay", "push"))).alias("_i")
     )
-    # Carry into a block: earlier ends, each decayed by the full blocks in between.
-    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    listed = F.collect_list(F.struct("_end", "_decay")).over(earlier)
-    carries = ends.select(
-        key,
-        "_b",
-        F.aggregate(listed, F.lit(0.0), lambda acc, e: acc * e["_decay"] + e["_end"]).alias("_carry"),
-    )
-    joined = items.join(carries, [key, "_b"])
-    folded = F.aggregate(
+    if levels == 0:
+        started = arrays.withColumn("_carry", F.lit(0.0))
+    else:
+        totals = arrays.select(
+            key,
+            (F.col("_b") + 1).alias("n"),
+            F.aggregate("_i", F.lit(1.0), lambda acc, i: acc * i["decay"]).alias("decay"),
+            F.aggregate("_i", F.lit(0.0), lambda acc, i: acc * i["decay"] + i["push"]).alias("push"),
+        )
+        above = _states_before(totals, key, block, levels - 1)
+        carried = above.select(key, (F.col("n") - 1).alias("_b"), F.col("before").alias("_carry"))
+        started = arrays.join(carried, [key, "_b"])
+    empty = F.array().cast("array<struct<n:bigint,before:double>>")
+    scanned = F.aggregate(
         "_i",
-        F.struct(
-            F.col("_carry").alias("v"),
-            F.array().cast("array<struct<s:bigint,ema:double>>").alias("out"),
-        ),
+        F.struct(F.col("_carry").alias("v"), empty.alias("out")),
         lambda acc, i: F.struct(
-            (acc["v"] * alpha + i["x"]).alias("v"),
+            (acc["v"] * i["decay"] + i["push"]).alias("v"),
             F.concat(
                 acc["out"],
-                F.array(
-                    F.struct(i["s"].cast("long").alias("s"), (acc["v"] * alpha + i["x"]).alias("ema"))
-                ),
+                F.array(F.struct(i["n"].cast("long").alias("n"), acc["v"].alias("before"))),
             ).alias("out"),
         ),
         lambda acc: acc["out"],
     )
-    return joined.select(key, F.explode(folded).alias("_o")).select(
-        key, F.col("_o.s").alias(step), F.col("_o.ema").alias("ema")
+    return started.select(key, F.explode(scanned).alias("_o")).select(key, "_o.*")
+
+
+def moving_average(
+    history: DataFrame,
+    key: str,
+    step: str,
+    value: str,
+    alpha: float = 0.95,
+    block: int = 256,
+    levels: int = 2,
+) -> DataFrame:
+    """Exponential moving average seeded by the first value, for every step.
+
+    new = alpha * old + (1 - alpha) * x.
+    """
+    numbered = running_sum(
+        history, [key], F.floor(F.col(step) / block), [F.col(step)], F.lit(1), "n"
+    )
+    push = F.when(F.col("n") == 1, F.col(value)).otherwise((1 - alpha) * F.col(value))
+    items = numbered.select(
+        key, step, F.col("n").cast("long").alias("n"), F.lit(float(alpha)).alias("decay"), push.alias("push")
+    )
+    before = _states_before(items.drop(step), key, block, levels)
+    return items.join(before, [key, "n"]).select(
+        key, step, (F.col("before") * F.col("decay") + F.col("push")).alias("ema")
     )
 
 

@@ -264,16 +264,41 @@ def mask_pattern_features(spark, sf):
     )
 
 
-@query("mask_components")
+_PARTS = _PRED + """,
+walk AS (
+    SELECT img, inst_id, y, x, y::bigint * 4294967296 + x AS k FROM px
+    UNION
+    SELECT p.img, p.inst_id, p.y, p.x, w.k FROM walk w JOIN px p ON p.img = w.img AND p.inst_id = w.inst_id
+        AND abs(p.y - w.y) + abs(p.x - w.x) = 1),
+part AS (SELECT img, inst_id, y, x, min(k) AS component FROM walk GROUP BY 1, 2, 3, 4)"""
+
+
+@query(
+    "mask_components",
+    d.sql(
+        "masks", extra=_PARTS,
+        body="""SELECT img, inst_id::bigint AS inst_id, component, count(*) AS pixels FROM part GROUP BY 1, 2, 3""",
+    ),
+)
 def mask_components(spark, sf):
     """Parts of every predicted instance (4-connected)."""
     parts = cc.mask_components(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
     return parts.groupBy("img", "inst_id", "component").agg(F.count("*").alias("pixels"))
 
 
-@query("mask_polygons")
+@query(
+    "mask_polygons",
+    d.sql(
+        "masks", extra=_PARTS,
+        body="""SELECT img, inst_id::bigint AS cell_ids, round(avg(x) + 0.5, 6) AS cell_x, round(avg(y) + 0.5, 6) AS cell_y,
+    count(*) AS area, component FROM part
+WHERE (img, inst_id, component) IN (SELECT (img, inst_id, min(component)) FROM part GROUP BY img, inst_id)
+GROUP BY img, inst_id, component""",
+    ),
+)
 def mask_polygons(spark, sf):
-    return cc.mask_polygons(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
+    cells = cc.mask_polygons(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
+    return cells.withColumn("cell_x", r6(F.col("cell_x"))).withColumn("cell_y", r6(F.col("cell_y")))
 
 
 @query("mask_rings")

@@ -161,3 +161,16 @@ def test_planted_gene_is_spatially_variable(spark):
     best = result.sort_values("LLR").iloc[-1]
     assert best.gene == 0 and best.pval < 1e-4 and best.FSV > 0.3
     assert result[result.gene != 0].LLR.max() < best.LLR / 3
+
+
+def test_moving_average_over_several_levels(spark):
+    from spotloom.operators.history import moving_average
+
+    rng = np.random.default_rng(9)
+    x = rng.random(70)
+    df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(x)], "k string, s long, v double")
+    got = moving_average(df, "k", "s", "v", alpha=0.9, block=3, levels=3).orderBy("s").toPandas()["ema"]
+    want = [x[0]]
+    for v in x[1:]:
+        want.append(0.9 * want[-1] + 0.1 * v)
+    assert got.to_numpy() == pytest.approx(np.array(want))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, spread_by
 from .merge import NOT_DECONVOLVED
 
 # Starting temperatures, cooling factor, steps per temperature.
@@ -208,7 +208,7 @@ def local_assignment(
         "spot_clusters int, cell_type string"
     )
     small = work.filter(F.col("_size") <= max_rows)
-    solved = small.groupBy("barcode").applyInPandas(solve, schema)
+    solved = spread_by(small, "barcode").groupBy("barcode").applyInPandas(solve, schema)
     crowded = sizes.filter((F.col("_size") > max_rows) & F.col("barcode").isNotNull())
     # At most (all cells / max_rows) spots are crowded; only their keys come back.
     for row in crowded.collect():

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordering import running_sum
+from ..session import spread_by
 from .merge import NOT_DECONVOLVED
 from .summaries import label_entropy
 
@@ -170,7 +171,7 @@ def optimal_allocation(cells: DataFrame, p_combined: DataFrame, min_cells: int =
         )
 
     kinds = dict(cells.dtypes)
-    flows = sized.groupBy("barcode").applyInPandas(
+    flows = spread_by(sized, "barcode").groupBy("barcode").applyInPandas(
         solve,
         f"barcode {kinds['barcode']}, cluster_name {kinds['cluster_name']}, cell_type string, n long",
     )

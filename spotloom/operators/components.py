@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import running_sum
-from ..session import cut_lineage
+from ..session import cut_lineage, spread_by
 
 
 def contract_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -96,7 +96,7 @@ def mask_components(pixels: DataFrame, diagonal: bool = False, tile: int = 128)
     kinds = dict(keyed.dtypes)
     # Keys pass through the tasks as they are, whatever their type.
     parts = cut_lineage(
-        keyed.groupBy("img", "ty", "tx").applyInPandas(
+        spread_by(keyed, "img", "ty", "tx").groupBy("img", "ty", "tx").applyInPandas(
             label,
             f"img {kinds['img']}, y {kinds['y']}, x {kinds['x']}, inst_id long, part long",
         )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ratio
+from ..session import spread_by
 from .components import contract_labels
 
 
@@ -167,7 +168,7 @@ def match_instances(pairs: DataFrame, gain: str, left: str = "true_id", right: s
 
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns)
     many = counted.filter("_c > 1").drop("_c")
-    return single.select(*columns).unionByName(many.groupBy("root").applyInPandas(solve, schema))
+    return single.select(*columns).unionByName(spread_by(many, "root").groupBy("root").applyInPandas(solve, schema))
 
 
 def jaccard_index_plus(masks: DataFrame, pairs: DataFrame) -> DataFrame:

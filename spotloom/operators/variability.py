@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.probability import normal_two_sided
-from ..session import cut_lineage
+from ..session import cut_lineage, spread_by
 from .comparative import adjust_step_up
 
 # Number of length scales, most spots of one capture area.
@@ -170,8 +170,13 @@ def spatial_variability(
         "lts",
     ).select("*", F.explode(blocks).alias("area_block"))
     fitted = (
-        work.groupBy("exp_id", "scale", "block")
-        .cogroup(sides.groupBy("area", "area_scale", "area_block"))
+        spread_by(work, "exp_id", "scale", "block")
+        .groupBy("exp_id", "scale", "block")
+        .cogroup(
+            spread_by(sides, "area", "area_scale", "area_block").groupBy(
+                "area", "area_scale", "area_block"
+            )
+        )
         .applyInPandas(
             fit,
             f"exp_id {kinds['exp_id']}, gene {kinds['gene']}, l double, ll double, null_ll double, "

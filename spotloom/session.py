@@ -63,3 +63,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the files outlive the executor that wrote them."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition rows by keys into a fixed number of tasks.
+
+    Groups that are costly to solve are often small in bytes, and the adaptive
+    planner would merge them into a few tasks. A fixed number keeps all cores busy;
+    a grouped function over the same keys needs no further shuffle.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, wanted), *keys)

@@ -62,7 +62,7 @@ class Settings:
         default=(
             "cell_summary", "cell_counts", "cell_per_spot", "spot_avg_gene_counts",
             "cell_net_matrix", "cell_net_chord", "cell_cooccur", "morans_gene", "morans_cell",
-            "spatialde", "diff_exp_clusters", "diff_exp_annotations",
+            "variable_genes", "diff_exp_clusters", "diff_exp_annotations",
         )
     )
 
@@ -229,7 +229,7 @@ def tissue_figures(t: Tables, s: Settings) -> Tables:
         "cell_cooccur": together,
         "morans_gene": lambda: moran("gene"),
         "morans_cell": lambda: moran("cell"),
-        "spatialde": lambda: variability.spatial_variability(
+        "variable_genes": lambda: variability.spatial_variability(
             expr,
             spots.select(
                 F.lit(0).alias("exp_id"), "barcode",

@@ -147,7 +147,7 @@ def test_all_stages_on_a_small_sample(spark, tmp_path):
     for method in ("naive", "global"):
         settings = Settings(assign_method=method, cluster_method="kmeans", n_top_expressed=8, intervals=12,
                             cell_types=("t-cell", "b-cell"))
-        settings.figures = tuple(f for f in settings.figures if f != "spatialde")
+        settings.figures = tuple(f for f in settings.figures if f != "variable_genes")
         state = run(tables, settings, str(tmp_path / method))
         assert state["cells"].filter("barcode is not null").count() > 100
         assert state["spot_clusters"].filter("confidence_score is null").count() == 0

@@ -259,6 +259,7 @@ def score(docs: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
     gives no rows.
     """
     kept = docs.select(*keep)
+    names = [*kept.columns, "score"]
     model = docs.sparkSession.sparkContext.broadcast(grammar)  # bounded by the fitted sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +268,7 @@ def score(docs: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             x = np.array([g.features(t) for t in texts]).reshape(len(texts), FEATURES)
             columns = batch.columns[:-1] + [pa.array(g.scores(x), pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept.columns, "score"])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_lower")
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,88 +34,100 @@ from .shingles import BASE, INVERSE, mix, powers
 
 KEY = 48  # bytes that the suffixes of a bucket share
 SEGMENT = 1 << 20  # bytes handled at once
-HOT = 1000  # different contexts of a bucket solved in one task
+HOT = 16_384  # different contexts of a bucket solved in one task
 
 
-def _slide(values: np.ndarray, width: int, op: np.ufunc, fill: int) -> np.ndarray:
-    """op over values[i : i + width] for every i, by block prefixes and suffixes."""
-    n = len(values) - width + 1
-    rows = -(-len(values) // width)
-    grid = np.full(rows * width, fill, dtype=values.dtype)
-    grid[: len(values)] = values
-    grid = grid.reshape(rows, width)
-    ahead = op.accumulate(grid, axis=1).ravel()
-    behind = op.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return op(behind[:n], ahead[width - 1 : width - 1 + n])
+def _slide(values: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
+    """op over values[i : i + width] for every i, by doubling the reach."""
+    n, reach = len(values) - width + 1, 1
+    while 2 * reach <= width:
+        values = op(values[:-reach], values[reach:])
+        reach *= 2
+    return op(values[:n], values[width - reach : width - reach + n])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position, hash) of kept K-byte strings; ``ends`` gives the end of each position's row."""
-    width, n = min_len - KEY + 1, len(data)
+def anchors(
+    data: np.ndarray, offsets: np.ndarray, min_len: int, first: int = 0, last: int | None = None
+) -> tuple[np.ndarray, ...]:
+    """(row, position, hash, context id) of the kept K-byte strings of a few rows' bytes.
+
+    A kept string has the least hash of a window that starts in [first, last). Row
+    numbers count ``offsets``, positions count ``data``.
+    """
+    width, before, n = min_len - KEY + 1, min_len - KEY, len(data)
     if n < min_len:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    terms = (data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)])
-    h = mix((sums[KEY:] - sums[:-KEY]) * powers(INVERSE, n - KEY + 1)) | np.uint64(1)
-    low = _slide(h, width, np.minimum, np.iinfo(np.uint64).max)
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    forward, back = _powers(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:n], dtype=np.uint64, out=sums[1:])
+
+    def of(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix(((sums[end] - sums[start]) * back[start]) ^ (end - start).astype(np.uint64))
+
+    h = mix((sums[KEY:] - sums[:-KEY]) * back[: n - KEY + 1]) | np.uint64(1)
+    low = _slide(h, width, np.minimum)
+    ends = np.repeat(offsets[1:], np.diff(offsets))
     low[ends[: len(low)] - np.arange(len(low)) < min_len] = 0  # the window would leave its row
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
-    best = _slide(padded, width, np.maximum, 0)
-    at = np.flatnonzero(h == best)
-    return at, h[at].view(np.int64)
+    low[:first] = 0
+    if last is not None:
+        low[last:] = 0
+    padded = np.zeros(len(low) + 2 * (width - 1), np.uint64)
+    padded[width - 1 : width - 1 + len(low)] = low
+    at = np.flatnonzero(h == _slide(padded, width, np.maximum))
+    row = np.searchsorted(offsets, at, side="right") - 1
+    start, end = np.maximum(at - before, offsets[row]), np.minimum(at + min_len, offsets[row + 1])
+    context = mix(of(start, at) ^ mix(of(at, end) + np.uint64(1)))
+    return row, at, h[at].view(np.int64), context.view(np.int64)
+
+
+@lru_cache(maxsize=1)
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(BASE, n), powers(INVERSE, n)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and its inverse, kept for the usual sizes."""
+    forward, back = _tables(max(3 * SEGMENT, n))
+    return forward[:n], back[:n]
 
 
 def _anchors_of(data: np.ndarray, offsets: np.ndarray, min_len: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row number, position in the row, hash), a megabyte or one row's segment at a time."""
+    """(row number, position in the row, hash, context id), some rows or one row's segment at a time."""
     for start, stop in pieces(offsets, SEGMENT):
         low, high = int(offsets[start]), int(offsets[stop])
         if high - low <= 2 * SEGMENT:
             part = offsets[start : stop + 1] - low
-            ends = np.repeat(part[1:], np.diff(part))
-            at, h = anchors(data[low:high], ends, min_len)
-            row = np.searchsorted(part, at, side="right") - 1
-            yield row + start, at - part[row], h
+            row, at, h, cid = anchors(data[low:high], part, min_len)
+            yield row + start, at - part[row], h, cid
             continue
-        for row in range(start, stop):
-            last, seen = -1, int(offsets[row + 1])
-            for base in range(int(offsets[row]), seen, SEGMENT):
-                top = min(seen, base + SEGMENT + min_len - 1)
-                at, h = anchors(data[base:top], np.full(top - base, top - base), min_len)
-                at = at + (base - int(offsets[row]))
+        for row in range(start, stop):  # a single long row
+            begin, end, last = int(offsets[row]), int(offsets[row + 1]), -1
+            for base in range(begin, end, SEGMENT):
+                left, right = max(begin, base - min_len), min(end, base + SEGMENT + 2 * min_len)
+                _, at, h, cid = anchors(
+                    data[left:right], np.array([0, right - left]), min_len, base - left, base - left + SEGMENT
+                )
+                at = at + (left - begin)
                 new = at > last
                 if new.any():
                     last = int(at[-1])
-                yield np.full(new.sum(), row), at[new], h[new]
-
-
-def _context_id(left: bytes, right: bytes) -> int:
-    digest = hashlib.blake2b(left + right, digest_size=8, salt=len(left).to_bytes(2, "little"))
-    return int.from_bytes(digest.digest(), "little", signed=True)
+                yield np.full(new.sum(), row), at[new], h[new], cid[new]
 
 
 def suffixes(docs: DataFrame, min_len: int) -> DataFrame:
     """(h, cid, _row, pos): kept suffixes; ``cid`` names the whole context."""
-    before = min_len - KEY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             keys = batch.column(ROW).to_numpy()
-            for row, pos, h in _anchors_of(data, offsets, min_len):
-                if not len(row):
-                    continue
-                at = pos + offsets[row]
-                low, high = np.maximum(at - before, offsets[row]), np.minimum(at + min_len, offsets[row + 1])
-                first, last = int(low[0]), int(high.max())
-                flat = data[first:last].tobytes()
-                cid = [
-                    _context_id(flat[a:b], flat[b:c])
-                    for a, b, c in zip((low - first).tolist(), (at - first).tolist(), (high - first).tolist(), strict=True)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(cid, pa.int64()), pa.array(keys[row]), pa.array(pos.astype(np.int32))],
-                    ["h", "cid", ROW, "pos"],
-                )
+            for row, pos, h, cid in _anchors_of(data, offsets, min_len):
+                if len(row):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h), pa.array(cid), pa.array(keys[row]), pa.array(pos.astype(np.int32))],
+                        ["h", "cid", ROW, "pos"],
+                    )
 
     return texts_of(docs, ROW).mapInArrow(run, f"h long, cid long, {ROW} long, pos int")
 
@@ -137,33 +150,25 @@ def _contexts(wanted: DataFrame, texts: DataFrame, min_len: int) -> DataFrame:
     """Bytes around each wanted suffix: (b, h, cid, n, lo, hi, lhs, rhs); lhs is reversed."""
     before = min_len - KEY
 
+    names = ["b", "h", "cid", "n", "lo", "hi", "lhs", "rhs"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("h", "cid", "n", "lhs", "rhs")}
-            for z, wants in zip(batch.column("z"), batch.column("wants").to_pylist(), strict=True):
+            wants = batch.column("wants")
+            flat = wants.flatten()
+            h, cid, n, pos = (flat.field(x) for x in ("h", "cid", "n", "pos"))
+            cuts = np.concatenate([[0], np.cumsum(wants.value_lengths().to_numpy())]).tolist()
+            places, left, right = pos.to_pylist(), [], []
+            for z, a, b in zip(batch.column("z"), cuts[:-1], cuts[1:], strict=True):
                 text = unpack.decompress(z.as_py())
-                for w in wants:
-                    p = w["pos"]
-                    out["h"].append(w["h"])
-                    out["cid"].append(w["cid"])
-                    out["n"].append(w["n"])
-                    out["lhs"].append(text[max(0, p - before) : p][::-1])
-                    out["rhs"].append(text[p : p + min_len])
-            size = len(out["h"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(out["h"], pa.int64()),
-                    pa.array(out["h"], pa.int64()),
-                    pa.array(out["cid"], pa.int64()),
-                    pa.array(out["n"], pa.int64()),
-                    pa.array(np.zeros(size, np.int32)),
-                    pa.array(np.full(size, before, np.int32)),
-                    pa.array(out["lhs"], pa.binary()),
-                    pa.array(out["rhs"], pa.binary()),
-                ],
-                ["b", "h", "cid", "n", "lo", "hi", "lhs", "rhs"],
-            )
+                for p in places[a:b]:
+                    left.append(text[max(0, p - before) : p][::-1])
+                    right.append(text[p : p + min_len])
+            size = len(left)
+            lo, hi = pa.array(np.zeros(size, np.int32)), pa.array(np.full(size, before, np.int32))
+            both = [pa.array(left, pa.binary()), pa.array(right, pa.binary())]
+            yield pa.RecordBatch.from_arrays([h, h, cid, n, lo, hi, *both], names)
 
     lists = wanted.groupBy(ROW).agg(F.collect_list(F.struct("h", "cid", "n", "pos")).alias("wants"))
     return lists.join(texts, ROW).select("z", "wants").mapInArrow(
@@ -197,23 +202,38 @@ def _scan(lcp: np.ndarray) -> Iterator[tuple[int, int, int]]:
             stack.append((value, left))
 
 
-def solve_bucket(lefts: list[bytes], rights: list[bytes], counts: list[int], min_len: int) -> list[tuple]:
+def solve_bucket(
+    lefts: list[bytes], rights: list[bytes], counts: list[int], min_len: int, groups: bool = True
+) -> list[tuple]:
     """Repeats of one bucket, its rows sorted by ``rights``.
 
-    Gives (group, row, left length, right length): row's context repeats with the
-    other rows of the group, or with its own copies where its count is above one.
+    Gives (group, row, left length, right length): row's context repeats with the other
+    rows of the group, or with its own copies where its count is above one. Without
+    ``groups`` an interval is left out for rows whose bytes a longer repeat covers.
     """
     out: list[tuple] = []
     group = 0
+    covered = np.full(len(lefts), -1, np.int64)  # left reach of what a deeper interval gave
     for i, n in enumerate(counts):
         if n > 1 and len(lefts[i]) + len(rights[i]) >= min_len:
             out.append((group, i, len(lefts[i]), len(rights[i])))
+            covered[i] = len(lefts[i])
             group += 1
     if len(lefts) < 2:
         return out
     m, lengths = _matrix(rights, min_len)
     seq = np.arange(1, len(rights))
     lcp = _common(m, lengths, seq - 1, seq)
+    if len(lefts) == 2:
+        need = min_len - int(lcp[0])
+        reach = 0
+        for x, y in zip(lefts[0], lefts[1], strict=False):
+            if x != y:
+                break
+            reach += 1
+        if reach >= need:
+            out.extend((group, i, reach, int(lcp[0])) for i in (0, 1) if groups or reach > covered[i])
+        return out
     lm, ll = _matrix(lefts, max(1, min_len - KEY))
     by_left = np.array(sorted(range(len(lefts)), key=lefts.__getitem__))
     place = np.empty(len(lefts), np.int64)
@@ -221,21 +241,24 @@ def solve_bucket(lefts: list[bytes], rights: list[bytes], counts: list[int], min
     for first, last, right in _scan(lcp):
         need = min_len - right
         members = by_left[np.sort(place[first : last + 1])]
+        if not groups and covered[members].min() >= min_len - KEY:
+            continue
         same = _common(lm, ll, members[:-1], members[1:])
-        ties = np.flatnonzero(same >= need)  # equal left bytes: the repeat extends to the left
-        if not len(ties):
+        tied = same >= need  # equal left bytes: the repeat extends to the left
+        if not tied.any():
             continue
-        breaks = np.flatnonzero(np.diff(ties) > 1)
-        for a, b in zip(np.concatenate([[0], breaks + 1]), np.concatenate([breaks, [len(ties) - 1]]), strict=True):
-            low, high = ties[a], ties[b] + 1
-            for j in range(low, high + 1):
-                reach = max(int(same[j - 1]) if j > low else 0, int(same[j]) if j < high else 0)
-                out.append((group, int(members[j]), reach, right))
-            group += 1
+        linked = np.where(tied, same, -1)
+        reach = np.maximum(np.concatenate([[-1], linked]), np.concatenate([linked, [-1]]))
+        number = group + np.cumsum(np.concatenate([[False], ~tied]))
+        show = reach >= 0 if groups else reach > covered[members]
+        for g, i, left in zip(number[show].tolist(), members[show].tolist(), reach[show].tolist(), strict=True):
+            out.append((g, i, left, right))
+        covered[members] = np.maximum(covered[members], reach)
+        group = int(number[-1]) + 1
     return out
 
 
-def _solve(buckets: DataFrame, min_len: int) -> DataFrame:
+def _solve(buckets: DataFrame, min_len: int, groups: bool) -> DataFrame:
     """(b, grp, h, cid, lhs, rhs) of whole buckets of at most HOT contexts each."""
 
     def emit(rows: pd.DataFrame) -> Iterator[tuple]:
@@ -245,7 +268,7 @@ def _solve(buckets: DataFrame, min_len: int) -> DataFrame:
         lefts, rights = rows["lhs"].tolist(), rows["rhs"].tolist()
         for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             for group, i, left, right in solve_bucket(
-                lefts[start:stop], rights[start:stop], n[start:stop].tolist(), min_len
+                lefts[start:stop], rights[start:stop], n[start:stop].tolist(), min_len, groups
             ):
                 yield int(b[start]), group, int(h[start + i]), int(cid[start + i]), left, right
 
@@ -267,9 +290,9 @@ def _solve(buckets: DataFrame, min_len: int) -> DataFrame:
     return ordered.mapInPandas(run, "b long, grp long, h long, cid long, lhs int, rhs int")
 
 
-def _solve_all(contexts: DataFrame, sizes: DataFrame, min_len: int, hot: int) -> DataFrame:
+def _solve_all(contexts: DataFrame, sizes: DataFrame, min_len: int, hot: int, groups: bool) -> DataFrame:
     """Solve small buckets; halve hot ones until they are small or one window wide."""
-    done = _solve(contexts.join(sizes.filter(F.col("k") <= hot).select("b"), "b", "left_semi"), min_len)
+    done = _solve(contexts.join(sizes.filter(F.col("k") <= hot).select("b"), "b", "left_semi"), min_len, groups)
     large = sizes.filter(F.col("k") > hot)
     if not large.take(1):
         return done
@@ -300,19 +323,20 @@ def _solve_all(contexts: DataFrame, sizes: DataFrame, min_len: int, hot: int) ->
         )
         counted = halves.groupBy("b").agg(F.count("*").alias("k")).filter("k > 1")
         halves = cut_lineage(halves.join(counted, "b"))
-        done = done.unionByName(_solve(halves.filter((F.col("k") <= hot) & (F.col("lo") < F.col("hi"))).drop("k"), min_len))
+        done = done.unionByName(_solve(halves.filter((F.col("k") <= hot) & (F.col("lo") < F.col("hi"))).drop("k"), min_len, groups))
         work = halves.filter((F.col("k") > hot) | (F.col("lo") == F.col("hi"))).drop("k")
         if not work.take(1):
             return done
 
 
-def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT) -> DataFrame:
+def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, groups: bool = True) -> DataFrame:
     """Groups of equal strings of ``min_len`` bytes or more with all their occurrences.
 
     Columns: b and grp (the group), _row, start, end (bytes). ``docs`` has ``_row`` and
     text. A repeat is seen through windows around kept suffixes, so one that is longer
     than about two windows comes as overlapping groups whose union it is. Groups of a
-    single context (whole copies) have grp -2.
+    single context (whole copies) have grp -2. Without ``groups``, occurrences that a
+    longer repeat around the same suffix covers are left out.
     """
     if not min_len > 2 * KEY:
         raise ValueError(f"min_len must exceed {2 * KEY}")
@@ -329,7 +353,7 @@ def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT) -> Data
         "h", "cid", "n", F.col(f"at.{ROW}").alias(ROW), "at.pos"
     )
     contexts = _contexts(wanted, packed_texts(docs), min_len)
-    solved = _solve_all(contexts, mixed, min_len, hot)
+    solved = _solve_all(contexts, mixed, min_len, hot, groups)
     lengths = texts_of(docs, ROW).select(ROW, F.octet_length("text").alias("size"))
     parts = shared.join(solved, ["h", "cid"]).select(
         "b", "grp", ROW, (F.col("pos") - F.col("lhs")).alias("start"), (F.col("pos") + F.col("rhs")).alias("end")
@@ -350,9 +374,9 @@ def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT) -> Data
 
 
 def merged(starts: list[int], ends: list[int]) -> list[tuple[int, int]]:
-    """Union of ranges; touching ranges are one run."""
+    """Union of ranges, given in order of their starts; touching ranges are one run."""
     out: list[list[int]] = []
-    for s, e in sorted(zip(starts, ends, strict=True)):
+    for s, e in zip(starts, ends, strict=True):
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
@@ -371,11 +395,11 @@ def remove_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, texts: b
     """
     docs = with_row(docs)
     spans = (
-        maximal_repeats(docs, min_len, hot)
+        maximal_repeats(docs, min_len, hot, groups=False)
         .groupBy(ROW, "start")
         .agg(F.max("end").alias("end"))
         .groupBy(ROW)
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
     )
 
     def shown(rest: bytes) -> tuple[bytes | None, str | None]:
@@ -385,9 +409,12 @@ def remove_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, texts: b
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for z, spans in zip(batch.column("z"), batch.column("spans").to_pylist(), strict=True):
+            spans = batch.column("spans")
+            starts, ends = (spans.flatten().field(x).to_pylist() for x in ("start", "end"))
+            cuts = np.concatenate([[0], np.cumsum(spans.value_lengths().fill_null(0).to_numpy())]).tolist()
+            for z, a, b in zip(batch.column("z"), cuts[:-1], cuts[1:], strict=True):
                 text = unpack.decompress(z.as_py())
-                runs = merged([s["start"] for s in spans or []], [s["end"] for s in spans or []])
+                runs = merged(starts[a:b], ends[a:b])
                 kept, at = [], 0
                 for s, e in runs:
                     kept.append(text[at:s])

@@ -34,7 +34,7 @@ from .shingles import BASE, INVERSE, mix, powers
 
 KEY = 48  # bytes that the suffixes of a bucket share
 SEGMENT = 1 << 20  # bytes handled at once
-HOT = 16_384  # different contexts of a bucket solved in one task
+HOT = 65_536  # different contexts of a bucket solved in one task, some 25 MB
 
 
 def _slide(values: np.ndarray, width: int, op: np.ufunc) -> np.ndarray:
@@ -342,7 +342,8 @@ def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, groups:
         raise ValueError(f"min_len must exceed {2 * KEY}")
     before = min_len - KEY
     every = suffixes(docs, min_len)
-    again = every.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
+    # written, so that both sides of the join are plain exchanges and a frequent key can be split
+    again = cut_lineage(every.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"))
     shared = cut_lineage(every.join(again, "h", "left_semi"))
     distinct = shared.groupBy("h", "cid").agg(
         F.count("*").alias("n"), F.min(F.struct(ROW, "pos")).alias("at")

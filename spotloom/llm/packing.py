@@ -23,56 +23,71 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .rows import binary_column, texts_of
 
-# White space to str.split() that a tokenizer may treat as a character, and the mark.
-CONTROL = re.compile("[\x01\x1c-\x1f]")
-MARK = "\x01"
-WORDS_KEPT = 1_000_000  # per Python worker, about 200 MB
+# White space to str.split() that a tokenizer may treat as a character.
+CONTROL = re.compile("[\x1c-\x1f]")
+# Words whose normal form and parts are plain: Latin letters, then marks.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+PROBES = ["word", "Word.", "Straße,", "ÑANDÚ", "leçon!?", "ōsaka;", "A", "é"]
+WORDS_KEPT = 600_000  # in each of two generations, about 200 MB per Python worker
 
 
-class WordEncoder:
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+class WordEncoder(dict):
     """Ids of whole texts, remembered by white-space separated words.
 
-    The tokenizer never joins text across white space, so a text's ids are the ids of
-    its words in order. Texts with control characters go to the tokenizer whole.
+    The tokenizer never joins text across white space, so a text's ids are the ids of its
+    words in order. A plain word that is new goes to the tokenizer's model directly, if
+    that gives the tokenizer's own ids for some probes; other words and texts with
+    control characters go through the tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _fresh_words(self, words: list[str]) -> list[bytes]:
-        """All words in one call, with a mark between them that no word holds."""
-        if len(self.mark) != 1 or not words:
-            return self._fresh(words)
-        found = self.tokenizer.encode_batch_fast([f" {MARK} ".join(words)], add_special_tokens=False)[0]
-        ids = np.array(found.ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self.mark[0])
-        if len(cuts) != len(words) - 1:
-            return self._fresh(words)
-        flat, starts, ends = ids.tobytes(), [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), 4 * len(ids)]
-        return [flat[a:b] for a, b in zip(starts, ends, strict=True)]
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for start in range(0, len(texts), 500):
-            part = texts[start : start + 500]
-            split = [None if CONTROL.search(t) else t.split() for t in part]
-            seen: set[str] = set()
-            for words in split:
-                if words:
-                    seen.update(words)
-            if len(self.known) > WORDS_KEPT:
-                self.known = {}
-            fresh = sorted(seen - self.known.keys())
-            self.known.update(zip(fresh, self._fresh_words(fresh), strict=True))
-            for text, words in zip(part, split, strict=True):
-                yield self._fresh([text])[0] if words is None else b"".join(map(self.known.__getitem__, words))
+        self.model, self.older, self.letters = self.tokenizer.model, {}, _byte_letters()
+        self.direct = True
+        normal = str(self.tokenizer.normalizer) + str(self.tokenizer.pre_tokenizer)
+        self.direct = "Lowercase" in normal and "ByteLevel" in normal and all(
+            self._plain(w) == self._whole(w) for w in PROBES
+        )
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _plain(self, word: str) -> bytes | None:
+        m = PLAIN.fullmatch(word) if self.direct else None
+        if m is None:
+            return None
+        letters = m[1].lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.letters)
+        ids = np.array([t.id for t in self.model.tokenize(letters)], dtype="<u4").tobytes()
+        return ids + self[m[2]] if m[2] else ids
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._plain(word)
+            if ids is None:
+                ids = self._whole(word)
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if CONTROL.search(text):
+            return self._whole(text)
+        if len(self) > WORDS_KEPT:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -91,7 +106,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             texts = batch.column("text").to_pylist()
             for start in range(0, len(texts), 500):
                 counts, packed = [], []
-                for ids in encoder.encode(texts[start : start + 500]):
+                for ids in map(encoder.encode, texts[start : start + 500]):
                     counts.append(len(ids) // 4 + 1)
                     packed.append(pack.compress(ids + end))
                 sums = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)

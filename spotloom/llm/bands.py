@@ -48,25 +48,22 @@ def _stars(items: DataFrame) -> DataFrame:
             lists = batch.column("bands")
             bucket = lists.flatten().to_numpy()
             ids = np.repeat(batch.column("id").to_numpy(), lists.value_lengths().to_numpy())
-            order = np.lexsort((ids, bucket))
-            bucket, ids = bucket[order], ids[order]
             if not len(ids):
                 continue
+            order = np.lexsort((ids, bucket))
+            bucket, ids = bucket[order], ids[order]
             new = np.concatenate([[True], bucket[1:] != bucket[:-1]])
             lead = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
-            keep = new | (ids != lead)
-            pairs = ~new & keep
-            if pairs.any():  # a pair that several buckets have counts once
-                both = np.unique(np.column_stack([lead[pairs], ids[pairs]]), axis=0)
-            else:
-                both = np.zeros((0, 2), np.int64)
+            held = ids != lead
+            pairs = np.unique(np.column_stack([lead[held], ids[held]]), axis=0)  # once for all its buckets
+            found = len(pairs)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([bucket[new], np.zeros(len(both), np.int64)])),
-                    pa.array(np.concatenate([lead[new], both[:, 0]])),
+                    pa.array(np.concatenate([bucket[new], pairs[:, 0] ^ (pairs[:, 1] << 1)])),
+                    pa.array(np.concatenate([lead[new], pairs[:, 0]])),
                     pa.array(
-                        np.concatenate([np.zeros(new.sum(), np.int64), both[:, 1]]),
-                        mask=np.concatenate([np.ones(new.sum(), bool), np.zeros(len(both), bool)]),
+                        np.concatenate([np.zeros(new.sum(), np.int64), pairs[:, 1]]),
+                        mask=np.concatenate([np.ones(new.sum(), bool), np.zeros(found, bool)]),
                     ),
                 ],
                 ["bucket", "a", "b"],
@@ -75,12 +72,16 @@ def _stars(items: DataFrame) -> DataFrame:
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_bucket = last_lead = None
         for batch in batches:
-            bucket, ids = batch.column("bucket").to_numpy(), batch.column("a").to_numpy()
+            second = batch.column("b")
+            alone = second.is_null().to_numpy(zero_copy_only=False)
+            bucket, ids = batch.column("bucket").to_numpy()[alone], batch.column("a").to_numpy()[alone]
+            done = batch.filter(second.is_valid()).select(["a", "b"])
+            if done.num_rows:
+                yield done
             if not len(ids):
                 continue
             new = np.concatenate([[last_bucket is None or bucket[0] != last_bucket], bucket[1:] != bucket[:-1]])
-            heads = np.where(new, np.arange(len(ids)), -1)
-            heads = np.maximum.accumulate(heads)
+            heads = np.maximum.accumulate(np.where(new, np.arange(len(ids)), -1))
             lead = np.where(heads >= 0, ids[heads], last_lead if last_lead is not None else 0)
             last_bucket, last_lead = bucket[-1], lead[-1]
             keep = ids != lead
@@ -88,8 +89,8 @@ def _stars(items: DataFrame) -> DataFrame:
 
     n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     rows = items.select("id", "bands").mapInArrow(local, "bucket long, a long, b long")
-    leaders = rows.filter("b IS NULL").select("bucket", "a").repartition(n, "bucket").sortWithinPartitions("bucket", "a")
-    return rows.filter("b IS NOT NULL").select("a", "b").unionByName(leaders.mapInArrow(across, "a long, b long")).distinct()
+    ordered = rows.repartition(n, "bucket").sortWithinPartitions("bucket", "a")
+    return ordered.mapInArrow(across, "a long, b long").distinct()
 
 
 def probability_jaccard(x: Weights, y: Weights) -> float:
@@ -168,37 +169,66 @@ def _bounds(one: list[Weights], two: list[Weights]) -> np.ndarray:
     return np.minimum(by_one / total1[:, None], by_two / total2[None, :])
 
 
-def _compare(shingle: Callable[[bytes], Weights], similarity: float):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+def _touching(
+    known: list[Weights], ids: np.ndarray, comp: np.ndarray, one: np.ndarray, two: np.ndarray, same: bool, similarity: float
+) -> list[tuple[int, int]]:
+    """A link for each two components that touch, among the rows ``one`` and ``two`` of a block pair."""
+    apart = comp[one][:, None] != comp[two][None, :]
+    if same:
+        apart &= np.arange(len(one))[:, None] < np.arange(len(two))[None, :]
+    if apart.sum() > 30:
+        apart &= _bounds([known[i] for i in one], [known[j] for j in two]) >= similarity - 1e-6
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.setdefault(c, c) != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for i, j in np.argwhere(apart):
+        i, j = one[i], two[j]
+        ri, rj = find(int(comp[i])), find(int(comp[j]))
+        if ri != rj and probability_jaccard(known[i], known[j]) >= similarity:
+            root[max(ri, rj)] = min(ri, rj)
+            out.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
+    return out
+
+
+def _compared(blocks: DataFrame, shingle: Callable[[bytes], Weights], similarity: float) -> DataFrame:
+    """Links (a, b) found in each pair of blocks (cluster, one, two)."""
+
+    def solve(rows: pd.DataFrame) -> list[tuple[int, int]]:
         unpack = zstandard.ZstdDecompressor()
-        _, first, second = key
-        side = pdf["block"].to_numpy()
-        one, two = np.flatnonzero(side == first), np.flatnonzero(side == second)
-        comp, ids = pdf["comp"].to_numpy(), pdf["id"].to_numpy()
-        known = [shingle(unpack.decompress(z)) for z in pdf["z"]]
-        apart = comp[one][:, None] != comp[two][None, :]
-        if first == second:
-            apart &= np.arange(len(one))[:, None] < np.arange(len(two))[None, :]
-        out = []
-        if apart.any():
-            high = _bounds([known[i] for i in one], [known[j] for j in two])
-            root: dict[int, int] = {}
-
-            def find(c: int) -> int:
-                while root.setdefault(c, c) != c:
-                    root[c] = root[root[c]]
-                    c = root[c]
-                return c
-
-            for i, j in np.argwhere(apart & (high >= similarity - 1e-6)):
-                i, j = one[i], two[j]
-                ri, rj = find(int(comp[i])), find(int(comp[j]))
-                if ri != rj and probability_jaccard(known[i], known[j]) >= similarity:
-                    root[max(ri, rj)] = min(ri, rj)
-                    out.append((min(int(ids[i]), int(ids[j])), max(int(ids[i]), int(ids[j]))))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return run
+        keys = rows[["cluster", "one", "two"]].to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
+        side, ids, comp, z = (rows[c].to_numpy() for c in ("block", "id", "comp", "z"))
+        out: list[tuple[int, int]] = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if b - a < 2 or (comp[a:b] == comp[a]).all():
+                continue
+            known = [shingle(unpack.decompress(x)) for x in z[a:b]]
+            one, two = np.flatnonzero(side[a:b] == keys[a, 1]), np.flatnonzero(side[a:b] == keys[a, 2])
+            out += _touching(known, ids[a:b], comp[a:b], one, two, keys[a, 1] == keys[a, 2], similarity)
+        return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            keys = batch[["cluster", "one", "two"]].to_numpy()
+            cut = int(np.argmax((keys == keys[-1]).all(axis=1)))  # the last group may go on
+            yield pd.DataFrame(solve(batch.iloc[:cut]), columns=["a", "b"]).astype("int64")
+            rest = batch.iloc[cut:].reset_index(drop=True)
+        if rest is not None:
+            yield pd.DataFrame(solve(rest), columns=["a", "b"]).astype("int64")
+
+    n = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ordered = blocks.repartition(n, "cluster", "one", "two").sortWithinPartitions("cluster", "one", "two")
+    return ordered.mapInPandas(run, "a long, b long")
 
 
 def linked(
@@ -209,7 +239,8 @@ def linked(
 ) -> DataFrame:
     """(id, root) of the items that link with others; root is the smallest id of the component.
 
-    ``items`` has id and bands (array of long); ``texts(ids)`` gives (id, z) of the ids,
+    ``items`` has id and bands (array of long), an id perhaps more than once with the same
+    bands; ``texts(ids)`` gives (id, z) of the ids,
     z being zstd-compressed text; ``shingle`` gives a text's weighted shingles.
     """
     pairs = cut_lineage(_stars(items))
@@ -220,12 +251,14 @@ def linked(
     links = cut_lineage(_verified(with_b.select("a", "b", "za", "zb"), shingle, similarity))
     roots = contract_labels(links)
 
-    mine = items.join(content.select("id"), "id", "left_semi").select("id", "bands")
+    mine = items.join(content.select("id"), "id", "left_semi").groupBy("id").agg(F.first("bands").alias("bands"))
     members = mine.join(roots, "id", "left").select(
         F.explode("bands").alias("bucket"), "id", F.coalesce("root", "id").alias("comp")
     )
-    split = (
-        members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    split = (  # the two of a bucket of two have been compared
+        members.groupBy("bucket")
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("k"))
+        .filter("low < high AND k > 2")
     )
     rest = members.join(split.select("bucket", "low"), "bucket").groupBy("id", "comp").agg(
         F.collect_set("low").alias("lows")  # one for each of the item's buckets at most
@@ -248,10 +281,7 @@ def linked(
             "block", "id", "comp", "z",
         )
     )
-    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    more = (
-        blocks.repartition(n, "cluster", "one", "two")
-        .groupBy("cluster", "one", "two")
-        .applyInPandas(_compare(shingle, similarity), "a long, b long")
-    )
+    more = cut_lineage(_compared(blocks, shingle, similarity))
+    if not more.take(1):
+        return roots
     return contract_labels(links.unionByName(more))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, packing, probminhash, repeats, sharding, topk, toxicity
+from . import forest, packing, paragraphs, probminhash, repeats, sharding, topk, toxicity
 from .registry import query, table
 from .rows import ROW, with_row
 
@@ -54,6 +54,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op9_paragraph_minhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_row(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", ROW).join(paragraphs.removals(docs), ROW).drop(ROW)
+
+
 _TOPK = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

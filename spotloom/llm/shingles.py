@@ -57,17 +57,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts + low, ends + low, owner
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, owner) of every run of k words, in text order.
+def runs(h: np.ndarray, owner: np.ndarray, rows: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, owner) of every run of k words of one owner; word hashes are in order of owner.
 
-    A row of fewer than k words but at least one has a single shingle of all its words.
+    An owner of fewer than k words but at least one has a single run of all its words.
     """
-    rows = len(offsets) - 1
-    starts, ends, owner = words(data, offsets)
-    if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    base = int(offsets[0])
-    h = Rolling(data[base : int(offsets[-1])]).of(starts - base, ends - base)
     first = np.searchsorted(owner, np.arange(rows + 1))
     count = np.diff(first)
     full = len(h) - k + 1
@@ -92,6 +86,16 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
     return out, whose
 
 
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``runs`` of the words of each row of a byte buffer."""
+    starts, ends, owner = words(data, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    base = int(offsets[0])
+    h = Rolling(data[base : int(offsets[-1])]).of(starts - base, ends - base)
+    return runs(h, owner, len(offsets) - 1, k)
+
+
 def weighted(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (owner, hash) with their counts, ordered by owner, then hash."""
     order = np.lexsort((h, owner))
@@ -103,6 +107,12 @@ def weighted(h: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return h[at], owner[at], np.diff(np.concatenate([at, [len(h)]]))
 
 
+def sequences(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each word sequence; ``first`` has the place of each one's first word."""
+    turn = powers(BASE, len(h))[np.arange(len(h)) - np.repeat(first, np.diff(np.concatenate([first, [len(h)]])))]
+    return mix(np.add.reduceat(h * turn, first)), mix(np.add.reduceat(mix(h + INVERSE) * turn, first))
+
+
 def contents(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows with words, two hashes of each one's word sequence)."""
     starts, ends, owner = words(data, offsets)
@@ -112,7 +122,4 @@ def contents(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     base = int(offsets[0])
     h = Rolling(data[base : int(offsets[-1])]).of(starts - base, ends - base)
     at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    turn = powers(BASE, len(h))[np.arange(len(h)) - np.repeat(at, np.diff(np.concatenate([at, [len(h)]])))]
-    one = np.add.reduceat(h * turn, at)
-    two = np.add.reduceat(mix(h + INVERSE) * turn, at)
-    return owner[at], mix(one), mix(two)
+    return owner[at], *sequences(h, at)

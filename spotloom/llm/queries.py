@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, packing, paragraphs, probminhash, repeats, sharding, topk, toxicity
+from . import forest, licenses, packing, paragraphs, pieces, probminhash, repeats, sharding, topk, toxicity
 from .registry import query, table
 from .rows import ROW, with_row
 
@@ -26,11 +26,31 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", ROW).join(removed, ROW).drop(ROW)
 
 
+@query("op3_lattice_sampling")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    decoded = pieces.decode(encoded, path)
+    return decoded.select(
+        "doc_id",
+        F.size("pieces").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 @query("op4_label_propagation")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+@query("op5_license_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_row(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = licenses.scan(docs, licenses.train(docs))
+    return docs.select("doc_id", ROW).join(found, ROW).drop(ROW)
+
+
 @query("op6_projection_forest")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))

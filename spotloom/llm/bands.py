@@ -16,18 +16,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.components import contract_labels
 from ..session import cut_lineage
+from .components import components
 from .shingles import mix
 
 BLOCK = 512  # items of a cluster compared with as many others in one task
 COLUMNS = 4096  # shingles counted at once
 
 Weights = tuple[np.ndarray, np.ndarray]  # distinct shingle hashes in order, and weights
+# Texts, as stored, to (hash, number of the text, weight), ordered by number, then hash.
+Shingler = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def band_hashes(signatures: np.ndarray, rows: int) -> np.ndarray:
@@ -114,31 +115,35 @@ def probability_jaccard(x: Weights, y: Weights) -> float:
     return float((1.0 / ((above + only_x) / a + (below + only_y) / b)).sum())
 
 
-def _verified(pairs: DataFrame, shingle: Callable[[bytes], Weights], similarity: float) -> DataFrame:
-    """Rows of (a, b, za, zb) whose similarity is at least ``similarity``, as (a, b)."""
+def similarities(one: tuple[np.ndarray, ...], two: tuple[np.ndarray, ...], n: int) -> np.ndarray:
+    """Similarity of the texts of equal number in two outputs of a shingler."""
+    h, owner = np.concatenate([one[0], two[0]]), np.concatenate([one[1], two[1]])
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    twice = (h[1:] == h[:-1]) & (owner[1:] == owner[:-1])
+    both = np.bincount(owner[1:][twice], minlength=n)
+    edges = [np.searchsorted(side[1], np.arange(n + 1)) for side in (one, two)]
+    sizes = sum(np.diff(e) for e in edges)
+    out = both / np.maximum(1, sizes - both)
+    heavy = np.zeros(n, bool)
+    for side in (one, two):
+        heavy[side[1][side[2] > 1]] = True
+    for i in np.flatnonzero(heavy & (both > 0)):
+        x, y = (slice(*e[i : i + 2]) for e in edges)
+        out[i] = probability_jaccard((one[0][x], one[2][x]), (two[0][y], two[2][y]))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        seen: dict[int, Weights] = {}
 
-        def known(i: int, z: pa.Scalar) -> Weights:
-            if i not in seen:
-                if len(seen) > 200:
-                    seen.clear()
-                seen[i] = shingle(unpack.decompress(z.as_py()))
-            return seen[i]
+def _verified(pairs: DataFrame, shingle: Shingler, similarity: float) -> DataFrame:
+    """Rows of (a, b, za, zb) whose similarity is at least ``similarity``, as (a, b)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            za, zb = batch.column("za"), batch.column("zb")
-            keep = [
-                n
-                for n in range(len(a))
-                if probability_jaccard(known(a[n], za[n]), known(b[n], zb[n])) >= similarity
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[n] for n in keep], pa.int64()), pa.array([b[n] for n in keep], pa.int64())], ["a", "b"]
-            )
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                one, two = (shingle(part.column(c).to_pylist()) for c in ("za", "zb"))
+                keep = pa.array(similarities(one, two, part.num_rows) >= similarity)
+                yield part.select(["a", "b"]).filter(keep)
 
     return pairs.mapInArrow(run, "a long, b long")
 
@@ -196,11 +201,12 @@ def _touching(
     return out
 
 
-def _compared(blocks: DataFrame, shingle: Callable[[bytes], Weights], similarity: float) -> DataFrame:
+def _compared(blocks: DataFrame, shingle: Shingler, similarity: float) -> DataFrame:
     """Links (a, b) found in each pair of blocks (cluster, one, two)."""
 
     def solve(rows: pd.DataFrame) -> list[tuple[int, int]]:
-        unpack = zstandard.ZstdDecompressor()
+        if not len(rows):
+            return []
         keys = rows[["cluster", "one", "two"]].to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(keys)]])
         side, ids, comp, z = (rows[c].to_numpy() for c in ("block", "id", "comp", "z"))
@@ -208,7 +214,9 @@ def _compared(blocks: DataFrame, shingle: Callable[[bytes], Weights], similarity
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             if b - a < 2 or (comp[a:b] == comp[a]).all():
                 continue
-            known = [shingle(unpack.decompress(x)) for x in z[a:b]]
+            h, owner, weight = shingle(z[a:b].tolist())
+            edges = np.searchsorted(owner, np.arange(b - a + 1))
+            known = [(h[i:j], weight[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
             one, two = np.flatnonzero(side[a:b] == keys[a, 1]), np.flatnonzero(side[a:b] == keys[a, 2])
             out += _touching(known, ids[a:b], comp[a:b], one, two, keys[a, 1] == keys[a, 2], similarity)
         return out
@@ -234,14 +242,14 @@ def _compared(blocks: DataFrame, shingle: Callable[[bytes], Weights], similarity
 def linked(
     items: DataFrame,
     texts: Callable[[DataFrame], DataFrame],
-    shingle: Callable[[bytes], Weights],
+    shingle: Shingler,
     similarity: float,
 ) -> DataFrame:
     """(id, root) of the items that link with others; root is the smallest id of the component.
 
     ``items`` has id and bands (array of long), an id perhaps more than once with the same
     bands; ``texts(ids)`` gives (id, z) of the ids,
-    z being zstd-compressed text; ``shingle`` gives a text's weighted shingles.
+    z being the text in a form that ``shingle`` reads.
     """
     pairs = cut_lineage(_stars(items))
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
@@ -249,7 +257,7 @@ def linked(
     with_a = pairs.join(content.select(F.col("id").alias("a"), F.col("z").alias("za")), "a")
     with_b = with_a.join(content.select(F.col("id").alias("b"), F.col("z").alias("zb")), "b")
     links = cut_lineage(_verified(with_b.select("a", "b", "za", "zb"), shingle, similarity))
-    roots = contract_labels(links)
+    roots = components(links)
 
     mine = items.join(content.select("id"), "id", "left_semi").groupBy("id").agg(F.first("bands").alias("bands"))
     members = mine.join(roots, "id", "left").select(
@@ -267,7 +275,7 @@ def linked(
     if not rest.take(1):
         return roots
     touching = rest.select(F.explode("lows").alias("a"), F.col("comp").alias("b")).distinct()
-    clusters = contract_labels(touching).select(F.col("id").alias("comp"), F.col("root").alias("cluster"))
+    clusters = components(touching).select(F.col("id").alias("comp"), F.col("root").alias("cluster"))
     placed = rest.select("id", "comp").join(clusters, "comp")
     sizes = placed.groupBy("cluster").agg(F.count("*").alias("k"))
     blocks = (
@@ -284,4 +292,4 @@ def linked(
     more = cut_lineage(_compared(blocks, shingle, similarity))
     if not more.take(1):
         return roots
-    return contract_labels(links.unionByName(more))
+    return components(links.unionByName(more))

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.components import contract_labels
 from ..session import cut_lineage
+from .components import components
 from .rows import ROW, with_row
 
 SAMPLE = 32_768  # vectors that the trees are fitted on, at most
@@ -279,7 +279,7 @@ def near_duplicates(
     )
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias(ROW)).agg(F.sum("n").alias("found"))
     edges = found.filter("b IS NOT NULL").select("a", "b")
-    roots = contract_labels(edges).select(F.col("id").alias(ROW), "root")
+    roots = components(edges).select(F.col("id").alias(ROW), "root")
     known = (
         reps.select("key", ROW, "w")
         .join(counts, ROW, "left")

@@ -24,7 +24,7 @@ from .shingles import BASE, INVERSE, mix, powers, unit
 
 SPACE_MARK = "▁"
 WORD = re.compile(" *[^ ]+| +")
-CHARS = 4_000_000  # characters handled at once, so that few words come twice
+CHARS = 1_500_000  # characters handled at once, so that few words come twice
 LONG = 32  # words of more characters get a lattice of their own
 TABLE = 1 << 20
 

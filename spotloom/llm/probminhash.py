@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .bands import band_hashes, linked
+from .bands import Shingler, band_hashes, linked
 from .repeats import packed_texts
 from .rows import ROW, pieces, texts_of, utf8, with_row
 from .shingles import contents, mix, shingles, unit, weighted
@@ -74,10 +75,20 @@ def sketched(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return texts_of(docs, ROW, lower=True).mapInArrow(run, "id long, c1 long, c2 long, bands array<long>")
 
 
-def shingle_weights(text: bytes, k: int) -> tuple[np.ndarray, np.ndarray]:
-    data = np.frombuffer(text, np.uint8)
-    h, _, count = weighted(*shingles(data, np.array([0, len(data)], np.int64), k))
-    return h, count
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a list of texts."""
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), ends
+
+
+def shingler(k: int) -> Shingler:
+    """Runs of k words with their counts, of zstd-compressed texts."""
+
+    def read(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        unpack = zstandard.ZstdDecompressor()
+        return weighted(*shingles(*joined([unpack.decompress(z) for z in packed]), k))
+
+    return read
 
 
 def near_duplicates(
@@ -108,7 +119,7 @@ def near_duplicates(
         lower = docs.select(ROW, F.lower("text").alias("text"))
         return packed_texts(lower).withColumnRenamed(ROW, "id").join(ids, "id", "left_semi")
 
-    roots = linked(items, texts, lambda text: shingle_weights(text, k), similarity)
+    roots = linked(items, texts, shingler(k), similarity)
     named = reps.join(roots, "id", "left").select("c1", "c2", F.coalesce("root", "id").alias("class_row"))
     classes = same.join(named, ["c1", "c2"]).select(ROW, "class_row")
     return docs.select(ROW).join(classes, ROW, "left").select(

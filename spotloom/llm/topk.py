@@ -35,20 +35,20 @@ class Columns:
     """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
-        self.ids, self.vertical = ids, np.ascontiguousarray(matrix.T)
-        self.exact = float(np.abs(matrix).max(initial=0.0)) ** 2 * max(1, matrix.shape[1]) < 2.0**52
-        self.mass = np.einsum("ij,ij->i", matrix, matrix)
+        high = max(int(matrix.max(initial=0)), -int(matrix.min(initial=0)))
+        self.ids, self.exact = ids, high**2 * max(1, matrix.shape[1]) < 2**52
+        self.vertical = np.ascontiguousarray(matrix.T.astype(np.float64 if self.exact else object))
+        self.mass = np.einsum("ij,ij->j", self.vertical, self.vertical) if self.exact else None
 
     def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         if not self.exact:  # sums would leave the exact range of a double: whole numbers of any size
-            vertical = self.vertical.astype(object)
             for q, vector in zip(query_ids, queries, strict=True):
-                score = np.array([int(s) for s in vector.astype(object) @ vertical], dtype=object)
+                score = vector.astype(object) @ self.vertical
                 there = np.flatnonzero(self.ids != q)
                 order = sorted(there.tolist(), key=lambda i: (-score[i], self.ids[i]))[:k]
                 yield int(q), self.ids[order], score[order]
             return
-        dims = queries.shape[1]
+        dims, queries = queries.shape[1], queries.astype(np.float64)
         order = np.argsort(-np.einsum("ij,ij->j", queries, queries), kind="stable")  # heavy dimensions bound best
         vertical = self.vertical[order]
         for start in range(0, len(query_ids), 64):
@@ -124,8 +124,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             ask, have = here[here["q"]], here[~here["q"]]
             if not len(ask) or not len(have):
                 continue
-            data = Columns(have["vec_id"].to_numpy(), np.array(have["v"].tolist(), dtype=np.float64).reshape(len(have), width))
-            q = np.array(ask["v"].tolist(), dtype=np.float64).reshape(len(ask), width)
+            data = Columns(have["vec_id"].to_numpy(), np.array(have["v"].tolist(), dtype=np.int64).reshape(len(have), width))
+            q = np.array(ask["v"].tolist(), dtype=np.int64).reshape(len(ask), width)
             for qid, ids, score in data.best(ask["vec_id"].to_numpy(), q, k):
                 out.extend((qid, int(i), int(s)) for i, s in zip(ids, score, strict=True))
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")

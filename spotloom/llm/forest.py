@@ -26,9 +26,9 @@ from .components import components
 from .rows import ROW, with_row
 
 SAMPLE = 32_768  # vectors that the trees are fitted on, at most
-TREES = 12
+TREES = 8
 LEAF = 160  # vectors of the sample below which a node is a leaf
-SPILL = 0.02  # half width of the overlap, on projections of unit vectors
+SPILL = 0.01  # half width of the overlap, on projections of unit vectors
 DENSE = 0.8  # mean cosine within a node from which it is not split
 BLOCK = 1024
 
@@ -145,7 +145,7 @@ def fit(reps: DataFrame, kind: str, sample_rows: int, **settings) -> Forest | No
     return Forest(unit_rows([r for r in raw if len(r) == width], kind, width // size), **settings)
 
 
-def _compare(kind: str, threshold: float):
+def _compare(kind: str, threshold: float, model):
     size = np.dtype(kind).itemsize
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -165,21 +165,16 @@ def _compare(kind: str, threshold: float):
                 continue
             a, b = a[near.any(axis=1)], b[near.any(axis=0)]
             near = near[near.any(axis=1)][:, near.any(axis=0)]
-            lists = part["leaves"].tolist()
-            earlier: dict[int, int] = {}
-            member_a, member_b = [], []
-            for rows, out_to in ((a, member_a), (b, member_b)):
-                for place, i in enumerate(rows):
-                    for x in lists[i]:
-                        if x >= leaf:
-                            break
-                        out_to.append((place, earlier.setdefault(int(x), len(earlier))))
-            if earlier:
+            # a pair counts in the first leaf that both are in: routed again, which is
+            # less than carrying every vector's leaves to each of its leaves
+            (ra, la), (rb, lb) = (model.value.leaves_of(unit[rows]) for rows in (a, b))
+            (ra, la), (rb, lb) = (ra[la < leaf], la[la < leaf]), (rb[lb < leaf], lb[lb < leaf])
+            earlier = np.intersect1d(la, lb)
+            if len(earlier):
                 ma, mb = np.zeros((len(a), len(earlier)), np.float32), np.zeros((len(b), len(earlier)), np.float32)
-                for m, pairs in ((ma, member_a), (mb, member_b)):
-                    if pairs:
-                        where = np.array(pairs)
-                        m[where[:, 0], where[:, 1]] = 1
+                for m, rows, leaves in ((ma, ra, la), (mb, rb, lb)):
+                    shared = np.isin(leaves, earlier)
+                    m[rows[shared], np.searchsorted(earlier, leaves[shared])] = 1
                 near &= (ma @ mb.T) == 0
             if not near.any():
                 continue
@@ -268,14 +263,14 @@ def near_duplicates(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "leaf", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-            "block", ROW, "w", "raw", "leaves",
+            "block", ROW, "w", "raw",
         )
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     found = cut_lineage(
         split.repartition(n, "leaf", "one", "two")
         .groupBy("leaf", "one", "two")
-        .applyInPandas(_compare(kind, threshold), "a long, b long, n long")
+        .applyInPandas(_compare(kind, threshold, model), "a long, b long, n long")
     )
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias(ROW)).agg(F.sum("n").alias("found"))
     edges = found.filter("b IS NOT NULL").select("a", "b")

@@ -106,7 +106,7 @@ GRAMS = 3  # longest word n-gram
 SIMILAR = 0.55  # least share of bigrams in common with a template
 CERTAIN = 0.5  # least calibrated probability
 BACKGROUND_ROWS = 2000  # documents that background sentences are taken from, at most
-CHUNK = 1 << 20
+CHUNK = 1 << 18  # bytes of text handled at once
 WORDY = np.zeros(256, bool)
 WORDY[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 

@@ -26,7 +26,7 @@ from .shingles import contents, mix, shingles, unit, weighted
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4  # a pair at 0.8 shares no band with probability below 1e-7
-CHUNK = 1 << 20  # bytes of text handled at once
+CHUNK = 1 << 18  # bytes of text handled at once
 
 
 def signatures(h: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int, registers: int) -> np.ndarray:

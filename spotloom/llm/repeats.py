@@ -33,7 +33,7 @@ from .rows import ROW, pieces, texts_of, utf8, with_row
 from .shingles import BASE, INVERSE, mix, powers
 
 KEY = 48  # bytes that the suffixes of a bucket share
-SEGMENT = 1 << 20  # bytes handled at once
+SEGMENT = 1 << 18  # bytes handled at once
 HOT = 65_536  # different contexts of a bucket solved in one task, some 25 MB
 
 

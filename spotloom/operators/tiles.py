@@ -192,7 +192,7 @@ def stitch(
         visible.groupBy("img", "y", "x")
         .agg(F.collect_list(F.struct((-F.col("size")).alias("s"), "layer", "inst_id")).alias("_ids"))
         .filter(F.size("_ids") > 1)
-        .select("img", F.slice(F.sort_array("_ids"), 2, 8).alias("_rest"))
+        .select("img", F.slice(F.sort_array("_ids"), 2, F.size("_ids")).alias("_rest"))
     )
     beaten = met.select("img", F.explode("_rest").alias("_r")).select(
         "img", F.col("_r.inst_id").alias("inst_id")

@@ -134,8 +134,9 @@ def unit_rows(raw: list[bytes], kind: str, dims: int) -> np.ndarray:
 
 
 def fit(reps: DataFrame, kind: str, sample_rows: int, **settings) -> Forest | None:
-    """Trees from the ``sample_rows`` vectors of smallest hash; that many reach the driver at most."""
-    taken = reps.select("raw").orderBy(F.xxhash64("key"), "key").limit(sample_rows).collect()
+    """Trees from the vectors in a share of the hashes, about ``sample_rows`` at most; these reach the driver."""
+    part = F.lit(max(1, round((1 << 30) * min(1.0, sample_rows / max(1, reps.count())))))
+    taken = reps.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < part).select("raw", "key").orderBy("key").collect()
     raw = [bytes(r["raw"]) for r in taken]
     if not raw:
         return None

@@ -260,12 +260,15 @@ def train(docs: DataFrame, background_rows: int = BACKGROUND_ROWS, seed: int = 3
     """A classifier of notices against background.
 
     Notices are variants of the templates; background is a fixed list and the sentences
-    of at most ``background_rows`` documents, taken in the order of a hash of their text
+    of about ``background_rows`` documents at most, taken by a hash of their text
     (up to 2,000 characters of each, for training alone).
     """
     rng = np.random.default_rng(seed)
     text = F.substring(F.col("text").cast("string"), 1, 2000)
-    rows = docs.filter("text IS NOT NULL").select(F.xxhash64("text").alias("h"), text.alias("t")).orderBy("h", "t").limit(background_rows)
+    some = docs.filter("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+    part = F.lit(max(1, round((1 << 30) * min(1.0, background_rows / max(1, some.count())))))
+    # a share of the hashes, so no more than about that many texts; copies of a text are one
+    rows = some.filter(F.pmod("h", F.lit(1 << 30)) < part).groupBy("h").agg(F.min(text).alias("t")).orderBy("h")
     texts, y = [], []
     for family, notices in TEMPLATES.items():
         for notice in notices:

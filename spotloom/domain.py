@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import spread_by
+
 SPOT_DIAMETER = 65.0
 SPOT_RADIUS = SPOT_DIAMETER // 2
 STEP = int(SPOT_DIAMETER)
@@ -33,23 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input over all cores before heavy per-row work.
-
-    A table of a few megabytes is read by one task whatever its rows will cost.
-    Larger tables already have more splits than this and stay as they are.
-    """
-    spark = df.sparkSession
-    workers = spark.sparkContext.defaultParallelism
-    jvm = spark._jvm
-    size = 0
-    for name in df.inputFiles():
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        size += system.getFileStatus(path).getLen()
-        if size > workers * (16 << 20):
-            return df
-    return df.repartition(workers)
+def spread(cells: DataFrame) -> DataFrame:
+    """Deal cells over the session's tasks before heavy per-cell work."""
+    return spread_by(cells, "cell_ids")
 
 
 def expr(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,14 +2,17 @@
 
 All ordered pairs of cells count, up to the largest radius. Cells are packed into
 spatial blocks of bounded size. A pair of blocks whose smallest and largest
-distance fall into one band contributes the product of its type counts; only the
-other pairs are measured, block against block, in numpy inside the tasks. No pair
-of cells is ever emitted: what leaves a task is a small count table.
+distance fall into one band contributes the product of its type counts and carries
+nothing else; only the other pairs are measured, block against block, in numpy
+inside the tasks. No pair of cells is ever emitted: what leaves a task is a small
+count table per slide.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
+OPEN_SLIDES = 32  # count tables a task holds before it emits them; the sums come later
 
 
 def radii(n_intervals: int = 60) -> list[int]:
@@ -24,22 +28,26 @@ def radii(n_intervals: int = 60) -> list[int]:
     return [int((0.5 * i) ** 3) for i in range(1, n_intervals)]
 
 
-def _blocks(cells: DataFrame, tile: float, block_rows: int) -> DataFrame:
+def _blocks(cells: DataFrame, by: list[str], tile: float, block_rows: int) -> DataFrame:
     """Blocks of at most about ``block_rows`` cells: a tile, split where it is dense."""
     tiled = cells.select(
+        *by,
         F.col("cell_x").cast("double").alias("x"),
         F.col("cell_y").cast("double").alias("y"),
         F.col("type_code").alias("t"),
+        "n_types",
         F.floor(F.col("cell_x") / tile).alias("tx"),
         F.floor(F.col("cell_y") / tile).alias("ty"),
         F.xxhash64("cell_ids").alias("h"),
     )
-    sizes = tiled.groupBy("tx", "ty").agg(F.ceil(F.count("*") / block_rows).alias("parts"))
-    split = tiled.join(sizes, ["tx", "ty"]).withColumn("part", F.pmod("h", "parts"))
-    return split.groupBy("tx", "ty", "part").agg(
+    keys = [*by, "tx", "ty"]
+    sizes = tiled.groupBy(*keys).agg(F.ceil(F.count("*") / block_rows).alias("parts"))
+    split = tiled.join(sizes, keys).withColumn("part", F.pmod("h", "parts"))
+    return split.groupBy(*keys, "part").agg(
         F.collect_list("x").alias("xs"),
         F.collect_list("y").alias("ys"),
         F.collect_list("t").alias("ts"),
+        F.any_value("n_types").alias("n_types"),
         F.min("x").alias("x0"),
         F.max("x").alias("x1"),
         F.min("y").alias("y0"),
@@ -56,6 +64,12 @@ def _gap(a0: str, a1: str, b0: str, b1: str) -> tuple[Column, Column]:
     return low, high
 
 
+def _band_of(distance: Column, bounds: np.ndarray) -> Column:
+    """Number of limits below a distance, less one."""
+    upto = F.array(*[F.lit(float(v)) for v in bounds])
+    return F.size(F.filter(upto, lambda v: v < distance)) - 1
+
+
 def _band_codes(limits: np.ndarray) -> np.ndarray:
     """Band of every rounded-up distance; -1 outside all bands (radii are integers)."""
     upto = np.arange(int(limits[-1]) + 2)
@@ -66,19 +80,32 @@ def _band_codes(limits: np.ndarray) -> np.ndarray:
 
 def pair_counts(
     cells: DataFrame,
-    types: Sequence[str],
+    types: Sequence[str] | None,
     limits: Sequence[int],
     tile: float = 256.0,
     block_rows: int = BLOCK_ROWS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """(band, type_a, type_b, n): ordered pairs with distance in (limits[k], limits[k+1]]."""
-    names = list(types)
-    k = len(names)
+    """(slide, band, type_a, type_b, n): ordered pairs with distance in (limits[k], limits[k+1]].
+
+    Without ``types`` they are those of the cells; a cell whose type a given list lacks
+    is an error. Cells without a type do not count. Pairs lie within one slide of ``by``.
+    """
+    by = list(by)
     bounds = np.asarray(limits, dtype=np.float64)
     reach = float(bounds[-1])
-    codes = F.array_position(F.array(*[F.lit(t) for t in names]), F.col("cell_type")) - 1
-    coded = cells.filter(F.col("cell_type").isin(names)).withColumn("type_code", codes.cast("int"))
-    blocks = _blocks(coded, tile, block_rows)
+    typed = cells.filter(F.col("cell_type").isNotNull())
+    if types is None:
+        listed = typed.agg(F.sort_array(F.collect_set("cell_type"))).scalar()
+    else:
+        listed = F.array(*[F.lit(t) for t in types])
+    place = F.array_position(listed, F.col("cell_type"))
+    unknown = F.raise_error(F.concat(F.lit("cell type not listed: "), F.col("cell_type")))
+    code = F.when(place > 0, place).otherwise(unknown.cast("long")) - 1
+    coded = typed.withColumn("type_code", code.cast("int")).withColumn("n_types", F.size(listed))
+    blocks = _blocks(coded, by, tile, block_rows)
+    kinds = F.sequence(F.lit(0), F.col("n_types") - 1)
+    blocks = blocks.withColumn("hist", F.transform(kinds, lambda t: F.size(F.filter("ts", lambda v: v == t))))
 
     # Blocks meet through coarse buckets of whole tiles, one tile wider than the
     # reach, so tiles within reach are at most one bucket apart: an equi-join.
@@ -97,26 +124,37 @@ def pair_counts(
     other = [F.col(f"r.{c}") for c in ("tx", "ty", "part")]
     low_x, high_x = _gap("x0", "x1", "x0", "x1")
     low_y, high_y = _gap("y0", "y1", "y0", "y1")
+    meet = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*by, "gx", "gy")]
+    same = F.struct(*key) == F.struct(*other)
+    near = F.sqrt(low_x * low_x + low_y * low_y)
+    far = F.sqrt(high_x * high_x + high_y * high_y)
+    # Bands of the nearest and the farthest pair; -1 within the first limit.
+    first, last = _band_of(near, bounds), _band_of(far, bounds)
+    whole = ~same & (near > 0) & (first == last)
     pairs = (
         home.alias("l")
-        .join(spread.alias("r"), (F.col("l.gx") == F.col("r.gx")) & (F.col("l.gy") == F.col("r.gy")))
+        .join(spread.alias("r"), reduce(and_, meet))
         .filter(F.struct(*key) <= F.struct(*other))
         .filter(low_x * low_x + low_y * low_y <= reach * reach)
         .select(
-            (F.struct(*key) == F.struct(*other)).alias("same"),
-            F.sqrt(low_x * low_x + low_y * low_y).alias("near"),
-            F.sqrt(high_x * high_x + high_y * high_y).alias("far"),
-            *[F.col(f"l.{c}").alias(f"l{c}") for c in ("xs", "ys", "ts")],
-            *[F.col(f"r.{c}").alias(f"r{c}") for c in ("xs", "ys", "ts")],
+            *[F.col(f"l.{c}").alias(c) for c in by],
+            same.alias("same"),
+            F.when(whole, first).alias("one_band"),
+            F.col("l.hist").alias("lhist"),
+            F.col("r.hist").alias("rhist"),
+            *[F.when(~whole, F.col(f"l.{c}")).alias(f"l{c}") for c in ("xs", "ys", "ts")],
+            *[F.when(~whole, F.col(f"r.{c}")).alias(f"r{c}") for c in ("xs", "ys", "ts")],
         )
+        .filter("one_band IS NULL OR one_band >= 0")
     )
     n_bands = len(bounds) - 1
     # Distances outside all bands fall into one extra code that is dropped.
     lookup = _band_codes(bounds)
-    lookup = np.where(lookup < 0, n_bands, lookup).astype(np.int32) * (k * k)
+    lookup = np.where(lookup < 0, n_bands, lookup).astype(np.int32)
     top = len(lookup) - 1
 
-    def measure(row) -> np.ndarray:
+    def measure(row, k: int) -> np.ndarray:
+        cells_of_band = lookup * (k * k)
         lx, ly, lt = (np.asarray(v) for v in (row.lxs, row.lys, row.lts))
         rx, ry, rt = (np.asarray(v) for v in (row.rxs, row.rys, row.rts))
         hits = np.zeros((n_bands + 1) * k * k, dtype=np.int64)
@@ -131,36 +169,49 @@ def pair_counts(
             np.sqrt(square, out=square)
             np.ceil(square, out=square)
             np.minimum(square, top, out=square)
-            code = lookup[square.astype(np.int32)]
+            code = cells_of_band[square.astype(np.int32)]
             code += lt[strip, None] * k + rt[None, :]
             hits += np.bincount(code.ravel(), minlength=len(hits))
         return hits.reshape(n_bands + 1, k, k)[:n_bands]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((n_bands, k, k), dtype=np.int64)
+        totals: dict[tuple, np.ndarray] = {}
+
+        def emit() -> Iterator[pd.DataFrame]:
+            for slide, total in totals.items():
+                band, a, b = np.nonzero(total)
+                out = pd.DataFrame({"band": band, "a": a, "b": b, "n": total[band, a, b]})
+                for at, (name, value) in enumerate(zip(by, slide)):
+                    out.insert(at, name, [value] * len(out))
+                yield out
+            totals.clear()
+
         for batch in batches:
             for row in batch.itertuples(index=False):
-                first = np.searchsorted(bounds, row.near, side="left") - 1
-                last = np.searchsorted(bounds, row.far, side="left") - 1
-                if first == last and not row.same and row.near > 0:
-                    if 0 <= first < n_bands:
-                        lt, rt = np.asarray(row.lts), np.asarray(row.rts)
-                        product = np.outer(np.bincount(lt, minlength=k), np.bincount(rt, minlength=k))
-                        total[first] += product + product.T
+                slide, k = tuple(row[: len(by)]), len(row.lhist)
+                if slide not in totals:
+                    if len(totals) == OPEN_SLIDES:
+                        yield from emit()
+                    totals[slide] = np.zeros((n_bands, k, k), dtype=np.int64)
+                total = totals[slide]
+                if row.lts is None:
+                    product = np.outer(row.lhist, row.rhist)
+                    total[int(row.one_band)] += product + product.T
                     continue
-                hits = measure(row)
+                hits = measure(row, k)
                 total += hits if row.same else hits + hits.transpose(0, 2, 1)
-        band, a, b = np.nonzero(total)
-        yield pd.DataFrame({"band": band, "a": a, "b": b, "n": total[band, a, b]})
+        yield from emit()
 
-    listed = F.array(*[F.lit(t) for t in names])
     # Block pairs are heavy to measure but small in bytes: spread them by number.
     workers = cells.sparkSession.sparkContext.defaultParallelism
+    types_of = dict(cells.dtypes)
+    schema = ", ".join([*(f"{c} {types_of[c]}" for c in by), "band int", "a int", "b int", "n long"])
     return (
-        pairs.repartition(4 * workers).mapInPandas(count, "band int, a int, b int, n long")
-        .groupBy("band", "a", "b")
+        pairs.repartition(4 * workers).mapInPandas(count, schema)
+        .groupBy(*by, "band", "a", "b")
         .agg(F.sum("n").alias("n"))
         .select(
+            *by,
             "band",
             F.get(listed, F.col("a")).alias("type_a"),
             F.get(listed, F.col("b")).alias("type_b"),
@@ -169,17 +220,18 @@ def pair_counts(
     )
 
 
-def co_occurrence(counts: DataFrame, limits: Sequence[int]) -> DataFrame:
+def co_occurrence(counts: DataFrame, limits: Sequence[int], by: Sequence[str] = ()) -> DataFrame:
     """Ratio of P(b | a) to P(b) in every band, for all pairs of types that meet.
 
-    The count table has at most bands x types^2 rows.
+    The count table has at most bands x types^2 rows a slide.
     """
-    of_band = Window.partitionBy("band")
-    row = F.sum("n").over(Window.partitionBy("band", "type_a"))
-    column = F.sum("n").over(Window.partitionBy("band", "type_b"))
+    of_band = Window.partitionBy(*by, "band")
+    row = F.sum("n").over(Window.partitionBy(*by, "band", "type_a"))
+    column = F.sum("n").over(Window.partitionBy(*by, "band", "type_b"))
     total = F.sum("n").over(of_band)
     upper = F.array(*[F.lit(int(v)) for v in list(limits)[1:]])
     return counts.select(
+        *by,
         F.get(upper, F.col("band")).alias("distance"),
         "type_a",
         "type_b",

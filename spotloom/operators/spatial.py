@@ -4,15 +4,22 @@ Spark has no index for geometry. Every spatial join here is an equi-join on grid
 buckets followed by an exact predicate, so it shuffles by bucket and never pairs
 a whole side with a whole side. Boxes are filed at the grid level that matches
 their size, which bounds the number of buckets per box by four.
+
+Coordinates belong to one slide. With several slides in a table, ``by`` names the
+columns that tell them apart; they are part of every join key and group. Rows in
+which one of them is NULL belong to no slide and meet nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions.numeric import ratio, value_bucket
+from ..functions.probability import normal_tail, normal_two_sided
 from .merge import NOT_DECONVOLVED
 
 # Rows of a hot bucket are spread over this many partitions; boxes are few.
@@ -34,6 +41,7 @@ def box_join(
     unit: float,
     how: str = "inner",
     salt: int = SALT,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Pairs of points and boxes that contain them (bounds inclusive).
 
@@ -63,7 +71,7 @@ def box_join(
         .withColumn("_salt", F.pmod(F.xxhash64(x, y), F.lit(salt)).cast("int"))
     )
     keys = ["_level", "_bx", "_by", "_salt"]
-    joined = probing.join(filed, keys, how).drop(*keys)
+    joined = probing.join(filed, [*by, *keys], how).drop(*keys)
     hit = F.col(x).between(F.col("_x0"), F.col("_x1")) & F.col(y).between(
         F.col("_y0"), F.col("_y1")
     )
@@ -73,15 +81,17 @@ def box_join(
 
 
 def assign_cells_to_spots(
-    cells: DataFrame, spots: DataFrame, radius: float, order: str = "barcode"
+    cells: DataFrame, spots: DataFrame, radius: float, order: str = "barcode", by: Sequence[str] = ()
 ) -> DataFrame:
     """Every cell with the barcode of the spot that holds its centroid, or NULL.
 
-    Where spots overlap the one with the largest ``order`` wins.
+    Where spots overlap the one with the largest ``order`` wins. Only the cells that
+    lie in a spot are grouped; the others keep their place and get NULL.
     """
     cx = F.col("pxl_col_in_fullres").cast("double")
     cy = F.col("pxl_row_in_fullres").cast("double")
     centres = spots.select(
+        *by,
         F.col("barcode").alias("_spot"),
         F.col(order).alias("_order"),
         cx.alias("_cx"),
@@ -91,25 +101,25 @@ def assign_cells_to_spots(
         (cx + radius).alias("_x1"),
         (cy + radius).alias("_y1"),
     )
-    near = box_join(cells, centres, "cell_x", "cell_y", 2 * radius, "left")
-    inside = F.col("_hit") & geo.in_buffered_point(
+    keys = [*by, "cell_ids"]
+    places = cells.select(*keys, "cell_x", "cell_y")
+    near = box_join(places, centres, "cell_x", "cell_y", 2 * radius, by=by)
+    inside = geo.in_buffered_point(
         F.col("cell_x") - F.col("_cx"), F.col("cell_y") - F.col("_cy"), radius
     )
-    rest = [c for c in cells.columns if c != "cell_ids"]
-    return near.groupBy("cell_ids").agg(
-        *[F.any_value(c).alias(c) for c in rest],
-        F.max_by(F.when(inside, F.col("_spot")), F.when(inside, F.col("_order"))).alias("barcode"),
-    )
+    hits = near.filter(inside).groupBy(*keys).agg(F.max_by("_spot", "_order").alias("barcode"))
+    return cells.join(hits, keys, "left")
 
 
-def contained_cells(cells: DataFrame, spots: DataFrame) -> DataFrame:
+def contained_cells(cells: DataFrame, spots: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Spots with the number of their cells (zero included)."""
+    keys = [*by, "barcode"]
     counts = (
         cells.filter(F.col("barcode").isNotNull())
-        .groupBy("barcode")
+        .groupBy(*keys)
         .agg(F.count("*").alias("num_contained_cells"))
     )
-    return spots.join(counts, "barcode", "left").na.fill(0, ["num_contained_cells"])
+    return spots.join(counts, keys, "left").na.fill(0, ["num_contained_cells"])
 
 
 def filter_by_area(
@@ -191,13 +201,13 @@ def tissue_box(
     )
 
 
-def region_edges(regions: DataFrame) -> DataFrame:
+def region_edges(regions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row per edge: end points, unit direction, outward normal, corner at its end.
 
     ``turn`` is positive where that corner sticks out of the polygon. A ring may
     repeat its first point at the end.
     """
-    keys = ["region_class", "region_name"]
+    keys = [*by, "region_class", "region_name"]
     corners = regions.select(*keys, F.posexplode(geo.open_ring(F.col("ring"))).alias("i", "_p"))
     ordered = Window.partitionBy(*keys).orderBy("i")
     whole = Window.partitionBy(*keys)
@@ -235,12 +245,12 @@ def region_edges(regions: DataFrame) -> DataFrame:
 WALL = ["i", "x1", "y1", "x2", "y2", "len", "ux", "uy", "nx", "ny", "vx", "vy", "sx", "sy", "turn"]
 
 
-def with_edges(regions: DataFrame, reach: float = 0.0) -> DataFrame:
-    """(region_class, region_name, edges, bounds widened by ``reach``).
+def with_edges(regions: DataFrame, reach: float = 0.0, by: Sequence[str] = ()) -> DataFrame:
+    """(slide, region_class, region_name, edges, bounds widened by ``reach``).
 
     A group per polygon: its size is the number of corners someone drew.
     """
-    return region_edges(regions).groupBy("region_class", "region_name").agg(
+    return region_edges(regions, by).groupBy(*by, "region_class", "region_name").agg(
         F.sort_array(F.collect_list(F.struct(*WALL))).alias("edges"),
         (F.min("x1") - reach).alias("_x0"),
         (F.min("y1") - reach).alias("_y0"),
@@ -249,14 +259,14 @@ def with_edges(regions: DataFrame, reach: float = 0.0) -> DataFrame:
     )
 
 
-def _over_edges(near: DataFrame, key: str, *aggs: Column) -> DataFrame:
+def _over_edges(near: DataFrame, key: Sequence[str], *aggs: Column) -> DataFrame:
     """Fold the edges of every (point, region) pair.
 
     The edges are unfolded in place and folded back by a hash aggregation. That
     stays in generated code, and the map side already merges the edges of a pair,
     so only one row per pair is shuffled.
     """
-    keys = ["region_class", "region_name", key]
+    keys = ["region_class", "region_name", *key]
     rest = [c for c in near.columns if c not in [*keys, "edges"]]
     rows = near.select(*keys, *rest, F.explode("edges").alias("_e"))
     return rows.groupBy(*keys).agg(*[F.any_value(c).alias(c) for c in rest], *aggs)
@@ -274,26 +284,48 @@ INSIDE = "_crossings % 2 = 1 and _touching = 0"
 
 
 def region_members(
-    points: DataFrame, regions: DataFrame, key: str, x: str, y: str, unit: float = 256.0
+    points: DataFrame,
+    regions: DataFrame,
+    key: str,
+    x: str,
+    y: str,
+    unit: float = 256.0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """(region_class, region_name, point columns) of points strictly inside."""
-    near = box_join(points, with_edges(regions), x, y, unit)
-    scanned = _over_edges(near, key, *_inside_aggs(F.col(x), F.col(y)))
+    near = box_join(points, with_edges(regions, by=by), x, y, unit, by=by)
+    scanned = _over_edges(near, [*by, key], *_inside_aggs(F.col(x), F.col(y)))
     return scanned.filter(INSIDE).drop("_crossings", "_touching")
 
 
+def members_of_sized_regions(
+    spots: DataFrame, regions: DataFrame, min_spots: int = 2, by: Sequence[str] = ()
+) -> DataFrame:
+    """``region_members`` of spots, for regions that hold at least ``min_spots`` of them."""
+    hits = region_members(
+        spots, regions, "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres", by=by
+    )
+    keys = [*by, "region_class", "region_name"]
+    sized = hits.groupBy(*keys).agg(F.count("*").alias("_k")).filter(F.col("_k") >= min_spots)
+    return hits.join(sized.drop("_k"), keys, "left_semi")
+
+
 def region_sizes(
-    cells: DataFrame, spots: DataFrame, regions: DataFrame, min_spots: int = 2
+    cells: DataFrame,
+    spots: DataFrame,
+    regions: DataFrame,
+    min_spots: int = 2,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Cells and spots per region; regions with fewer than two spots are dropped."""
-    keys = ["region_class", "region_name"]
+    keys = [*by, "region_class", "region_name"]
     per_cell = (
-        region_members(cells, regions, "cell_ids", "cell_x", "cell_y")
+        region_members(cells, regions, "cell_ids", "cell_x", "cell_y", by=by)
         .groupBy(*keys)
         .agg(F.count("*").alias("num_cells"))
     )
     per_spot = (
-        region_members(spots, regions, "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres")
+        region_members(spots, regions, "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres", by=by)
         .groupBy(*keys)
         .agg(F.count("*").alias("num_spots"))
         .filter(F.col("num_spots") >= min_spots)
@@ -301,14 +333,17 @@ def region_sizes(
     return per_spot.join(per_cell, keys, "left").na.fill(0, ["num_cells"])
 
 
-def cluster_sizes(cells: DataFrame, spots: DataFrame, cluster: str = "cluster") -> DataFrame:
+def cluster_sizes(
+    cells: DataFrame, spots: DataFrame, cluster: str = "cluster", by: Sequence[str] = ()
+) -> DataFrame:
     """Cells and spots of every expression cluster."""
-    per_spot = cells.filter(F.col("barcode").isNotNull()).groupBy("barcode").agg(
+    keys = [*by, "barcode"]
+    per_spot = cells.filter(F.col("barcode").isNotNull()).groupBy(*keys).agg(
         F.count("*").alias("_n")
     )
     return (
-        spots.join(per_spot, "barcode", "left")
-        .groupBy(cluster)
+        spots.join(per_spot, keys, "left")
+        .groupBy(*by, cluster)
         .agg(
             F.coalesce(F.sum("_n"), F.lit(0)).alias("num_cells"),
             F.count("*").alias("num_spots"),
@@ -323,6 +358,7 @@ def infiltration_levels(
     levels: int = 4,
     join_style: str = "bevel",
     unit: float = 512.0,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Level of every cell near a region: the narrowest buffer that still holds it.
 
@@ -331,7 +367,7 @@ def infiltration_levels(
     """
     reach = float(levels * step)
     kept = cells.filter(F.col("cell_type") != NOT_DECONVOLVED)
-    near = box_join(kept, with_edges(regions, reach), "cell_x", "cell_y", unit)
+    near = box_join(kept, with_edges(regions, reach, by), "cell_x", "cell_y", unit, by=by)
     x, y = F.col("cell_x"), F.col("cell_y")
     e = F.col("_e")
     if join_style == "bevel":
@@ -339,7 +375,7 @@ def infiltration_levels(
     else:
         outer = inner = geo.segment_gap(e, x, y)
     scanned = _over_edges(
-        near, "cell_ids", *_inside_aggs(x, y), F.min(outer).alias("_out"), F.min(inner).alias("_in")
+        near, [*by, "cell_ids"], *_inside_aggs(x, y), F.min(outer).alias("_out"), F.min(inner).alias("_in")
     )
     distance = F.when(F.expr(INSIDE), -F.col("_in")).otherwise(F.col("_out"))
     placed = scanned.withColumn("_d", F.round(distance, 9)).filter(F.col("_d") < reach)
@@ -348,12 +384,13 @@ def infiltration_levels(
     ).drop("_crossings", "_touching", "_out", "_in", "_d")
 
 
-def infiltration_table(levels: DataFrame, spot_diameter: float, step: int) -> DataFrame:
+def infiltration_table(
+    levels: DataFrame, spot_diameter: float, step: int, by: Sequence[str] = ()
+) -> DataFrame:
     """Abundance and share of each type per region and level, with bounds in micron."""
-    counts = levels.groupBy("region_class", "region_name", "infilt_level", "cell_type").agg(
-        F.count("*").alias("abundance")
-    )
-    types_of_level = Window.partitionBy("region_class", "region_name", "infilt_level")
+    keys = [*by, "region_class", "region_name"]
+    counts = levels.groupBy(*keys, "infilt_level", "cell_type").agg(F.count("*").alias("abundance"))
+    types_of_level = Window.partitionBy(*keys, "infilt_level")
     counts = counts.withColumn("_t", F.sum("abundance").over(types_of_level))
 
     def micron(px: Column) -> Column:
@@ -362,8 +399,7 @@ def infiltration_table(levels: DataFrame, spot_diameter: float, step: int) -> Da
 
     upper, lower = micron(F.col("infilt_level")), micron(F.col("infilt_level") - step)
     return counts.select(
-        "region_class",
-        "region_name",
+        *keys,
         F.col("infilt_level").alias("level"),
         "cell_type",
         "abundance",
@@ -374,12 +410,12 @@ def infiltration_table(levels: DataFrame, spot_diameter: float, step: int) -> Da
     )
 
 
-def infiltration_grid(levels: DataFrame) -> DataFrame:
+def infiltration_grid(levels: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Abundance for every level and every type of a region, zeros included.
 
     Levels and types of one region are few; they are listed and unfolded in place.
     """
-    keys = ["region_class", "region_name"]
+    keys = [*by, "region_class", "region_name"]
     counts = levels.groupBy(*keys, "infilt_level", "cell_type").agg(
         F.count("*").alias("abundance")
     )
@@ -404,15 +440,30 @@ def infiltration_grid(levels: DataFrame) -> DataFrame:
     )
 
 
-def infiltration_test(table: DataFrame, buffer: bool = True) -> DataFrame:
-    """Pooled two-proportion z of every type: inside against outside its region.
+def infiltration_test(
+    table: DataFrame,
+    buffer: bool = True,
+    alternative: str = "two-sided",
+    p_limit: float = 0.05,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Pooled two-proportion z of every type, inside against outside its region, with
+    its p-value and whether that lies below ``p_limit``.
+
+    ``alternative`` is ``two-sided``, ``larger`` (more of the type inside) or ``smaller``.
 
     With ``buffer`` the band up to the gap between the type's two outermost levels
     is left out on both sides of the boundary. Types seen at fewer than two levels
-    and regions with an empty side give z = 0. ``table`` is already counted, so a
+    and regions with an empty side give z = 0 and p = 1, without significance; z and p
+    are NULL where a type makes up all or none of both sides. ``table`` is already counted, so a
     region has at most levels x types rows.
     """
-    keys = ["region_class", "region_name"]
+    tail = {
+        "two-sided": lambda z: normal_two_sided(z),
+        "larger": lambda z: normal_tail(z),
+        "smaller": lambda z: normal_tail(-z),
+    }[alternative]
+    keys = [*by, "region_class", "region_name"]
     mine = table.groupBy(*keys, "cell_type").agg(
         F.collect_list(F.struct("level", "abundance")).alias("_mine")
     )
@@ -438,6 +489,7 @@ def infiltration_test(table: DataFrame, buffer: bool = True) -> DataFrame:
     sums = rows.select(
         *keys,
         "cell_type",
+        "gap",
         total("_mine", True).alias("x1"),
         total("_mine", False).alias("x2"),
         total("_all", True).alias("n1"),
@@ -448,4 +500,12 @@ def infiltration_test(table: DataFrame, buffer: bool = True) -> DataFrame:
     lead = F.try_divide(F.col("x1"), F.col("n1")) - F.try_divide(F.col("x2"), F.col("n2"))
     z = F.try_divide(lead, F.sqrt(pooled * (1 - pooled) * inverse))
     usable = (F.col("n1") > 0) & (F.col("n2") > 0)
-    return sums.withColumn("z", F.when(usable, z).otherwise(F.lit(0.0)))
+    if buffer:
+        usable = usable & F.col("gap").isNotNull()
+    scored = sums.withColumn("z", F.when(usable, z).otherwise(F.lit(0.0)))
+    p = F.when(F.col("z").isNotNull(), tail(F.coalesce("z", F.lit(0.0))))
+    return scored.select(
+        *keys, "cell_type", "x1", "x2", "n1", "n2", "z",
+        F.when(usable, p).otherwise(F.lit(1.0)).alias("p"),
+        F.when(usable, F.coalesce(p < p_limit, F.lit(False))).otherwise(F.lit(False)).alias("significant"),
+    )

@@ -212,7 +212,7 @@ def replace_in_tiles(existing: DataFrame, fresh: DataFrame, tiles: DataFrame) ->
     from .spatial import box_join
 
     boxes = tiles.select(
-        F.col("img").alias("_img"),
+        "img",
         "tile",
         "y0",
         "y1",
@@ -223,7 +223,7 @@ def replace_in_tiles(existing: DataFrame, fresh: DataFrame, tiles: DataFrame) ->
         (F.col("x1") - 1).cast("double").alias("_x1"),
         (F.col("y1") - 1).cast("double").alias("_y1"),
     )
-    inside = box_join(existing, boxes, "x", "y", 64.0).filter("img = _img")
+    inside = box_join(existing, boxes, "x", "y", 64.0, by=["img"])
     on_edge = (
         (F.col("y") == F.col("y0"))
         | (F.col("y") == F.col("y1") - 1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import (
@@ -57,7 +57,9 @@ class Settings:
     diff_fold: float = 3.0
     infiltration_levels: int = 4
     min_cells_for_graph: int = 4
-    cell_types: tuple[str, ...] = ()
+    cell_types: tuple[str, ...] = ()  # those of the cells when empty
+    slide: tuple[str, ...] = ()  # columns that tell the slides of a run apart
+    min_region_spots: int = 2
     figures: tuple[str, ...] = field(
         default=(
             "cell_summary", "cell_counts", "cell_per_spot", "spot_avg_gene_counts",
@@ -67,10 +69,15 @@ class Settings:
     )
 
 
+def _slide(s: Settings) -> Column:
+    """One value per slide, for operators that take a single sample column."""
+    return F.concat_ws("/", *[F.col(c).cast("string") for c in s.slide]) if s.slide else F.lit("sample")
+
+
 def cell2spot(t: Tables, s: Settings) -> Tables:
     radius = s.spot_diameter // 2
-    cells = spatial.assign_cells_to_spots(t["cells"], t["spots"], radius)
-    return {"cells": cells, "spots": spatial.contained_cells(cells, t["spots"])}
+    cells = spatial.assign_cells_to_spots(t["cells"], t["spots"], radius, by=s.slide)
+    return {"cells": cells, "spots": spatial.contained_cells(cells, t["spots"], s.slide)}
 
 
 def celldeconv(t: Tables, s: Settings) -> Tables:
@@ -127,10 +134,15 @@ def assign(t: Tables, s: Settings) -> Tables:
 
 def quality(t: Tables, s: Settings) -> Tables:
     args = (t["expr"], t["spots"], t["genes"], s.mitochondrial_prefixes, s.mitochondrial_genes)
+    if s.slide:
+        samples = t["spots"].select("barcode", _slide(s).alias("exp_id"))
+        overall = qc.overall_qc_by_sample(t["expr"], samples)
+    else:
+        overall = qc.overall_qc(t["expr"], "sample")
     return {
         "spot_qc": qc.spot_qc(*args),
         "gene_qc": qc.gene_qc(*args),
-        "overall_qc": qc.overall_qc(t["expr"], "sample"),
+        "overall_qc": overall,
     }
 
 
@@ -174,7 +186,7 @@ def tissue_figures(t: Tables, s: Settings) -> Tables:
     cells = merge.keep_deconvolved(t["merged_cells"])
     spots, expr = t["merged_spots"], t["merged_expr"]
     n = spots.agg(F.count("*")).scalar()
-    edges = graph.lattice_edges(spots, s.rings)
+    edges = graph.lattice_edges(spots, s.rings, s.slide)
     values = {
         "gene": expr.select("barcode", F.col("gene").alias("marker"), F.col("count").alias("value")),
         "cell": t["merged_proportions"].select(
@@ -202,8 +214,8 @@ def tissue_figures(t: Tables, s: Settings) -> Tables:
 
     def together() -> DataFrame:
         limits = cooccurrence.radii(s.intervals)
-        counts = cooccurrence.pair_counts(cells, s.cell_types, limits)
-        return cooccurrence.co_occurrence(counts, limits)
+        counts = cooccurrence.pair_counts(cells, s.cell_types or None, limits, by=s.slide)
+        return cooccurrence.co_occurrence(counts, limits, s.slide)
 
     def moran(kind: str) -> DataFrame:
         inside = values[kind].join(tissue, "barcode", "left_semi")
@@ -213,9 +225,7 @@ def tissue_figures(t: Tables, s: Settings) -> Tables:
         return spots.select("barcode", F.col(column).cast("string").alias("region"))
 
     def annotated() -> DataFrame:
-        hits = spatial.region_members(
-            spots, t["regions"], "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres"
-        )
+        hits = spatial.members_of_sized_regions(spots, t["regions"], s.min_region_spots, s.slide)
         regions = hits.select("barcode", F.col("region_class").alias("region"))
         return comparative.compare_regions(expr, regions, s.diff_p, s.diff_fold)
 
@@ -232,7 +242,7 @@ def tissue_figures(t: Tables, s: Settings) -> Tables:
         "variable_genes": lambda: variability.spatial_variability(
             expr,
             spots.select(
-                F.lit(0).alias("exp_id"), "barcode",
+                _slide(s).alias("exp_id"), "barcode",
                 F.col("pxl_col_in_fullres").cast("double").alias("x"),
                 F.col("pxl_row_in_fullres").cast("double").alias("y"),
             ),
@@ -249,12 +259,12 @@ def region_figures(t: Tables, s: Settings) -> Tables:
     """Infiltration of every annotated region at once."""
     step = int(s.spot_diameter)
     cells = merge.keep_deconvolved(t["merged_cells"])
-    levels = spatial.infiltration_levels(cells, t["regions"], step, s.infiltration_levels)
-    table = spatial.infiltration_table(levels, s.spot_diameter, step)
+    levels = spatial.infiltration_levels(cells, t["regions"], step, s.infiltration_levels, by=s.slide)
+    table = spatial.infiltration_table(levels, s.spot_diameter, step, s.slide)
     return {
-        "infilt_comparing_cell_types": spatial.infiltration_grid(levels),
+        "infilt_comparing_cell_types": spatial.infiltration_grid(levels, s.slide),
         "infilt_comparing_levels": table,
-        "infilt_test": spatial.infiltration_test(table),
+        "infilt_test": spatial.infiltration_test(table, by=s.slide),
     }
 
 

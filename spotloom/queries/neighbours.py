@@ -10,7 +10,6 @@ from ..operators import merge as m
 from ..registry import query
 from ..session import cut_lineage
 
-TYPES = ["click", "error", "purchase", "signup", "view"]
 
 _EDGES = """sp AS (SELECT * FROM spots WHERE in_tissue = 1),
 ring1 AS (
@@ -129,7 +128,7 @@ def graph_chord(spark, sf):
 @query("graph_enrichment_permuted")
 def graph_enrichment_permuted(spark, sf):
     labels = _spots(spark, sf).select(F.col("barcode").alias("id"), F.col("cluster").alias("label"))
-    return g.permuted_enrichment(_edges(spark, sf), labels, 100)
+    return g.permuted_enrichment(_edges(spark, sf), labels, 1000)
 
 
 _MORAN = """,
@@ -222,7 +221,7 @@ def moran_genes_pvalues(spark, sf):
 
 @query("moran_genes_permuted")
 def moran_genes_permuted(spark, sf):
-    return g.permuted_morans_i(_gene_values(spark, sf), _edges(spark, sf), _spots(spark, sf), 20)
+    return g.permuted_morans_i(_gene_values(spark, sf), _edges(spark, sf), _spots(spark, sf), 100)
 
 
 @query(
@@ -257,7 +256,7 @@ pairs AS (
     d.sql("cells", extra=_BANDS, body="SELECT band, type_a, type_b, n FROM pairs"),
 )
 def cooccurrence_pairs(spark, sf):
-    return co.pair_counts(d.cells(spark, sf), TYPES, _LIMITS)
+    return co.pair_counts(d.cells(spark, sf), None, _LIMITS)
 
 
 @query(
@@ -271,10 +270,27 @@ FROM pairs""",
     ),
 )
 def cooccurrence_ratio(spark, sf):
-    counts = co.pair_counts(d.cells(spark, sf), TYPES, _LIMITS)
+    counts = co.pair_counts(d.cells(spark, sf), None, _LIMITS)
     return co.co_occurrence(counts, _LIMITS).withColumn("ratio", r6(F.col("ratio")))
 
 
+@query(
+    "slides_cooccurrence_pairs",
+    d.sql(
+        "cells", extra=_BANDS.replace("GROUP BY 1, 2, 3),", "GROUP BY 1, 2, 3, 4),").replace(
+            "a.cell_type AS type_a,", "a.cell_ids % 3 AS slide, a.cell_type AS type_a,"
+        ).replace("CROSS JOIN cells b", "JOIN cells b ON a.cell_ids % 3 = b.cell_ids % 3").replace(
+            "AS band, hi, type_a", "AS band, hi, slide, type_a"
+        ).replace("GROUP BY 1, 2, 3, 4)", "GROUP BY ALL)"),
+        body="SELECT slide, band, type_a, type_b, n FROM pairs",
+    ),
+)
+def slides_cooccurrence_pairs(spark, sf):
+    """Three slides over the same ground: only cells of one slide meet."""
+    cells = d.cells(spark, sf).withColumn("slide", F.col("cell_ids") % 3)
+    return co.pair_counts(cells, None, _LIMITS, by=["slide"])
+
+
 @query("graph_delaunay_degrees")
 def graph_delaunay_degrees(spark, sf):
     """Number of Delaunay neighbours of every cell."""

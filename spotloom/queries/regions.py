@@ -58,13 +58,8 @@ def _cluster_members(spark, sf):
 
 
 def _class_members(spark, sf):
-    hits = sp.region_members(
-        d.spots(spark, sf), d.regions(spark, sf), "barcode", "pxl_col_in_fullres", "pxl_row_in_fullres"
-    )
-    kept = hits.groupBy("region_name").agg(F.count("*").alias("k")).filter("k > 1")
-    return hits.join(kept, "region_name", "left_semi").select(
-        "barcode", F.col("region_class").alias("region")
-    )
+    hits = sp.members_of_sized_regions(d.spots(spark, sf), d.regions(spark, sf))
+    return hits.select("barcode", F.col("region_class").alias("region"))
 
 
 def _shown(stats):

@@ -305,12 +305,7 @@ def infiltration_by_cell_type(spark, sf):
     return sp.infiltration_grid(_levels(spark, sf))
 
 
-@query(
-    "infiltration_test",
-    d.sql(
-        "spots", "regions", "cells",
-        extra=_LEVELS
-        + """,
+_TEST_SUMS = """,
 gaps AS (
     SELECT region_class, region_name, cell_type, ls[1] - ls[2] AS gap FROM (
         SELECT region_class, region_name, cell_type, list_sort(list(DISTINCT level), 'DESC') AS ls
@@ -321,7 +316,14 @@ sums AS (
         coalesce(sum(abundance) FILTER (WHERE c.cell_type = g.cell_type AND level > gap), 0)::double AS x2,
         coalesce(sum(abundance) FILTER (WHERE level <= -gap), 0)::double AS n1,
         coalesce(sum(abundance) FILTER (WHERE level > gap), 0)::double AS n2
-    FROM gaps g JOIN counts c USING (region_name) GROUP BY 1, 2, 3)""",
+    FROM gaps g JOIN counts c USING (region_name) GROUP BY 1, 2, 3)"""
+
+
+@query(
+    "infiltration_test",
+    d.sql(
+        "spots", "regions", "cells",
+        extra=_LEVELS + _TEST_SUMS,
         body="""SELECT *, CASE WHEN n1 > 0 AND n2 > 0 THEN
     round((x1 / n1 - x2 / n2) / nullif(sqrt((x1 + x2) / (n1 + n2) * (1 - (x1 + x2) / (n1 + n2)) * (1 / n1 + 1 / n2)), 0), 6)
     ELSE 0.0::double END AS z FROM sums""",
@@ -330,4 +332,64 @@ sums AS (
 def infiltration_test(spark, sf):
     table = sp.infiltration_table(_levels(spark, sf), d.SPOT_DIAMETER, d.STEP)
     tested = sp.infiltration_test(table)
-    return tested.withColumn("z", r6(F.col("z")))
+    return tested.withColumn("z", r6(F.col("z"))).drop("p", "significant")
+
+
+def _slides(cells):
+    return cells.withColumn("slide", F.col("cell_ids") % 2)
+
+
+def _on_both(df):
+    return df.withColumn("slide", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))))
+
+
+@query(
+    "infiltration_significance",
+    d.sql(
+        "spots", "regions", "cells",
+        extra=_LEVELS + _TEST_SUMS,
+        body="""SELECT region_class, region_name, cell_type, coalesce(n1 > 0 AND n2 > 0 AND
+    abs((x1 / n1 - x2 / n2) / nullif(sqrt((x1 + x2) / (n1 + n2) * (1 - (x1 + x2) / (n1 + n2)) * (1 / n1 + 1 / n2)), 0))
+    > 1.959963984540054, false) AS significant FROM sums""",
+    ),
+)
+def infiltration_significance(spark, sf):
+    """Types whose share differs between the inside and the outside at p < 0.05."""
+    table = sp.infiltration_table(_levels(spark, sf), d.SPOT_DIAMETER, d.STEP)
+    return sp.infiltration_test(table).select("region_class", "region_name", "cell_type", "significant")
+
+
+@query(
+    "slides_cells_to_spots",
+    d.sql(
+        "cells", "spots",
+        extra=_IN_SPOT.replace("    WHERE ", "    WHERE c.cell_ids % 2 = s.barcode % 2 AND ", 1),
+        body="""SELECT cell_ids % 2 AS slide, cell_ids // 2 AS cell_ids, barcode
+FROM cells LEFT JOIN in_spot USING (cell_ids)""",
+    ),
+)
+def slides_cells_to_spots(spark, sf):
+    """Two slides with the same cell ids and the same coordinates; each has every other spot."""
+    cells = _slides(d.cells(spark, sf)).select(
+        "slide", F.expr("cell_ids div 2").alias("cell_ids"), "cell_x", "cell_y"
+    )
+    spots = d.spots(spark, sf).withColumn("slide", F.col("barcode") % 2)
+    return sp.assign_cells_to_spots(cells, spots, R, by=["slide"]).select("slide", "cell_ids", "barcode")
+
+
+@query(
+    "slides_region_cells",
+    d.sql(
+        "spots", "regions", "cells", extra=_LEVELS,
+        body="""SELECT cell_ids % 2 AS slide, region_class, region_name, infilt_level AS level, cell_type,
+    count(*) AS abundance
+FROM levels GROUP BY 1, 2, 3, 4, 5""",
+    ),
+)
+def slides_region_cells(spark, sf):
+    """Infiltration per slide, the regions drawn on both."""
+    levels = sp.infiltration_levels(
+        _slides(d.cells(spark, sf)), _on_both(d.regions(spark, sf)), d.STEP, by=["slide"]
+    )
+    table = sp.infiltration_table(levels, d.SPOT_DIAMETER, d.STEP, ["slide"])
+    return table.select("slide", "region_class", "region_name", "level", "cell_type", "abundance")

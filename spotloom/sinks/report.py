@@ -1,8 +1,7 @@
 """An HTML report from small result tables.
 
-Only figure tables are fetched: each is an aggregate whose size follows the number
-of types, regions or reported genes. A table beyond ``MAX_ROWS`` is linked to its
-stored file and not fetched.
+Every figure table is stored whole and linked. The page shows the first rows of each,
+up to a parameter: most figure tables are aggregates that fit.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from string import Template
 
 from pyspark.sql import DataFrame
 
-MAX_ROWS = 5000
+SHOWN_ROWS = 5000
 
 _PAGE = Template(
     """<!doctype html><html><head><meta charset="utf-8"><title>$title</title>
@@ -23,15 +22,16 @@ td,th{border:1px solid #ccc;padding:2px 8px;text-align:right}</style></head>
 )
 
 
-def _table(name: str, description: str, df: DataFrame, stored: str | None) -> str:
-    rows = df.limit(MAX_ROWS + 1).collect()
+def _table(name: str, description: str, df: DataFrame, stored: str, shown: int) -> str:
+    rows = df.limit(shown + 1).collect()
+    where = html.escape(stored)
     head = f"<h2>{html.escape(name)}</h2><p>{html.escape(description)}</p>"
-    if len(rows) > MAX_ROWS:
-        where = html.escape(stored or "the result store")
-        return head + f"<p>More than {MAX_ROWS} rows; see {where}.</p>"
+    head += f'<p><a href="{where}">whole table</a></p>'
+    if len(rows) > shown:
+        head += f"<p>The first {shown} rows follow.</p>"
     cells = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
     body = "".join(
-        "<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>" for row in rows
+        "<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>" for row in rows[:shown]
     )
     return head + f"<table><tr>{cells}</tr>{body}</table>"
 
@@ -43,13 +43,17 @@ def write_report(
     descriptions: dict[str, str] | None = None,
     summary: dict[str, object] | None = None,
     stored_at: str | None = None,
+    shown: int = SHOWN_ROWS,
 ) -> None:
+    """Store the figures in ``stored_at`` (default: beside the page) and write the page."""
+    stored_at = stored_at or f"{path}.tables"
+    export_figures(figures, stored_at)
     descriptions = descriptions or {}
     head = "".join(
         f"<p><b>{html.escape(str(k))}</b>: {html.escape(str(v))}</p>" for k, v in (summary or {}).items()
     )
     sections = "".join(
-        _table(name, descriptions.get(name, ""), df, stored_at and f"{stored_at}/{name}")
+        _table(name, descriptions.get(name, ""), df, f"{stored_at}/{name}", shown)
         for name, df in figures.items()
     )
     Path(path).write_text(_PAGE.substitute(title=html.escape(title), summary=head, sections=sections))

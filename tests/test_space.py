@@ -203,3 +203,69 @@ def test_convex_and_filled_areas(spark):
     got = {r.inst_id: (r.area, r.area_convex, r.area_filled) for r in hull_features(df, tile=3).collect()}
     # The L of 4 x 4: its hull holds the ten pixels on and below the diagonal.
     assert got == {1: (16, 25, 25), 2: (7, 10, 7), 3: (1, 1, 1)}
+
+
+def test_slides_with_equal_cell_ids_stay_apart(spark):
+    """Two overlapping slides give what each gives alone."""
+    rng = np.random.default_rng(11)
+    cells = spark.createDataFrame(
+        [(s, i, *map(float, rng.integers(-6, 22, 2)), "ab"[i % 2]) for s in ("s1", "s2") for i in range(60)],
+        "slide string, cell_ids int, cell_x double, cell_y double, cell_type string",
+    )
+    spots = spark.createDataFrame(
+        [("s1", "A", 4, 4), ("s1", "B", 12, 12), ("s2", "A", 5, 10)],
+        "slide string, barcode string, pxl_row_in_fullres int, pxl_col_in_fullres int",
+    )
+    rings = _regions(spark, p=SQUARE).withColumn("slide", F.lit("s1")).unionByName(
+        _regions(spark, p=ELL).withColumn("slide", F.lit("s2"))
+    )
+
+    def both(run, columns):
+        got = sorted(run(cells, spots, rings, ["slide"]).select("slide", *columns).collect())
+        want = []
+        for s in ("s1", "s2"):
+            parts = [t.filter(F.col("slide") == s) for t in (cells, spots, rings)]
+            parts = [parts[0].drop("slide"), parts[1].drop("slide"), parts[2].drop("slide")]
+            want += [(s, *r) for r in run(*parts, []).select(*columns).collect()]
+        assert [tuple(r) for r in got] == sorted(want)
+        return got
+
+    def placed(c, s, r, by):
+        return spatial.assign_cells_to_spots(c, s, 5.0, by=by).fillna("-", ["barcode"])
+
+    assert len(both(placed, ["cell_ids", "barcode"])) == 120
+    both(lambda c, s, r, by: spatial.contained_cells(placed(c, s, r, by), s, by), ["barcode", "num_contained_cells"])
+    both(lambda c, s, r, by: spatial.region_members(c, r, "cell_ids", "cell_x", "cell_y", 4.0, by), ["region_name", "cell_ids"])
+
+    def tested(c, s, r, by):
+        levels = spatial.infiltration_levels(c, r, 2, 3, unit=4.0, by=by)
+        return spatial.infiltration_test(spatial.infiltration_table(levels, 65.0, 2, by), by=by)
+
+    both(tested, ["region_name", "cell_type", "x1", "n2", "p", "significant"])
+
+    def met(c, s, r, by):
+        counts = cooccurrence.pair_counts(c, None, [0, 2, 5, 12], tile=4.0, block_rows=8, by=by)
+        return cooccurrence.co_occurrence(counts, [0, 2, 5, 12], by)
+
+    both(met, ["distance", "type_a", "type_b", "n", "ratio"])
+
+
+def test_unlisted_type_is_refused(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0, "a"), (2, 1.0, 0.0, "z")], "cell_ids int, cell_x double, cell_y double, cell_type string")
+    with pytest.raises(Exception, match="not listed: z"):
+        cooccurrence.pair_counts(df, ["a"], [0, 3]).collect()
+
+
+def test_infiltration_p_values(spark):
+    table = spark.createDataFrame(
+        [("k", "r", level, t, n) for level, a, b in [(2, 10, 40), (0, 30, 20), (-2, 30, 30)] for t, n in (("a", a), ("b", b))],
+        "region_class string, region_name string, level int, cell_type string, abundance long",
+    )
+    x1, n1, x2, n2 = 60, 110, 10, 50
+    pool = (x1 + x2) / (n1 + n2)
+    z = (x1 / n1 - x2 / n2) / math.sqrt(pool * (1 - pool) * (1 / n1 + 1 / n2))
+    for side, p in (("two-sided", math.erfc(z / 2**0.5)), ("larger", 0.5 * math.erfc(z / 2**0.5)), ("smaller", 0.5 * math.erfc(-z / 2**0.5))):
+        row = spatial.infiltration_test(table, buffer=False, alternative=side).filter("cell_type = 'a'").first()
+        assert row.z == pytest.approx(z) and row.p == pytest.approx(p) and row.significant == (p < 0.05)
+    alone = table.filter("level = 2")
+    assert [(r.z, r.p, r.significant) for r in spatial.infiltration_test(alone).collect()] == [(0.0, 1.0, False)] * 2

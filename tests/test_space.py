@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spotloom.functions import geometry as geo
 from spotloom.operators import cooccurrence, spatial
 from spotloom.operators.components import contract_labels, hull_features, mask_components, mask_rings
-from spotloom.operators.delaunay import circles, delaunay_edges, triangulate
+from spotloom.operators.delaunay import circles, delaunay_edges, flat, triangulate
 
 SQUARE = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
 ELL = [(0.0, 0.0), (10.0, 0.0), (10.0, 4.0), (4.0, 4.0), (4.0, 10.0), (0.0, 10.0)]
@@ -269,3 +269,38 @@ def test_infiltration_p_values(spark):
         assert row.z == pytest.approx(z) and row.p == pytest.approx(p) and row.significant == (p < 0.05)
     alone = table.filter("level = 2")
     assert [(r.z, r.p, r.significant) for r in spatial.infiltration_test(alone).collect()] == [(0.0, 1.0, False)] * 2
+
+
+def _turned(points, angle):
+    c, s = math.cos(angle), math.sin(angle)
+    return np.unique(points @ np.array([[c, s], [-s, c]]), axis=0)
+
+
+def test_triangulation_of_turned_grids_and_circles():
+    """n points, h of them on the hull: 2n - 2 - h triangles whatever the rounding."""
+    side = np.arange(12.0)
+    grid = np.stack(np.meshgrid(side, side), -1).reshape(-1, 2) * 17
+    layouts = [grid, *(_turned(grid, a) for a in (0.1, 0.3, 0.7, 1.2))]
+    for k in (8, 40, 120):
+        t = 2 * np.pi * np.arange(k) / k
+        layouts.append(np.unique(np.stack([np.cos(t), np.sin(t)], 1) * 100, axis=0))
+    for xy in layouts:
+        tri = triangulate(xy)
+        solid = tri[tri[:, 2] >= 0]
+        assert len(solid) == 2 * len(xy) - 2 - (len(tri) - len(solid))
+        assert len(np.unique(np.sort(solid, axis=1), axis=0)) == len(solid)
+
+
+def test_windows_agree_on_a_turned_slide(spark):
+    rng = np.random.default_rng(12)
+    side = np.arange(20.0)
+    # A lattice with small shifts: neighbours are unique, rounding matters all the same.
+    grid = np.stack(np.meshgrid(side, side), -1).reshape(-1, 2) * 16 + rng.integers(0, 4, (400, 2)) / 8
+    xy = _turned(grid, 0.3)
+    cells = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "id long, x double, y double")
+    got = {(r.src, r.dst) for r in delaunay_edges(cells, tile_cap=60, last_cap=90).collect()}
+    tri = triangulate(xy)
+    solid = tri[tri[:, 2] >= 0]
+    kept = [*solid[~flat(xy, solid)], *tri[tri[:, 2] < 0][:, :2]]
+    want = {(int(a), int(b)) for t in kept for a in t for b in t if a != b}
+    assert got == want

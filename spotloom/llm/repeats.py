@@ -359,8 +359,10 @@ def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, groups:
     parts = shared.join(solved, ["h", "cid"]).select(
         "b", "grp", ROW, (F.col("pos") - F.col("lhs")).alias("start"), (F.col("pos") + F.col("rhs")).alias("end")
     )
+    # written for the same reason: a passage in a third of all rows is one key here
+    twice = cut_lineage(distinct.filter("n > 1").select("h", "cid"))
     copies = (
-        shared.join(distinct.filter("n > 1").select("h", "cid"), ["h", "cid"], "left_semi")
+        shared.join(twice, ["h", "cid"], "left_semi")
         .join(lengths, ROW)
         .select(
             F.col("h").alias("b"),

@@ -1,11 +1,12 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 The first transducer reads characters and gives insult and threat tokens with weights:
-an automaton of words and word beginnings, learned from labelled documents. The second
-reads the tokens of a clause as insult, threat, target, negation or reported speech and
-carries a weight: a target nearby raises what is scored, a negation before it or reported
-speech around it lowers it. A document's score is a logistic regression on the weights
-of its clauses.
+an automaton of threat verbs and of words and word beginnings that are learned from
+labelled documents. The second reads the tokens of a clause as insult, threat, target,
+negation or reported speech and carries a weight: a threat verb with a target nearby is a
+threat, with a weight of its own; a target in the clause raises what is scored, a
+negation before it or reported speech around it lowers it. A document's score is a
+logistic regression on the weights of its clauses.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ REPORT = (
 ).split()
 
 RAISE, LOWER_NEGATED, LOWER_REPORTED = 1.25, 0.5, 0.7  # what a clause state does to a weight
-NEAR = 4  # tokens between a negation and what it negates
+NEAR = 4  # tokens between a negation and what it negates, or a threat verb and its target
+VERB, AIMED = 1.0, 4.0  # weights of a threat verb alone, and of one with a target nearby
 STEMS = range(4, 8)  # lengths of word beginnings that are learned
 PER_LABEL = 3000  # labelled rows of each label that the model is fitted on, at most
 CLAUSE_END = re.compile(r"[.!?;\n]")
@@ -60,6 +62,7 @@ class Grammar:
 
     def __post_init__(self):
         self.classes = {w: "target" for w in TARGET} | {w: "negation" for w in NEGATION} | {w: "report" for w in REPORT}
+        self.threats = frozenset(THREAT)
         self.automaton = None
 
     def __getstate__(self):
@@ -69,48 +72,56 @@ class Grammar:
         self.__dict__.update(state)
         self.__post_init__()
 
-    def _hits(self, text: str) -> list[tuple[int, float]]:
-        """(start of the word, weight); of several entries in a word the heaviest."""
+    def _hits(self, text: str) -> list[tuple[int, float, bool]]:
+        """(start of the word, weight, whether a threat verb); of several learned entries in a word the heaviest."""
         if self.automaton is None:
-            self.automaton = ahocorasick.Automaton()
+            entries: dict[str, list[tuple[bool, float, bool]]] = {}  # a word and a beginning may be one key
             for entry, weight in self.weights.items():
-                self.automaton.add_word(entry.rstrip(" "), (entry, weight))
-            if self.weights:
-                self.automaton.make_automaton()
-        if not self.weights:
-            return []
-        found: dict[int, float] = {}
-        for end, (entry, weight) in self.automaton.iter(text):
-            whole = entry.endswith(" ")
-            start = end - len(entry.rstrip(" ")) + 1
+                entries.setdefault(entry.rstrip(" "), []).append((entry.endswith(" "), weight, False))
+            for verb in self.threats:
+                entries.setdefault(verb, []).append((True, VERB, True))
+            self.automaton = ahocorasick.Automaton()
+            for key, found in entries.items():
+                self.automaton.add_word(key, (len(key), found))
+            self.automaton.make_automaton()
+        best: dict[int, tuple[float, bool]] = {}
+        for end, (size, entries) in self.automaton.iter(text):
+            start = end - size + 1
             if start and text[start - 1].isalpha():
                 continue
-            if whole and end + 1 < len(text) and text[end + 1].isalpha():
-                continue
-            found[start] = max(weight, found.get(start, 0.0))
-        return sorted(found.items())
-
-    def clause(self, text: str, hits: list[tuple[int, float]]) -> float:
-        """Weight of one clause: hits are (offset in the clause, weight)."""
-        at = dict(hits)
+            ends = end + 1 == len(text) or not text[end + 1].isalpha()
+            for whole, weight, threat in entries:
+                if ends or not whole:
+                    before, verb = best.get(start, (0.0, False))
+                    best[start] = max(weight, before), threat or verb
+        return sorted((start, *found) for start, found in best.items())
+
+    def clause(self, text: str, hits: list[tuple[int, float, bool]]) -> float:
+        """Weight of one clause: hits are (offset in the clause, weight, whether a threat verb)."""
+        at = {start: (weight, threat) for start, weight, threat in hits}
         state_target = state_report = False
-        negated, total = -NEAR - 1, 0.0
-        pending = 0.0
+        negated = target = -NEAR - 1
+        total = 0.0
+        waiting: list[tuple[int, float, float]] = []  # threats without a target yet: place, weight, share
         for place, m in enumerate(WORD.finditer(text)):
             kind = self.classes.get(m.group())
             if kind == "target":
-                state_target = True
+                state_target, target = True, place
+                total += sum(max(0.0, AIMED - w) * share for p, w, share in waiting if place - p <= NEAR)
+                waiting = []
             elif kind == "negation":
                 negated = place
             elif kind == "report":
                 state_report = True
             if m.start() in at:
-                weight = at.pop(m.start())
-                if place - negated <= NEAR:
-                    weight *= LOWER_NEGATED
-                pending += weight
-        pending += sum(at.values())  # a hit that the word pattern cuts elsewhere
-        total = pending
+                weight, threat = at.pop(m.start())
+                share = LOWER_NEGATED if place - negated <= NEAR else 1.0
+                if threat and place - target <= NEAR:
+                    weight = max(weight, AIMED)
+                elif threat:
+                    waiting.append((place, weight, share))
+                total += weight * share
+        total += sum(weight for weight, _ in at.values())  # a hit that the word pattern cuts elsewhere
         if state_target:
             total *= RAISE
         if state_report:
@@ -125,7 +136,7 @@ class Grammar:
         clauses: list[float] = []
         end, group, start = -1, [], 0
         distinct = set()
-        for pos, weight in hits:
+        for pos, weight, threat in hits:
             distinct.add(text[pos : pos + 6])
             if pos >= end:
                 if group:
@@ -135,7 +146,7 @@ class Grammar:
                 start = max(start, low)
                 stop = CLAUSE_END.search(text, pos)
                 end, group = (stop.start() if stop else len(text)), []
-            group.append((pos - start, weight))
+            group.append((pos - start, weight, threat))
         clauses.append(self.clause(text[start:end], group))
         total = sum(clauses)
         return [
@@ -194,8 +205,6 @@ def learn_weights(rows: DataFrame) -> dict[str, float]:
         shorter = [found.get(w[:n]) for n in STEMS if n < len(bare) or (n == len(bare) and w != bare)]
         if not any(s is not None and s >= weight - 0.7 for s in shorter):
             kept[w] = float(min(weight, 6.0))
-    for w in THREAT:
-        kept.setdefault(w + " ", 1.0)
     return kept
 
 

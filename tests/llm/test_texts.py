@@ -103,6 +103,30 @@ def test_clauses_weigh_by_what_surrounds():
     assert weight("vile. vile") == weight("vile")
 
 
+def test_threats_compose_with_what_surrounds():
+    g = toxicity.Grammar({})
+
+    def weight(text):
+        return g.features(text)[0]
+
+    verb, aimed = weight("they of the far cold north burn wood"), weight("i will burn you")
+    assert weight("to burn wood") == toxicity.VERB and weight("burning") == 0
+    assert aimed == toxicity.AIMED * toxicity.RAISE > verb
+    assert weight("ich werde dich töten") == aimed and weight("te voy a matar") == aimed
+    assert weight("i will not burn you") == toxicity.LOWER_NEGATED * aimed
+    assert weight("it said i will burn you") == pytest.approx(toxicity.LOWER_REPORTED * aimed)
+    assert weight("kill you or hurt you") == 2 * aimed
+    far = "kill " + "and so on " * 3 + "you"
+    assert weight(far) == toxicity.VERB * toxicity.RAISE
+
+
+def test_a_threat_verb_leaves_learned_entries():
+    g = toxicity.Grammar({"kill": 6.0, "burn ": 5.0, "burn": 2.0})
+    assert g.features("kill")[0] == 6 and g.features("killer")[0] == 6
+    assert g.features("burn")[0] == 5 and g.features("burner")[0] == 2
+    assert g.features("kill you")[0] == 6 * toxicity.RAISE
+
+
 def check_shards(rows, n, shards=16):
     assert len(rows) == n
     sizes = Counter(r["shard"] for r in rows)

@@ -244,12 +244,14 @@ def linked(
     texts: Callable[[DataFrame], DataFrame],
     shingle: Shingler,
     similarity: float,
+    again: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(id, root) of the items that link with others; root is the smallest id of the component.
 
     ``items`` has id and bands (array of long), an id perhaps more than once with the same
     bands; ``texts(ids)`` gives (id, z) of the ids,
-    z being the text in a form that ``shingle`` reads.
+    z being the text in a form that ``shingle`` reads. ``again`` gives the same bands from
+    (id, z), where that is cheaper than sending those of all items to the ids asked for.
     """
     pairs = cut_lineage(_stars(items))
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
@@ -259,7 +261,10 @@ def linked(
     links = cut_lineage(_verified(with_b.select("a", "b", "za", "zb"), shingle, similarity))
     roots = components(links)
 
-    mine = items.join(content.select("id"), "id", "left_semi").groupBy("id").agg(F.first("bands").alias("bands"))
+    if again:
+        mine = again(content)
+    else:
+        mine = items.join(content.select("id"), "id", "left_semi").groupBy("id").agg(F.first("bands").alias("bands"))
     members = mine.join(roots, "id", "left").select(
         F.explode("bands").alias("bucket"), "id", F.coalesce("root", "id").alias("comp")
     )

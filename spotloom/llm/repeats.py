@@ -335,7 +335,7 @@ def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, groups:
     Columns: b and grp (the group), _row, start, end (bytes). ``docs`` has ``_row`` and
     text. A repeat is seen through windows around kept suffixes, so one that is longer
     than about two windows comes as overlapping groups whose union it is. Groups of a
-    single context (whole copies) have grp -2. Without ``groups``, occurrences that a
+    single context (whole copies) have grp -2 and a b of their own. Without ``groups``, occurrences that a
     longer repeat around the same suffix covers are left out.
     """
     if not min_len > 2 * KEY:
@@ -365,7 +365,7 @@ def maximal_repeats(docs: DataFrame, min_len: int = 200, hot: int = HOT, groups:
         shared.join(twice, ["h", "cid"], "left_semi")
         .join(lengths, ROW)
         .select(
-            F.col("h").alias("b"),
+            F.xxhash64("h", "cid").alias("b"),
             F.lit(-2).cast("long").alias("grp"),
             ROW,
             F.greatest(F.col("pos") - before, F.lit(0)).alias("start"),

@@ -27,6 +27,10 @@ def quantized(col: Column, scale: int = 256) -> Column:
     return F.when(col.isNotNull() & ~bad, whole)
 
 
+def _largest(values: np.ndarray) -> int:
+    return max(int(values.max(initial=0)), -int(values.min(initial=0)))
+
+
 class Columns:
     """One block of candidates in vertical layout, searched by many queries.
 
@@ -35,19 +39,24 @@ class Columns:
     """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
-        high = max(int(matrix.max(initial=0)), -int(matrix.min(initial=0)))
-        self.ids, self.exact = ids, high**2 * max(1, matrix.shape[1]) < 2**52
+        self.ids, self.high = ids, _largest(matrix)
+        self.exact = self.high**2 * max(1, matrix.shape[1]) < 2**52
         self.vertical = np.ascontiguousarray(matrix.T.astype(np.float64 if self.exact else object))
         self.mass = np.einsum("ij,ij->j", self.vertical, self.vertical) if self.exact else None
 
     def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        if not self.exact:  # sums would leave the exact range of a double: whole numbers of any size
-            for q, vector in zip(query_ids, queries, strict=True):
-                score = vector.astype(object) @ self.vertical
+        # sums that would leave the exact range of a double: whole numbers of any size
+        large = np.array([
+            not self.exact or max(n, self.high) * n * max(1, queries.shape[1]) >= 2**52 for n in map(_largest, queries)
+        ], dtype=bool)
+        if large.any():
+            whole = self.vertical.astype(np.int64).astype(object) if self.exact else self.vertical
+            for q, vector in zip(query_ids[large], queries[large], strict=True):
+                score = vector.astype(object) @ whole
                 there = np.flatnonzero(self.ids != q)
                 order = sorted(there.tolist(), key=lambda i: (-score[i], self.ids[i]))[:k]
                 yield int(q), self.ids[order], score[order]
-            return
+            query_ids, queries = query_ids[~large], queries[~large]
         dims, queries = queries.shape[1], queries.astype(np.float64)
         order = np.argsort(-np.einsum("ij,ij->j", queries, queries), kind="stable")  # heavy dimensions bound best
         vertical = self.vertical[order]

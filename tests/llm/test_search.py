@@ -95,6 +95,16 @@ def test_search_matches_brute_force(spark, monkeypatch, scale):
     assert got == best(rows, {i for i in range(0, 400, 50)}, 5)
 
 
+def test_a_huge_query_among_ordinary_candidates():
+    rng = np.random.default_rng(8)
+    have, ids = rng.integers(-300, 300, (50, 16)), np.arange(50)
+    ask = np.array([rng.integers(2**48, 2**49, 16) * 2 + 1, have[7]])
+    got = {q: list(zip(i.tolist(), map(int, s), strict=True)) for q, i, s in topk.Columns(ids, have).best(np.array([90, 91]), ask, 5)}
+    for q, v in zip((90, 91), ask.tolist(), strict=True):
+        scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in enumerate(have.tolist()))[:5]
+        assert got[q] == [(i, -s) for s, i in scores]
+
+
 def test_odd_search(spark):
     rows = [(0, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (50, [None, 1.0]), (100, [float("nan"), 1.0])]
     df = spark.createDataFrame(rows, SCHEMA).select("vec_id", topk.quantized(F.col("embedding")).alias("v"))

@@ -14,6 +14,7 @@ from spotloom.llm import licenses, packing, pieces, sharding, toxicity
 from spotloom.llm.shingles import mix
 
 from .conftest import ODD_ROWS
+from .test_dedup import classes
 
 SF = "/root/testdata/sf0.01"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -205,6 +206,39 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.pack(spark, rows, SF).agg(F.count_distinct("doc_id")).first()[0] == 300
 
 
+def test_few_toxic_rows_stay(spark):
+    """sf0.001 has too few labelled rows to learn all words from: 4 of its 11 toxic rows stay."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    stay = {r["doc_id"] for r in corpus_pipeline.drop_toxic(spark, docs, SF).select("doc_id").collect()}
+    toxic = {r["doc_id"] for r in labels.filter("toxic = 1").collect()}
+    assert len(toxic) > 20 and len(toxic & stay) <= 0.1 * len(toxic)
+
+
+def test_pipeline_is_the_chain_of_its_stages(spark):
+    """Scores row by row, then near-duplicate classes, repeated strings and ids by brute force."""
+    small = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    grammar = toxicity.train(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").collect()}
+    clean = {
+        i: t for i, t in texts.items() if grammar.scores(np.array([grammar.features((t or "").lower())]))[0] < 0.5
+    }
+    root = classes(clean)
+    kept = {i: (t or "").encode() for i, t in clean.items() if root[i] == i}
+    seen = Counter(b[p : p + 200] for b in kept.values() for p in range(len(b) - 199))
+    rest = {}
+    for i, b in kept.items():
+        hit = bytearray(len(b))
+        for p in range(len(b) - 199):
+            if seen[b[p : p + 200]] > 1:
+                hit[p : p + 200] = b"\1" * 200
+        rest[i] = bytes(x for x, m in zip(b, hit, strict=True) if not m).decode("utf-8", "ignore")
+    assert 0 < len(kept) < len(clean) < len(texts)
+    rows = corpus_pipeline.run(spark, small).collect()
+    assert {r["doc_id"] for r in rows} == set(rest)
+    check_pieces(rows, rest)
+
+
 @pytest.mark.parametrize("number", [1, 2, 3])
 def test_pipeline_stages_take_odd_rows(spark, odd, number):
     name, stage = corpus_pipeline.STAGES[number]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, licenses, packing, paragraphs, pieces, probminhash, repeats, sharding, topk, toxicity
+from . import forest, licenses, manifest, packing, paragraphs, pieces, probminhash, repeats, sharding, topk, toxicity
 from .registry import query, table
 from .rows import ROW, with_row
 
@@ -102,3 +102,76 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.quantized(F.col("embedding")).alias("v"))
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+_MANIFEST = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, CAST(n_chars AS HUGEINT) AS n_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') AS f1,
+         coalesce(strlen(source) || ':' || source, '-') AS f2,
+         coalesce(strlen(lang) || ':' || lang, '-') AS f3,
+         coalesce(strlen(text) || ':' || text, '-') AS f5,
+         list_reduce(
+           list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda a, b: list_reduce(
+             list_prepend(xor(a, b), range(8)),
+             lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+         ) AS crc
+  FROM documents
+), leaves AS (
+  SELECT doc_id, lang,
+         sha256(f1 || f2 || f3 || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || f5) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 7 = 0 AND n_chars IS NOT NULL
+              THEN sha256(f1 || f2 || f3 || strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) || f5) END AS other
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves
+), tree(lang, lvl, pos, digest, n) AS (
+  SELECT lang, 0, pos, leaf, n FROM placed
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY lang, lvl, pos // 2, n
+), subroots AS (
+  SELECT lang, digest, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM tree WHERE n = 1
+), top(lvl, pos, digest, n) AS (
+  SELECT 0, pos, digest, n FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+  FROM top WHERE n > 1 GROUP BY lvl, pos // 2, n
+), ways AS (
+  SELECT p.lang, p.pos, list(CASE WHEN (p.pos >> t.lvl) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.digest, '') ORDER BY t.lvl) AS way
+  FROM placed p
+  JOIN (SELECT DISTINCT lang, lvl FROM tree WHERE n > 1) t ON t.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM p.lang AND s.lvl = t.lvl AND s.pos = xor(p.pos >> t.lvl, 1)
+  GROUP BY p.lang, p.pos
+), overs AS (
+  SELECT p.lang, list(CASE WHEN (p.pos >> t.lvl) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.digest, '') ORDER BY t.lvl) AS way
+  FROM subroots p
+  CROSS JOIN (SELECT DISTINCT lvl FROM top WHERE n > 1) t
+  LEFT JOIN top s ON s.lvl = t.lvl AND s.pos = xor(p.pos >> t.lvl, 1)
+  GROUP BY p.lang
+), whole AS (
+  SELECT p.doc_id, p.leaf, u.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root,
+         coalesce(p.other, p.leaf) AS start,
+         list_concat(coalesce(w.way, CAST([] AS VARCHAR[])), coalesce(o.way, CAST([] AS VARCHAR[]))) AS way
+  FROM placed p
+  JOIN subroots u ON u.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM p.lang AND w.pos = p.pos
+  LEFT JOIN overs o ON o.lang IS NOT DISTINCT FROM p.lang
+), folded AS (
+  SELECT doc_id, leaf, subroot, root,
+         sha256(array_to_string(list_transform(way, lambda s: s[2:]), '')) AS proof_sha256,
+         list_reduce(list_prepend(start, way), lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
+  FROM whole
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
+@query("op13_butterfly_manifest", _MANIFEST)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return manifest.manifest(table(spark, sf_dir, "documents"), tampered)

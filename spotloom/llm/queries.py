@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import forest, licenses, manifest, packing, paragraphs, pieces, probminhash, repeats, sharding, topk, toxicity
+from . import codes, forest, licenses, manifest, packing, paragraphs, pieces, probminhash, repeats, sharding, topk, toxicity
 from .registry import query, table
 from .rows import ROW, with_row
 
@@ -104,6 +104,59 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+_CODES = """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,
+         row_number() OVER (ORDER BY vec_id) - 1 AS r
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p.part, list_slice(v, p.part * (len(v) // 16) + 1, (p.part + 1) * (len(v) // 16)) AS x
+  FROM kept, (SELECT range AS part FROM range(16)) p
+), c0 AS MATERIALIZED (SELECT part, r AS entry, x AS c FROM parts WHERE r < 64),
+{rounds}
+, final AS MATERIALIZED ({assign2}
+), coded AS (
+  SELECT r, string_agg(lpad(format('{{:x}}', entry), 2, '0'), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM final GROUP BY r
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS s FROM c2
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256
+FROM coded JOIN kept USING (r) CROSS JOIN digest
+"""
+
+
+def _codes_sql() -> str:
+    """Two rounds of the same statements over codebooks c0, c1 and c2."""
+    assign = """
+  SELECT r, part, x, entry, d FROM (
+    SELECT p.r, p.part, p.x, b.entry,
+           CAST(list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d,
+           row_number() OVER (PARTITION BY p.r, p.part ORDER BY d, b.entry) AS place
+    FROM parts p JOIN c{k} b USING (part)
+  ) WHERE place = 1"""
+    update = """
+m{n} AS (
+  SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY j) AS c FROM (
+    SELECT part, entry, j, sum(x[j]) AS s, count(*) AS n
+    FROM a{k}, (SELECT range AS j FROM range(1, 1025)) g WHERE j <= len(x) GROUP BY part, entry, j
+  ) GROUP BY part, entry
+), c{n} AS MATERIALIZED (
+  SELECT part, entry, coalesce(m{n}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{n} USING (part, entry)
+)"""
+    rounds = [f"a{k} AS MATERIALIZED ({assign.format(k=k)}\n),{update.format(k=k, n=k + 1)}" for k in (0, 1)]
+    return _CODES.format(rounds=",\n".join(rounds), assign2=assign.format(k=2))
+
+
+@query("op12_cover_tree_codes", _codes_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.encode(table(spark, sf_dir, "embeddings"), keep=["label"])
+    totals = codes.total_by_label(coded, "label", "error", "label_error")
+    digest = F.lit(codes.codebooks_digest(books))
+    return totals.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
+
+
 _MANIFEST = """
 WITH RECURSIVE fields AS (
   SELECT doc_id, lang, CAST(n_chars AS HUGEINT) AS n_chars,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, forest, licenses, manifest, packing, paragraphs, pieces, probminhash, repeats, sharding, topk, toxicity
+from . import codes, forest, licenses, manifest, packing, paragraphs, pieces, probminhash, repeats, sanitise, sharding, topk, toxicity
 from .registry import query, table
 from .rows import ROW, with_row
 
@@ -104,6 +104,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
+@query("op11_disclosure_sanitising")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_row(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = sanitise.sanitise(docs, ROW, texts=False)
+    counts = [sanitise.how_many(k).alias(f"n_{k}") for k in sanitise.KINDS]
+    return docs.select("doc_id", ROW).join(found, ROW).select(
+        "doc_id", *counts, F.sha2(sanitise.listed(sanitise.KINDS), 256).alias("base_sha256"), sanitise.listed().alias("spans")
+    )
+
+
 _CODES = """
 WITH kept AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v,

@@ -200,13 +200,15 @@ def near_entities(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     return seen.distinct().groupBy("c", "t").agg(F.count("*").alias("n"))
 
 
-def term_surroundings(texts: DataFrame, wanted: Broadcast | None, window: int = WINDOW) -> DataFrame:
+def term_surroundings(texts: DataFrame, most: Broadcast | None, window: int = WINDOW) -> DataFrame:
     """(t, n): different surroundings of a term or beginning, at its first place in each text.
 
-    Only the ``wanted`` ones where such a set is given.
+    With ``most`` (term -> number) only its terms, and only those with at most so many: a
+    task that has seen more of a term says just that, so that words found everywhere cost
+    one row a task.
     """
 
-    def places(text: str) -> Iterator[tuple[str, int]]:
+    def places(text: str, wanted: dict[str, int] | None) -> Iterator[tuple[str, int]]:
         spans = base_spans(text)
         words = list(map(str.lower, TERM.findall(masked(text, spans) if any(spans.values()) else text)))
         first: dict[str, int] = {}
@@ -217,24 +219,37 @@ def term_surroundings(texts: DataFrame, wanted: Broadcast | None, window: int =
             if stem and i < first.get(stem, i + 1):
                 first[stem] = i
         for term, i in first.items():
-            if wanted is None or term in wanted.value:
+            if wanted is None or term in wanted:
                 yield term, _around(words[max(0, i - window) : i + window + 1])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[str, int]] = set()
-        for batch in _texts(batches, 0):
-            for text in batch:
-                found.update(places(text))
-                if len(found) > HELD:
-                    yield counted(found)
-                    found.clear()
-        yield counted(found)
-
-    def counted(found: set) -> pa.RecordBatch:
+    def table(found: list[tuple[str, int | None]]) -> pa.RecordBatch:
         t, around = zip(*found, strict=True) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(around, pa.int64())], ["t", "around"])
 
-    return texts.mapInArrow(run, "t string, around long").distinct().groupBy("t").agg(F.count("*").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = None if most is None else dict(most.value)
+        seen: dict[str, set[int]] = {}
+        over: list[tuple[str, int | None]] = []
+        held = 0
+        for batch in _texts(batches, 0):
+            for text in batch:
+                for term, around in places(text, open_):
+                    own = seen.setdefault(term, set())
+                    held -= len(own)
+                    own.add(around)
+                    if open_ is not None and len(own) > open_[term]:
+                        over.append((term, None))
+                        del open_[term], seen[term]
+                    else:
+                        held += len(own)
+                if held > HELD:
+                    yield table([(t, x) for t, own in seen.items() for x in own])
+                    seen, held = {}, 0
+        yield table([(t, x) for t, own in seen.items() for x in own] + over)
+
+    counted = texts.mapInArrow(run, "t string, around long").distinct().groupBy("t")
+    counted = counted.agg(F.count("*").alias("n"), F.bool_or(F.col("around").isNull()).alias("over"))
+    return counted.filter("NOT over").select("t", "n")
 
 
 def disclosing(
@@ -243,20 +258,21 @@ def disclosing(
     """(t, action) of every term that reveals a protected entity; written once."""
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     near = cut_lineage(near_entities(texts, window).filter(F.col("n") >= support))
-    pairs = near.filter("t != ''").select("c", "t", F.col("n").alias("n_ct"))
-    wanted = pairs.select("t").distinct()
-    listed = _small_set(wanted, shipped)
-    if listed == set():
+    n = float(texts.select(F.xxhash64("text").alias("h")).distinct().count())
+    entities = near.filter("t = ''").select("c", F.col("n").alias("n_c")).filter(F.col("n_c") < n)
+    pairs = near.filter("t != ''").select("c", "t", F.col("n").alias("n_ct")).join(entities, "c")
+    # the threshold turned around: with more surroundings than this a term is not revealing
+    bound = F.floor(F.col("n_ct") * F.pow(n / F.col("n_c"), F.lit(1.0 - threshold))) + 1
+    bounds = pairs.groupBy("t").agg(F.max(bound).alias("most"))
+    few = bounds.limit(shipped + 1).collect()
+    if not few:
         return docs.sparkSession.createDataFrame([], "t string, action string")
-    held = None if listed is None else docs.sparkSession.sparkContext.broadcast(listed)
-    terms = term_surroundings(texts, held, window).withColumnRenamed("n", "n_t")
-    entities = near.filter("t = ''").select("c", F.col("n").alias("n_c"))
-    n = texts.select(F.xxhash64("text").alias("h")).distinct().count()
-    measured = pairs.join(entities, "c").join(terms, "t")
-    inform = F.log2(F.lit(float(n)) / F.col("n_c"))
-    both = F.least("n_ct", "n_t")
-    share = F.log2(both * F.lit(float(n)) / (F.col("n_c") * F.col("n_t"))) / F.when(inform > 0, inform)
-    revealing = measured.groupBy("t").agg(F.max(F.coalesce(share, F.lit(0.0))).alias("d")).filter(F.col("d") >= threshold)
+    sent = docs.sparkSession.sparkContext.broadcast({r["t"]: r["most"] for r in few}) if len(few) <= shipped else None
+    terms = term_surroundings(texts, sent, window).withColumnRenamed("n", "n_t")
+    measured = pairs.join(terms, "t")
+    inform = F.log2(n / F.col("n_c"))
+    share = F.log2(F.least("n_ct", "n_t") * n / (F.col("n_c") * F.col("n_t"))) / inform
+    revealing = measured.groupBy("t").agg(F.max(share).alias("d")).filter(F.col("d") >= threshold)
     revealing = cut_lineage(revealing)
     stems = revealing.filter(F.col("t").endswith("*")).select(F.col("t").alias("stem"), F.lit(True).alias("open"))
     words = revealing.filter(~F.col("t").endswith("*")).withColumn(
@@ -267,12 +283,6 @@ def disclosing(
     return cut_lineage(words.join(stems, "stem", "left").select("t", action.alias("action")))
 
 
-def _small_set(terms: DataFrame, most: int) -> set[str] | None:
-    """The terms if there are at most ``most``, else None."""
-    rows = terms.limit(most + 1).collect()
-    return None if len(rows) > most else {r["t"] for r in rows}
-
-
 def term_spans(text: str, spans: dict[str, list[Span]], actions: dict[str, str]) -> list[tuple[str, int, int]]:
     """(action, start, end) of the terms that are generalised or removed."""
     plain = masked(text, spans) if any(spans.values()) else text

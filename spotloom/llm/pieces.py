@@ -239,10 +239,12 @@ def vocabulary(path: str, theta: float) -> Vocabulary:
 def encode(docs: DataFrame, model: str, theta: float = 1.0, seed: int = 0, key: str = "doc_id") -> DataFrame:
     """All columns and ``pieces``, a sampled segmentation of the text seeded by the row's key.
 
-    Null and empty texts give no pieces. Rows of equal key and text give equal pieces; a
+    A column ``pieces`` of the input is replaced. Null and empty texts give no pieces; an
+    empty table gives no rows. Rows of equal key and text give equal pieces; a
     null key is a key of its own. ``model`` is a path that every executor can read.
     """
-    columns = [c for c in docs.columns if c not in ("pieces", "_seed")]
+    columns = [c for c in docs.columns if c != "pieces"]
+    hidden = max(columns, key=len) + "_"  # a name that no column has
     place = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,11 +265,14 @@ def encode(docs: DataFrame, model: str, theta: float = 1.0, seed: int = 0, key:
                 start = stop
 
     schema = T.StructType([*docs.select(*columns).schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))])
-    return docs.select(*columns, F.xxhash64(F.lit(seed), F.col(key)).alias("_seed")).mapInArrow(run, schema)
+    return docs.select(*columns, F.xxhash64(F.lit(seed), F.col(key)).alias(hidden)).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
-    """All columns and ``decoded``, the text of ``pieces``; a null list gives null."""
+    """All columns and ``decoded``, the text of ``pieces``; a null list gives null.
+
+    A column ``decoded`` of the input is replaced; an empty table gives no rows.
+    """
     columns = [c for c in rows.columns if c != "decoded"]
     place = columns.index("pieces")
 

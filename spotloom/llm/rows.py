@@ -14,19 +14,24 @@ from ..session import cut_lineage
 ROW = "_row"
 
 
+OWN_KEY = {"names one row": True}  # metadata of the key; a caller's column may have its name
+
+
 def with_row(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Add ``_row``, a long that names one row.
+    """Add ``_row``, a long that names one row; a table that has this key already stays as it is.
 
     It is the id itself where ids are present and unique. Otherwise (null or repeated
     ids) rows are numbered and written once, so that a lost task sees the same numbers.
+    A caller's own column of that name is replaced.
     """
-    if ROW in docs.columns:
+    if ROW in docs.columns and docs.schema[ROW].metadata == OWN_KEY:
         return docs
+    others = [c for c in docs.columns if c != ROW]
     ids = docs.select(F.col(id_col).alias("i"))
     twice = ids.groupBy("i").agg(F.count("*").alias("n")).filter("n > 1 OR i IS NULL").limit(1)
     if not twice.take(1):
-        return docs.withColumn(ROW, F.col(id_col).cast("long"))
-    return cut_lineage(docs.withColumn(ROW, F.monotonically_increasing_id()))
+        return docs.select(*others, F.col(id_col).cast("long").alias(ROW, metadata=OWN_KEY))
+    return cut_lineage(docs.select(*others, F.monotonically_increasing_id().alias(ROW, metadata=OWN_KEY)))
 
 
 def texts_of(docs: DataFrame, *more: str, lower: bool = False) -> DataFrame:

@@ -265,8 +265,9 @@ def score(docs: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and score (0 to 1) of every row, from its text alone.
 
     A null text scores like an empty one; repeated rows score alike; an empty table
-    gives no rows.
+    gives no rows. A column ``score`` of the input is not kept.
     """
+    keep = [c for c in keep if c != "score"]
     kept = docs.select(*keep)
     names = [*kept.columns, "score"]
     model = docs.sparkSession.sparkContext.broadcast(grammar)  # bounded by the fitted sample
@@ -279,6 +280,6 @@ def score(docs: DataFrame, grammar: Grammar, keep: list[str]) -> DataFrame:
             columns = batch.columns[:-1] + [pa.array(g.scores(x), pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_lower")
+    text = F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(max([*keep, "text"], key=len) + "_")
     schema = T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())])
     return docs.select(*keep, text).mapInArrow(run, schema)

@@ -244,3 +244,39 @@ def test_pipeline_stages_take_odd_rows(spark, odd, number):
     name, stage = corpus_pipeline.STAGES[number]
     out = stage(spark, odd, SF)
     assert out.count() >= (1 if number == 1 else len(ODD_ROWS))
+
+
+def with_clashes(docs):
+    names = ("_row", "id", "score", "pieces", "_seed", "decoded", "kept", "label", "start", "n", "band", "cluster", "_lower")
+    return docs.withColumns({c: F.lit(5) for c in names})
+
+
+@pytest.mark.parametrize("number", [0, 1, 2, 3])
+def test_pipeline_stages_ignore_clashing_columns(spark, number):
+    """A constant long ``_row`` of the caller once multiplied rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(60)
+    name, stage = corpus_pipeline.STAGES[number]
+    want = sorted(map(str, stage(spark, docs, SF).collect()))
+    got = sorted(map(str, stage(spark, with_clashes(docs), SF).collect()))
+    assert got == want
+    assert stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_operators_ignore_clashing_columns(spark, documents):
+    odd = documents(ODD_ROWS[:4]).withColumn("doc_id", F.monotonically_increasing_id())
+    more = with_clashes(odd)
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode(more, model)
+    assert encoded.columns.count("pieces") == 1 and [r["_seed"] for r in encoded.collect()] == [5] * 4
+    plain = {r["doc_id"]: r["pieces"] for r in pieces.encode(odd, model).collect()}
+    assert {r["doc_id"]: r["pieces"] for r in encoded.collect()} == plain
+    assert all(r["decoded"] == (r["text"] or "") for r in pieces.decode(encoded, model).collect())
+    assert pieces.decode(pieces.encode(documents([]), model), model).collect() == []
+    from spotloom.llm import paragraphs, probminhash, repeats
+
+    for run in (sharding.shard, lambda d: packing.pack(d, WORDS), probminhash.near_duplicates, repeats.remove_repeats, paragraphs.removals):
+        assert sorted(map(str, run(more).collect())) == sorted(map(str, run(odd).collect()))
+    grammar = toxicity.Grammar({"bad ": 3.0})
+    scored = toxicity.score(more, grammar, ["doc_id", "score", "_lower"])
+    assert scored.columns == ["doc_id", "_lower", "score"] and scored.count() == 4
+    assert toxicity.score(documents([]), grammar, ["doc_id"]).collect() == []

@@ -22,14 +22,23 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the clause grammar scores below one half; the rest is rejected."""
+    """Documents that the clause grammar scores below one half; the rest is rejected.
+
+    Null and empty texts score alike and stay where texts without hits do; repeated rows
+    go or stay together. Other columns are dropped, as in every stage; an empty table
+    gives no rows.
+    """
     grammar = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, grammar, COLUMNS).filter("score < 0.5").drop("score")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate class."""
-    rows = with_row(docs)
+    """The first document of each near-duplicate class.
+
+    Texts too short for a shingle, null and empty ones are near-duplicates of equal texts
+    only. Null and repeated ids are rows of their own; an empty table gives no rows.
+    """
+    rows = with_row(docs.select(*COLUMNS))
     gone = probminhash.near_duplicates(rows).filter("NOT kept").select(ROW)
     return rows.join(gone, ROW, "left_anti").select(*COLUMNS)
 
@@ -37,9 +46,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without strings of 200 bytes that occur again; every document stays.
 
-    A character that a cut splits goes with it. n_chars is the new length.
+    A character that a cut splits goes with it. n_chars is the new length. A null text
+    stays null, and repeated rows lose what they share; an empty table gives no rows.
     """
-    rows = with_row(docs)
+    rows = with_row(docs.select(*COLUMNS))
     kept = repeats.remove_repeats(rows).select(ROW, "kept_text", "n_removed")
     rest = rows.select(ROW, "doc_id", "lang", "source", F.col("n_chars").alias("old"), F.col("text").isNull().alias("none"))
     text = F.when(~F.col("none"), F.col("kept_text"))
@@ -53,7 +63,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 4096 ids."""
+    """Pieces of the documents in sequences of 4096 ids; null and empty texts are their end id alone."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -1,11 +1,15 @@
 """How often cell types meet at each distance.
 
-All ordered pairs of cells count, up to the largest radius. Cells are packed into
-spatial blocks of bounded size. A pair of blocks whose smallest and largest
-distance fall into one band contributes the product of its type counts and carries
-nothing else; only the other pairs are measured, block against block, in numpy
-inside the tasks. No pair of cells is ever emitted: what leaves a task is a small
-count table per slide.
+All ordered pairs of cells count, up to the largest radius. Cells lie in a tree: squares
+of a pyramid hold blocks of a bounded number of cells, a block holds nodes of a few cells
+each, and a node holds its cells. Pairs are followed down this tree on both sides at
+once. Where the smallest and the largest distance of two blocks, or of two nodes, fall
+into one band, the product of their type counts is booked and nothing below is opened;
+only what lies astride a limit goes on, at last to pairs of cells.
+
+Blocks meet by their bounds and counts alone. Coordinates are sent for pairs of blocks
+astride a limit, and no pair of nodes or cells leaves a task: what does is a small count
+table per slide.
 """
 
 from __future__ import annotations
@@ -19,7 +23,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2048
+from ..session import cut_lineage, spread_by
+
+BLOCK_ROWS = 4096  # cells of a block at most, where a tile has no more
+LEVELS = 8  # a block spans at most 2^LEVELS tiles a side
+NODE_CELLS = 8
+STRIP, PAIRS = 24, 384  # left nodes, and pairs of nodes, at once: tables stay in the processor's cache
 OPEN_SLIDES = 32  # count tables a task holds before it emits them; the sums come later
 
 
@@ -29,7 +38,10 @@ def radii(n_intervals: int = 60) -> list[int]:
 
 
 def _blocks(cells: DataFrame, by: list[str], tile: float, block_rows: int) -> DataFrame:
-    """Blocks of at most about ``block_rows`` cells: a tile, split where it is dense."""
+    """Blocks of cells: the largest square of the pyramid with at most ``block_rows`` cells.
+
+    A tile, the smallest square, that holds more is split by a hash of its cells.
+    """
     tiled = cells.select(
         *by,
         F.col("cell_x").cast("double").alias("x"),
@@ -41,9 +53,24 @@ def _blocks(cells: DataFrame, by: list[str], tile: float, block_rows: int) -> Da
         F.xxhash64("cell_ids").alias("h"),
     )
     keys = [*by, "tx", "ty"]
-    sizes = tiled.groupBy(*keys).agg(F.ceil(F.count("*") / block_rows).alias("parts"))
-    split = tiled.join(sizes, keys).withColumn("part", F.pmod("h", "parts"))
-    return split.groupBy(*keys, "part").agg(
+    sizes = tiled.groupBy(*keys).agg(F.count("*").alias("n"))
+    square = [F.expr(f"shiftright({c}, level)").alias(f"b{c}") for c in ("tx", "ty")]
+    above = sizes.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(LEVELS)))).select("*", *square)
+    fits = above.groupBy(*by, "level", "btx", "bty").agg(F.sum("n").alias("held")).filter(F.col("held") <= block_rows)
+    same = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*by, "level", "btx", "bty")])
+    largest = (
+        above.alias("a").join(fits.alias("f"), same, "left")
+        .groupBy(*[F.col(f"a.{c}").alias(c) for c in keys])
+        .agg(
+            F.coalesce(F.max("f.level"), F.lit(0)).alias("level"),
+            F.ceil(F.max(F.when(F.col("a.level") == 0, F.col("n"))) / block_rows).alias("parts"),
+        )
+    )
+    on = reduce(and_, [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in keys])
+    placed = tiled.alias("c").join(largest.alias("s"), on).select("c.*", "level", "parts").select(
+        "*", *square, F.pmod("h", "parts").alias("part")
+    )
+    return placed.groupBy(*by, "level", "btx", "bty", "part").agg(
         F.collect_list("x").alias("xs"),
         F.collect_list("y").alias("ys"),
         F.collect_list("t").alias("ts"),
@@ -55,6 +82,109 @@ def _blocks(cells: DataFrame, by: list[str], tile: float, block_rows: int) -> Da
     )
 
 
+class Nodes:
+    """Cells of a block in nodes of NODE_CELLS: strips by x, cut by y. The last node is filled up.
+
+    A filling repeats a cell under the type after the last one, which is not counted.
+    """
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, t: np.ndarray, kinds: int):
+        n = len(x)
+        wide = NODE_CELLS * max(1, int(np.ceil(np.sqrt(n / NODE_CELLS))))
+        strip = np.empty(n, np.int64)
+        strip[np.argsort(x, kind="stable")] = np.arange(n) // wide
+        order = np.lexsort((y, strip))
+        order = np.concatenate([order, np.repeat(order[-1:], -n % NODE_CELLS)])
+        kind = t[order].astype(np.int64)
+        kind[n:] = kinds
+        # cell of the node x node: the long axis comes last
+        self.x, self.y, self.t = (np.ascontiguousarray(v.reshape(-1, NODE_CELLS).T) for v in (x[order], y[order], kind))
+        self.x0, self.x1 = self.x.min(axis=0), self.x.max(axis=0)
+        self.y0, self.y1 = self.y.min(axis=0), self.y.max(axis=0)
+        nodes = self.x.shape[1]
+        self.hist = np.zeros((nodes, kinds + 1), np.float32)  # whole numbers up to NODE_CELLS
+        np.add.at(self.hist, (np.repeat(np.arange(nodes), NODE_CELLS), kind), 1)
+
+
+class Bands:
+    """Bands as 0 (within the first limit), 1 to n and, beyond the last limit, n + 1.
+
+    ``code`` has the band of every rounded-up distance; the squared distances of bands up
+    to k are those up to ``square[k]``, the largest number whose root is within the limit.
+    """
+
+    def __init__(self, limits: np.ndarray):
+        self.n = len(limits) - 1
+        upto = np.arange(int(limits[-1]) + 2)
+        self.code = np.searchsorted(limits, upto, side="left").astype(np.int64)
+        self.square = np.square(limits)
+        while (more := np.sqrt(np.nextafter(self.square, np.inf)) <= limits).any():
+            self.square = np.where(more, np.nextafter(self.square, np.inf), self.square)
+
+    def of(self, square: np.ndarray) -> np.ndarray:
+        """Bands of squared distances, which are overwritten."""
+        np.sqrt(square, out=square)
+        np.ceil(square, out=square)
+        np.minimum(square, len(self.code) - 1, out=square)
+        return self.code[square.astype(np.int32)]
+
+
+def _squares(dx: np.ndarray, dy: np.ndarray) -> np.ndarray:
+    dx *= dx
+    dy *= dy
+    dx += dy
+    return dx
+
+
+def _apart(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
+    out = np.maximum(a0[:, None] - b1, b0 - a1[:, None])
+    return np.maximum(out, 0.0, out=out)
+
+
+def _across(a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> np.ndarray:
+    return np.maximum(a1[:, None] - b0, b1 - a0[:, None])
+
+
+def _measure(left: Nodes, right: Nodes, bands: Bands, kinds: int) -> np.ndarray:
+    """Pairs (left, right) by band and types.
+
+    Rounding is monotone, so bounds of boxes hold for the distances computed from cells.
+    """
+    wide = kinds + 1
+    hits = np.zeros((bands.n + 2, wide, wide))
+    counted = np.zeros(hits.size, np.int64)
+    for start in range(0, len(left.x0), STRIP):
+        at = slice(start, start + STRIP)
+        ax, ay = (left.x0[at], left.x1[at]), (left.y0[at], left.y1[at])
+        first = bands.of(_squares(_apart(*ax, right.x0, right.x1), _apart(*ay, right.y0, right.y1)))
+        last = bands.of(_squares(_across(*ax, right.x0, right.x1), _across(*ay, right.y0, right.y1)))
+        whole = np.where(first == last, first, -1)
+        for k in range(int(first.min()), int(last.max()) + 1):
+            hits[k] += left.hist[at].T.astype(float) @ ((whole == k).astype(np.float32) @ right.hist)
+        a, b = np.nonzero(whole < 0)
+        low, limits = first[a, b], last[a, b] - first[a, b]
+        a += start
+        for one in (True, False):  # astride a single limit, or more of them
+            which = np.flatnonzero((limits == 1) == one)
+            for chunk in range(0, len(which), PAIRS):
+                some = which[chunk : chunk + PAIRS]
+                u, v, k = a[some], b[some], low[some]
+                lx, ly, kind = left.x[:, u], left.y[:, u], left.t[:, u] * wide
+                rx, ry, other = right.x[:, v], right.y[:, v], right.t[:, v]
+                square = _squares(lx[:, None] - rx, ly[:, None] - ry)
+                if one:  # a comparison tells the lower band from the upper one
+                    kind += k * (wide * wide)
+                    cell = (square > bands.square[k]) * np.int64(wide * wide)
+                else:
+                    cell = bands.of(square)
+                    cell *= wide * wide
+                cell += kind[:, None]
+                cell += other
+                counted += np.bincount(cell.ravel(), minlength=len(counted))
+    total = hits.astype(np.int64) + counted.reshape(hits.shape)
+    return total[1 : bands.n + 1, :kinds, :kinds]
+
+
 def _gap(a0: str, a1: str, b0: str, b1: str) -> tuple[Column, Column]:
     """Smallest and largest distance between two intervals."""
     low = F.greatest(
@@ -70,19 +200,40 @@ def _band_of(distance: Column, bounds: np.ndarray) -> Column:
     return F.size(F.filter(upto, lambda v: v < distance)) - 1
 
 
-def _band_codes(limits: np.ndarray) -> np.ndarray:
-    """Band of every rounded-up distance; -1 outside all bands (radii are integers)."""
-    upto = np.arange(int(limits[-1]) + 2)
-    code = np.searchsorted(limits, upto, side="left") - 1
-    code[upto > limits[-1]] = -1
-    return code.astype(np.int32)
+def _tables(by: Sequence[str], n_bands: int, add) -> callable:
+    """A task that sums count tables of its slides; ``add(row, table)`` adds one row's pairs."""
+    by = list(by)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[tuple, np.ndarray] = {}
+
+        def emit() -> Iterator[pd.DataFrame]:
+            for slide, total in totals.items():
+                band, a, b = np.nonzero(total)
+                out = pd.DataFrame({"band": band, "a": a, "b": b, "n": total[band, a, b]})
+                for at, (name, value) in enumerate(zip(by, slide)):
+                    out.insert(at, name, pd.Series([value] * len(out), dtype=object))
+                yield out
+            totals.clear()
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                slide, k = tuple(row[: len(by)]), int(row.n_types)
+                if slide not in totals:
+                    if len(totals) == OPEN_SLIDES:
+                        yield from emit()
+                    totals[slide] = np.zeros((n_bands, k, k), dtype=np.int64)
+                add(row, totals[slide])
+        yield from emit()
+
+    return count
 
 
 def pair_counts(
     cells: DataFrame,
     types: Sequence[str] | None,
     limits: Sequence[int],
-    tile: float = 256.0,
+    tile: float = 128.0,
     block_rows: int = BLOCK_ROWS,
     by: Sequence[str] = (),
 ) -> DataFrame:
@@ -93,7 +244,6 @@ def pair_counts(
     """
     by = list(by)
     bounds = np.asarray(limits, dtype=np.float64)
-    reach = float(bounds[-1])
     typed = cells.filter(F.col("cell_type").isNotNull())
     if types is None:
         listed = typed.agg(F.sort_array(F.collect_set("cell_type"))).scalar()
@@ -101,17 +251,66 @@ def pair_counts(
         listed = F.array(*[F.lit(t) for t in types])
     place = F.array_position(listed, F.col("cell_type"))
     unknown = F.raise_error(F.concat(F.lit("cell type not listed: "), F.col("cell_type")))
-    code = F.when(place > 0, place).otherwise(unknown.cast("long")) - 1
-    coded = typed.withColumn("type_code", code.cast("int")).withColumn("n_types", F.size(listed))
-    blocks = _blocks(coded, by, tile, block_rows)
-    kinds = F.sequence(F.lit(0), F.col("n_types") - 1)
-    blocks = blocks.withColumn("hist", F.transform(kinds, lambda t: F.size(F.filter("ts", lambda v: v == t))))
+    number = F.when(place > 0, place).otherwise(unknown.cast("long")) - 1
+    coded = typed.withColumn("type_code", number.cast("int")).withColumn("n_types", F.size(listed))
+    blocks = cut_lineage(_blocks(coded, by, tile, block_rows).withColumn("block", F.monotonically_increasing_id()))
+    pairs = _block_pairs(blocks, by, bounds, tile * 2**LEVELS)
+
+    n_bands = len(bounds) - 1
+    bands = Bands(bounds)
+
+    def book(row, total: np.ndarray) -> None:
+        product = np.outer(row.lhist, row.rhist)
+        total[int(row.one_band)] += product + product.T
 
-    # Blocks meet through coarse buckets of whole tiles, one tile wider than the
-    # reach, so tiles within reach are at most one bucket apart: an equi-join.
-    wide = int(np.ceil(reach / tile)) + 1
-    home = blocks.withColumn("gx", F.floor(F.col("tx") / wide)).withColumn(
-        "gy", F.floor(F.col("ty") / wide)
+    def measure(row, total: np.ndarray) -> None:
+        kinds = int(row.n_types)
+        left = Nodes(np.asarray(row.lxs), np.asarray(row.lys), np.asarray(row.lts), kinds)
+        right = left if row.first == row.second else Nodes(np.asarray(row.rxs), np.asarray(row.rys), np.asarray(row.rts), kinds)
+        hits = _measure(left, right, bands, kinds)
+        total += hits if left is right else hits + hits.transpose(0, 2, 1)
+
+    types_of = dict(cells.dtypes)
+    schema = ", ".join([*(f"{c} {types_of[c]}" for c in by), "band int", "a int", "b int", "n long"])
+    booked = pairs.filter("one_band >= 0").select(*by, "n_types", "one_band", "lhist", "rhist")
+    open_ = pairs.filter("one_band IS NULL").select(*by, "n_types", "first", "second")
+    held = ("xs", "ys", "ts")
+    for which, side in (("first", "l"), ("second", "r")):
+        cells_of = blocks.select(F.col("block").alias(which), *[F.col(c).alias(f"{side}{c}") for c in held])
+        open_ = open_.join(cells_of, which)
+    open_ = open_.select(*by, "n_types", "first", "second", *[f"{side}{c}" for side in ("l", "r") for c in held])
+    # Block pairs are heavy to measure but small in bytes: they are dealt to many tasks,
+    # and to more than cores by far, as those of one block with itself take longer.
+    found = booked.mapInPandas(_tables(by, n_bands, book), schema).unionByName(
+        spread_by(open_, "first", "second", waves=16).mapInPandas(_tables(by, n_bands, measure), schema)
+    )
+    return (
+        found.groupBy(*by, "band", "a", "b")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            *by,
+            "band",
+            F.get(listed, F.col("a")).alias("type_a"),
+            F.get(listed, F.col("b")).alias("type_b"),
+            "n",
+        )
+    )
+
+
+def _block_pairs(blocks: DataFrame, by: list[str], bounds: np.ndarray, widest: float) -> DataFrame:
+    """Pairs of blocks (first <= second) within reach, with ``one_band`` where a single band holds them whole.
+
+    Blocks meet through buckets as wide as the reach and the largest block together, so
+    partners are at most one bucket apart: an equi-join of bounds and counts.
+    """
+    reach = float(bounds[-1])
+    kinds = F.sequence(F.lit(0), F.col("n_types") - 1)
+    hist = F.transform(kinds, lambda t: F.size(F.filter("ts", lambda v: v == t)))
+    corners = ["x0", "x1", "y0", "y1"]
+    wide = reach + widest
+    home = blocks.select(
+        *by, "block", "n_types", *corners, hist.alias("hist"),
+        F.floor(F.col("x0") / wide).alias("gx"), F.floor(F.col("y0") / wide).alias("gy"),
     )
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
     spread = (
@@ -120,102 +319,25 @@ def pair_counts(
         .withColumn("gx", F.col("gx") + F.col("_dx"))
         .withColumn("gy", F.col("gy") + F.col("_dy"))
     )
-    key = [F.col(f"l.{c}") for c in ("tx", "ty", "part")]
-    other = [F.col(f"r.{c}") for c in ("tx", "ty", "part")]
     low_x, high_x = _gap("x0", "x1", "x0", "x1")
     low_y, high_y = _gap("y0", "y1", "y0", "y1")
     meet = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*by, "gx", "gy")]
-    same = F.struct(*key) == F.struct(*other)
     near = F.sqrt(low_x * low_x + low_y * low_y)
     far = F.sqrt(high_x * high_x + high_y * high_y)
     # Bands of the nearest and the farthest pair; -1 within the first limit.
     first, last = _band_of(near, bounds), _band_of(far, bounds)
-    whole = ~same & (near > 0) & (first == last)
-    pairs = (
+    whole = (F.col("l.block") != F.col("r.block")) & (near > 0) & (first == last)
+    return (
         home.alias("l")
         .join(spread.alias("r"), reduce(and_, meet))
-        .filter(F.struct(*key) <= F.struct(*other))
-        .filter(low_x * low_x + low_y * low_y <= reach * reach)
+        .filter((F.col("l.block") <= F.col("r.block")) & (low_x * low_x + low_y * low_y <= reach * reach))
         .select(
-            *[F.col(f"l.{c}").alias(c) for c in by],
-            same.alias("same"),
+            *[F.col(f"l.{c}").alias(c) for c in (*by, "n_types")],
+            F.col("l.block").alias("first"),
+            F.col("r.block").alias("second"),
             F.when(whole, first).alias("one_band"),
             F.col("l.hist").alias("lhist"),
             F.col("r.hist").alias("rhist"),
-            *[F.when(~whole, F.col(f"l.{c}")).alias(f"l{c}") for c in ("xs", "ys", "ts")],
-            *[F.when(~whole, F.col(f"r.{c}")).alias(f"r{c}") for c in ("xs", "ys", "ts")],
-        )
-        .filter("one_band IS NULL OR one_band >= 0")
-    )
-    n_bands = len(bounds) - 1
-    # Distances outside all bands fall into one extra code that is dropped.
-    lookup = _band_codes(bounds)
-    lookup = np.where(lookup < 0, n_bands, lookup).astype(np.int32)
-    top = len(lookup) - 1
-
-    def measure(row, k: int) -> np.ndarray:
-        cells_of_band = lookup * (k * k)
-        lx, ly, lt = (np.asarray(v) for v in (row.lxs, row.lys, row.lts))
-        rx, ry, rt = (np.asarray(v) for v in (row.rxs, row.rys, row.rts))
-        hits = np.zeros((n_bands + 1) * k * k, dtype=np.int64)
-        # Strips of rows keep the distance table inside the processor cache.
-        for start in range(0, len(lx), 32):
-            strip = slice(start, start + 32)
-            square = np.subtract.outer(lx[strip], rx)
-            square *= square
-            dy = np.subtract.outer(ly[strip], ry)
-            dy *= dy
-            square += dy
-            np.sqrt(square, out=square)
-            np.ceil(square, out=square)
-            np.minimum(square, top, out=square)
-            code = cells_of_band[square.astype(np.int32)]
-            code += lt[strip, None] * k + rt[None, :]
-            hits += np.bincount(code.ravel(), minlength=len(hits))
-        return hits.reshape(n_bands + 1, k, k)[:n_bands]
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[tuple, np.ndarray] = {}
-
-        def emit() -> Iterator[pd.DataFrame]:
-            for slide, total in totals.items():
-                band, a, b = np.nonzero(total)
-                out = pd.DataFrame({"band": band, "a": a, "b": b, "n": total[band, a, b]})
-                for at, (name, value) in enumerate(zip(by, slide)):
-                    out.insert(at, name, [value] * len(out))
-                yield out
-            totals.clear()
-
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                slide, k = tuple(row[: len(by)]), len(row.lhist)
-                if slide not in totals:
-                    if len(totals) == OPEN_SLIDES:
-                        yield from emit()
-                    totals[slide] = np.zeros((n_bands, k, k), dtype=np.int64)
-                total = totals[slide]
-                if row.lts is None:
-                    product = np.outer(row.lhist, row.rhist)
-                    total[int(row.one_band)] += product + product.T
-                    continue
-                hits = measure(row, k)
-                total += hits if row.same else hits + hits.transpose(0, 2, 1)
-        yield from emit()
-
-    # Block pairs are heavy to measure but small in bytes: spread them by number.
-    workers = cells.sparkSession.sparkContext.defaultParallelism
-    types_of = dict(cells.dtypes)
-    schema = ", ".join([*(f"{c} {types_of[c]}" for c in by), "band int", "a int", "b int", "n long"])
-    return (
-        pairs.repartition(4 * workers).mapInPandas(count, schema)
-        .groupBy(*by, "band", "a", "b")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            *by,
-            "band",
-            F.get(listed, F.col("a")).alias("type_a"),
-            F.get(listed, F.col("b")).alias("type_b"),
-            "n",
         )
     )
 

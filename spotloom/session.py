@@ -65,7 +65,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+def spread_by(df: DataFrame, *keys: str, waves: int = 4) -> DataFrame:
     """Hash-partition rows by keys into a fixed number of tasks.
 
     Groups that are costly to solve are often small in bytes, and the adaptive
@@ -74,4 +74,4 @@ def spread_by(df: DataFrame, *keys: str) -> DataFrame:
     """
     spark = df.sparkSession
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, wanted), *keys)
+    return df.repartition(max(waves * spark.sparkContext.defaultParallelism, wanted), *keys)

@@ -7,8 +7,11 @@ entry form one block whose size is known.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,11 @@ from ..functions.ordering import running_min_from_top, running_sum
 from ..functions.probability import normal_two_sided, student_two_sided
 from ..session import cut_lineage
 
+HEAVY = 4  # a gene with over 1 / (HEAVY x cores) of all entries is cut into value ranges
+LIGHT_ROWS = 10_000  # but not one with fewer entries than these
+DENSE = 1 << 20  # numbers of a table of values x regions
+SUMS = ("nz", "x", "xx", "cubes", "above", "level", "twice")
+
 
 def p_bucket(p: Column) -> Column:
     """A monotone code of a p-value; under the null no code holds over 1/4096 of a family."""
@@ -124,54 +132,166 @@ def pair_sums(histogram: DataFrame, sizes: DataFrame) -> DataFrame:
     """Sums, squares, Mann-Whitney U and tie term of every gene and region pair.
 
     U of the first region = sum over values v of n_a(v) * (#b below v + #b at v / 2),
-    ties = sum of t^3 - t. Values below v in region b come from running sums over
-    the gene's value histogram; the zeros of a region are its value 0.
+    ties = sum of t^3 - t. Both split into sums of one region (its entries, their squares
+    and cubes, its zeros) and cross terms of two regions that hold entries of the gene.
+    Regions without entries have no cross terms, so nothing is unfolded over values and
+    regions: one pass over the entries of a gene gives all its cross terms.
     """
     regions = sizes.agg(F.sort_array(F.collect_list(F.struct("region", "n")))).scalar()
-    at_value = histogram.groupBy("gene", "value").agg(
-        F.map_from_entries(F.collect_list(F.struct("region", "n"))).alias("_n")
-    )
-    listed = at_value.withColumn("_r", regions)
-    dense = listed.withColumn("_e", F.explode("_r")).select(
+    names = sizes.agg(F.sort_array(F.collect_list("region"))).scalar()
+    coded = histogram.withColumn("code", F.array_position(names, F.col("region")).cast("int")).filter("code > 0")
+    entries = cut_lineage(coded.select("gene", "code", F.col("value").cast("double").alias("value"), F.col("n").cast("double").alias("n")))
+    of_gene = _gene_sums(entries).groupBy("gene").agg(F.collect_list("sums").alias("_parts"))
+    listed = of_gene.withColumn("_r", regions).select(
         "gene",
-        "value",
-        F.col("_e.region").alias("region"),
-        F.col("_e.n").alias("size"),
-        F.coalesce(F.try_element_at("_n", F.col("_e.region")), F.lit(0).cast("long")).alias("n"),
-    )
-    placed = running_sum(
-        dense,
-        ["gene", "region"],
-        value_bucket(F.col("value")),
-        [F.col("value")],
-        F.col("n"),
-        "nz_below",
-        exclusive=True,
-        total="nz",
+        "_parts",
+        F.transform(
+            "_r",
+            lambda r, i: F.struct(
+                (i + 1).alias("code"), r["region"].alias("region"), r["n"].cast("double").alias("size"),
+                *[_own_sum(c, i + 1).alias(c) for c in ("nz", "x", "xx", "cubes")],
+            ),
+        ).alias("_all"),
     )
-    zeros = F.col("size") - F.col("nz")
-    entry = F.struct("region", "size", "n", (F.col("nz_below") + zeros).alias("below"), zeros.alias("zeros"))
-    packed = placed.groupBy("gene", "value").agg(F.collect_list(entry).alias("_all"))
-    pairs = packed.withColumn("_a", F.explode("_all")).withColumn("_b", F.explode("_all"))
-    v = F.col("value").cast("double")
-    na, nb = F.col("_a.n").cast("double"), F.col("_b.n").cast("double")
-    tie = na + nb
-    za, zb = F.any_value("_a.zeros").cast("double"), F.any_value("_b.zeros").cast("double")
+    pairs = listed.withColumn("_a", F.explode("_all")).withColumn("_b", F.explode("_all"))
+    a, b = F.col("_a.code"), F.col("_b.code")
+    za, zb = F.col("_a.size") - F.col("_a.nz"), F.col("_b.size") - F.col("_b.nz")
     block = za + zb
-    return pairs.groupBy(
-        "gene", F.col("_a.region").alias("region_a"), F.col("_b.region").alias("region_b")
-    ).agg(
-        F.any_value("_a.size").cast("double").alias("n1"),
-        F.any_value("_b.size").cast("double").alias("n2"),
-        F.sum(v * na).alias("x1"),
-        F.sum(v * v * na).alias("xx1"),
-        F.sum(v * nb).alias("x2"),
-        F.sum(v * v * nb).alias("xx2"),
-        (F.sum(na * (F.col("_b.below") + nb / 2)) + za * zb / 2).alias("u"),
-        (F.sum(tie * tie * tie - tie) + block * block * block - block).alias("ties"),
+    tied = F.col("_a.cubes") + F.col("_b.cubes") + 3 * (_cross_sum("twice", a, b) + _cross_sum("twice", b, a))
+    return pairs.select(
+        "gene",
+        F.col("_a.region").alias("region_a"),
+        F.col("_b.region").alias("region_b"),
+        F.col("_a.size").alias("n1"),
+        F.col("_b.size").alias("n2"),
+        F.col("_a.x").alias("x1"),
+        F.col("_a.xx").alias("xx1"),
+        F.col("_b.x").alias("x2"),
+        F.col("_b.xx").alias("xx2"),
+        (F.col("_a.nz") * zb + _cross_sum("above", a, b) + _cross_sum("level", a, b) / 2 + za * zb / 2).alias("u"),
+        (tied - F.col("_a.nz") - F.col("_b.nz") + block * block * block - block).alias("ties"),
     )
 
 
+def _own_sum(name: str, code: Column) -> Column:
+    """A region's sum over the value ranges of a gene; 0 where it has no entries."""
+
+    def add(total: Column, part: Column) -> Column:
+        return total + F.coalesce(F.get(part[name], F.array_position(part["codes"], code).cast("int") - 1), F.lit(0.0))
+
+    return F.aggregate("_parts", F.lit(0.0), add)
+
+
+def _cross_sum(name: str, a: Column, b: Column) -> Column:
+    """A cross term of two regions over the value ranges of a gene; 0 where one has no entries."""
+
+    def add(total: Column, part: Column) -> Column:
+        i, j = (F.array_position(part["codes"], c).cast("int") for c in (a, b))
+        held = F.when((i > 0) & (j > 0), F.get(part[name], (i - 1) * F.size(part["codes"]) + j - 1))
+        return total + F.coalesce(held, F.lit(0.0))
+
+    return F.aggregate("_parts", F.lit(0.0), add)
+
+
+def _gene_sums(entries: DataFrame) -> DataFrame:
+    """(gene, sums): own sums and cross terms of the regions with entries of a gene.
+
+    above = pairs of entries with a's value above b's, level = with equal values, twice =
+    sum of n_a^2 n_b over common values, each as rows of a table codes x codes. A gene is
+    one pass in the order of its values. Genes with more than one entry in HEAVY times the
+    cores (there are fewer than these) are cut into value ranges, each told what lies
+    below it; the terms of the ranges add up.
+    """
+    spark = entries.sparkSession
+    parts = HEAVY * spark.sparkContext.defaultParallelism
+    counts = entries.groupBy("gene").agg(F.count("*").alias("rows"))
+    total = counts.agg(F.sum("rows")).scalar()
+    heavy = counts.filter((F.col("rows") * parts > total) & (F.col("rows") > LIGHT_ROWS)).select("gene")
+    heavy = [r["gene"] for r in heavy.collect()]  # fewer than ``parts``
+    kinds = ["gene", "range", "code", "value", "n", "below"]
+    cut = F.col("gene").isin(heavy) if heavy else F.lit(False)
+    place = F.when(cut, value_bucket(F.col("value"))).otherwise(F.lit(0)).cast("long")
+    ranged = entries.withColumn("range", place).withColumn("below", F.lit(False)).select(*kinds)
+    if heavy:
+        sums = cut_lineage(ranged.filter(cut).groupBy("gene", "range", "code").agg(F.sum("n").alias("n")))
+        lower = sums.select("gene", F.col("range").alias("low"), "code", "n")
+        told = sums.select("gene", "range").distinct().join(lower, "gene").filter("low < range")
+        told = told.groupBy("gene", "range", "code").agg(F.sum("n").alias("n"))
+        told = told.withColumn("value", F.lit(float("-inf"))).withColumn("below", F.lit(True))
+        ranged = ranged.unionByName(told.select(*kinds))
+    gene = entries.schema["gene"].dataType.simpleString()
+    numbers = ", ".join(f"{c}: array<double>" for c in SUMS)
+    dealt = ranged.repartition("gene", "range").sortWithinPartitions("gene", "range", "value")
+    return dealt.mapInArrow(_sums_of_batches, f"gene {gene}, sums struct<codes: array<int>, {numbers}>")
+
+
+def _sums_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by gene, range and value; the last group of a batch may go on in the next."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        starts = _starts(table)
+        rest = table.slice(starts[-1])
+        yield from _sums_of_groups(table.slice(0, starts[-1]), starts)
+    if rest is not None:
+        yield from _sums_of_groups(rest, np.array([0, len(rest)]))
+
+
+def _starts(table: pa.Table) -> np.ndarray:
+    """First rows of the groups of a table that is not empty."""
+    new = np.zeros(len(table), bool)
+    new[0] = True
+    for name in ("gene", "range"):
+        column = table.column(name).combine_chunks()
+        here, before = column.slice(1), column.slice(0, len(column) - 1)
+        both_null = pc.and_(here.is_null(), before.is_null())
+        new[1:] |= pc.coalesce(pc.not_equal(here, before), pc.invert(both_null)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _sums_of_groups(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if not len(table):
+        return
+    columns = {c: table.column(c).to_numpy() for c in ("code", "value", "n", "below")}
+    found = [
+        _sums_of_gene(*(c[start:stop] for c in columns.values()))
+        for start, stop in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)
+    ]
+    lists = []
+    for own in zip(*found, strict=True):
+        ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
+        lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(own))))
+    genes = table.column("gene").combine_chunks().take(pa.array(starts[:-1]))
+    yield pa.RecordBatch.from_arrays([genes, pa.StructArray.from_arrays(lists, ["codes", *SUMS])], ["gene", "sums"])
+
+
+def _sums_of_gene(codes: np.ndarray, values: np.ndarray, n: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Codes and SUMS of one gene's entries in the order of values, some rows of values at a time."""
+    present, place = np.unique(codes, return_inverse=True)
+    k = len(present)
+    low = np.bincount(place[below], n[below], minlength=k)
+    if below.any():
+        own = ~below
+        place, values, n = place[own], values[own], n[own]
+    sums = [np.bincount(place, w, minlength=k) for w in (n, values * n, values * values * n, n * n * n)]
+    row = np.zeros(len(values), np.int64)
+    np.cumsum(values[1:] != values[:-1], out=row[1:])
+    rows = int(row[-1]) + 1 if len(row) else 0
+    above, level, twice = np.zeros((3, k, k))
+    step = max(1, DENSE // k)
+    for at in range(0, rows, step):
+        some = slice(*np.searchsorted(row, [at, at + step]))
+        counts = np.zeros((min(step, rows - at), k))
+        counts[row[some] - at, place[some]] = n[some]  # a value and region is one entry
+        upto = np.cumsum(counts, axis=0) + low
+        above += counts.T @ (upto - counts)
+        level += counts.T @ counts
+        twice += (counts * counts).T @ counts
+        low = upto[-1]
+    return present.astype(np.int32), *sums, above.ravel(), level.ravel(), twice.ravel()
+
+
 def u_score(u: Column, n1: Column, n2: Column, ties: Column) -> Column:
     """Continuity-corrected z of the two-sided test with the tie correction."""
     total = n1 + n2

@@ -174,3 +174,35 @@ def test_moving_average_over_several_levels(spark):
     for v in x[1:]:
         want.append(0.9 * want[-1] + 0.1 * v)
     assert got.to_numpy() == pytest.approx(np.array(want))
+
+
+@pytest.mark.parametrize("light, dense", [(10_000, 1 << 20), (5, 7)])
+def test_rank_sums_of_present_and_absent_regions(spark, monkeypatch, light, dense):
+    """Also with genes cut into value ranges and tables of a few rows at a time."""
+    import random
+
+    from spotloom.operators import comparative
+
+    monkeypatch.setattr(comparative, "LIGHT_ROWS", light)
+    monkeypatch.setattr(comparative, "DENSE", dense)
+    draw = random.Random(4)
+    members = [(i, f"r{i % 4}") for i in range(80)] + [(99, "lonely")]
+    values = {"g0": [1, 2, 3], "g1": [0.5, 1.5, 700.0], "g2": [2], None: [1, 9]}
+    counts = {}
+    for gene, some in values.items():
+        for i in range(100):
+            if draw.random() < 0.6 and not (gene == "g2" and i % 4 != 1):
+                counts[i, gene] = float(draw.choice(some))
+    expr = spark.createDataFrame([(i, g, v) for (i, g), v in counts.items()], "barcode int, gene string, count double")
+    got = comparative.pair_sums(
+        comparative.region_histogram(expr, spark.createDataFrame(members, "barcode int, region string")),
+        comparative.region_sizes(spark.createDataFrame(members, "barcode int, region string")),
+    ).collect()
+    assert len(got) == len(values) * 16
+    for r in got:
+        a, b = ([counts.get((i, r["gene"]), 0.0) for i, region in members if region == r[side]] for side in ("region_a", "region_b"))
+        u = sum(1.0 if x > y else 0.5 if x == y else 0.0 for x in a for y in b)
+        both = a + b
+        ties = sum(both.count(v) ** 3 - both.count(v) for v in set(both))
+        assert (r["n1"], r["n2"], r["u"], r["ties"]) == (len(a), len(b), u, ties)
+        assert abs(r["x1"] - sum(a)) < 1e-9 and abs(r["xx2"] - sum(y * y for y in b)) < 1e-6

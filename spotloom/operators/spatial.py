@@ -283,6 +283,37 @@ def _inside_aggs(x: Column, y: Column) -> list[Column]:
 INSIDE = "_crossings % 2 = 1 and _touching = 0"
 
 
+def region_rows(regions: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(boxes, rows): every polygon cut into rows of equal height, each with the edges that reach it.
+
+    Whether a point lies inside depends on the edges at its height only, so a row answers
+    for its points alone. There are as many rows as keep the edges, counted in every row
+    they reach, below twice their number: a row has about as many as a level line crosses.
+    A polygon is spread over its rows; ``_region`` names it in both tables.
+    """
+    keys = [*by, "region_class", "region_name"]
+    named = region_edges(regions, by).withColumn("_region", F.struct(*keys))
+    rise = F.abs(F.col("y2") - F.col("y1"))
+    boxes = named.groupBy("_region").agg(
+        F.min("x1").alias("_x0"), F.min("y1").alias("_y0"), F.max("x1").alias("_x1"), F.max("y1").alias("_y1"),
+        F.count("*").alias("_n"), F.sum(rise).alias("_rise"),
+    )
+    height = F.col("_y1") - F.col("_y0")
+    rows = F.greatest(F.floor(F.try_divide(F.col("_n") * height, F.col("_rise"))), F.lit(1))
+    unit = F.when(height > 0, height / rows).otherwise(1.0)
+    boxes = boxes.select("_region", *BOX, F.col("_y0").alias("_top"), unit.alias("_unit"))
+    low, high = (row_of(f("y1", "y2"), F.col("_top"), F.col("_unit")) for f in (F.least, F.greatest))
+    reached = named.join(boxes.select("_region", "_top", "_unit"), "_region").select(
+        "_region", F.explode(F.sequence(low, high)).alias("_row"), F.struct("x1", "y1", "x2", "y2").alias("_e")
+    )
+    return boxes, reached.groupBy("_region", "_row").agg(F.collect_list("_e").alias("_edges"))
+
+
+def row_of(y: Column, top: Column, unit: Column) -> Column:
+    """Number of the row at a height; rounding keeps its order, so edges reach the rows of their points."""
+    return F.floor((y - top) / unit)
+
+
 def region_members(
     points: DataFrame,
     regions: DataFrame,
@@ -292,10 +323,17 @@ def region_members(
     unit: float = 256.0,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """(region_class, region_name, point columns) of points strictly inside."""
-    near = box_join(points, with_edges(regions, by=by), x, y, unit, by=by)
-    scanned = _over_edges(near, [*by, key], *_inside_aggs(F.col(x), F.col(y)))
-    return scanned.filter(INSIDE).drop("_crossings", "_touching")
+    """(region_class, region_name, point columns) of points strictly inside.
+
+    A point meets the boxes of polygons first and then the one row of each at its height.
+    """
+    boxes, rows = region_rows(regions, by)
+    boxes = boxes.select(*[F.col(f"_region.{c}").alias(c) for c in (*by, "region_class", "region_name")], "*")
+    near = box_join(points, boxes, x, y, unit, by=by)
+    placed = near.withColumn("_row", row_of(F.col(y).cast("double"), F.col("_top"), F.col("_unit")))
+    inside = placed.join(rows, ["_region", "_row"]).filter(geo.contains(F.col("_edges"), F.col(x), F.col(y)))
+    rest = [c for c in points.columns if c not in (*by, key)]
+    return inside.select("region_class", "region_name", *by, key, *rest)
 
 
 def members_of_sized_regions(

@@ -47,11 +47,11 @@ _LEVELS = (
 walls AS (
     SELECT *, (x2 - x1) / len AS ux, (y2 - y1) / len AS uy
     FROM (SELECT *, sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) AS len FROM edges)),
-corners AS (
+corners AS MATERIALIZED (
     SELECT *, coalesce(lead(ux) OVER w, first_value(ux) OVER w) AS vx,
            coalesce(lead(uy) OVER w, first_value(uy) OVER w) AS vy
     FROM walls WINDOW w AS (PARTITION BY region_name ORDER BY i)),
-near AS (
+near AS MATERIALIZED (
     SELECT c.*, b.region_class, b.region_name,
            CASE WHEN ci.cell_ids IS NULL THEN 1.0 ELSE -1.0 END::double AS side
     FROM cells c JOIN (
@@ -72,7 +72,7 @@ reach AS (
              THEN 2 * side * ((cell_x - x2) * (uy + vy) - (cell_y - y2) * (ux + vx))
                   / ((ux + vx) ** 2 + (uy + vy) ** 2) END AS cut
     FROM near JOIN corners USING (region_class, region_name)),
-dist AS (
+dist AS MATERIALIZED (
     SELECT cell_ids, region_name, round(any_value(side) * min(least(flat, cut)), 9) AS dist
     FROM reach GROUP BY 1, 2),
 levels AS (

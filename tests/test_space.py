@@ -304,3 +304,34 @@ def test_windows_agree_on_a_turned_slide(spark):
     kept = [*solid[~flat(xy, solid)], *tri[tri[:, 2] < 0][:, :2]]
     want = {(int(a), int(b)) for t in kept for a in t for b in t if a != b}
     assert got == want
+
+
+def test_rows_of_a_large_polygon_answer_like_its_whole_ring(spark):
+    """A comb of 4,000 corners, a star, a triangle and a flat ring, points on corners and edges among them."""
+    teeth = [(float(i), 40.0 if i % 2 else 3.0) for i in range(3998)]
+    comb = [(0.0, 0.0), *teeth, (3997.0, 0.0)]
+    star = [(100 + (30 if k % 2 else 12) * math.cos(k * 0.3), 20 + (30 if k % 2 else 12) * math.sin(k * 0.3)) for k in range(20)]
+    rings = {"comb": comb, "star": star, "triangle": [(0.0, 0.0), (50.0, 0.0), (0.0, 50.0)], "flat": [(0.0, 7.0), (9.0, 7.0), (4.0, 7.0)], None: [(5.0, 5.0), (25.0, 5.0), (25.0, 25.0), (5.0, 25.0)]}
+    regions = spark.createDataFrame(
+        [("class", name, [{"x": x, "y": y} for x, y in ring]) for name, ring in rings.items()],
+        "region_class string, region_name string, ring array<struct<x: double, y: double>>",
+    )
+    rng = np.random.default_rng(2)
+    points = [(float(x), float(y)) for x, y in zip(rng.uniform(0, 200, 600), rng.uniform(-2, 45, 600))]
+    points += [(float(x), float(y)) for x in range(0, 60, 5) for y in range(0, 50, 5)] + [comb[5], comb[9], star[3]]
+    df = spark.createDataFrame([(i, x, y, "kept") for i, (x, y) in enumerate(points)], "id int, px double, py double, more string")
+    got = {(r["region_name"], r["id"]) for r in spatial.region_members(df, regions, "id", "px", "py").collect()}
+
+    def inside(ring, x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+            if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2):
+                return False
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                odd = not odd
+        return odd
+
+    assert got == {(name, i) for name, ring in rings.items() for i, (x, y) in enumerate(points) if inside(ring, x, y)}
+    boxes, rows = spatial.region_rows(regions)
+    held = {r["name"]: r["n"] for r in rows.groupBy("_region.region_name").agg(F.sum(F.size("_edges")).alias("n")).withColumnRenamed("region_name", "name").collect()}
+    assert held["comb"] <= 2 * 4000 and held["star"] <= 2 * 20 + 20

@@ -143,6 +143,17 @@ def split_instances(pixels: DataFrame, tile: int = 128) -> DataFrame:
     )
 
 
+def relabel(pixels: DataFrame, tile: int = 128) -> DataFrame:
+    """Ids 1, 2, ... for the connected parts of an image's instances, in scan order.
+
+    Parts touch over edges or corners; different ids never join.
+    """
+    parts = mask_components(pixels, diagonal=True, tile=tile)
+    listed = parts.select("img", "component").distinct()
+    ranked = running_sum(listed, ["img"], F.floor(F.col("component") / 65536), [F.col("component")], F.lit(1), "_new")
+    return parts.join(ranked, ["img", "component"]).select("img", "y", "x", F.col("_new").cast("int").alias("inst_id"))
+
+
 def hole_sizes(pixels: DataFrame, tile: int = 128) -> DataFrame:
     """(img, inst_id, holes): background pixels an instance encloses.
 

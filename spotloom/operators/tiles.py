@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordering import running_sum
+from ..session import cut_lineage
 
 
 def _grid(frame: DataFrame, ys: Column, xs: Column) -> DataFrame:
@@ -259,6 +260,24 @@ def replace_in_tiles(existing: DataFrame, fresh: DataFrame, tiles: DataFrame) ->
     return kept.select("img", "y", "x", "inst_id").unionByName(added)
 
 
+def merge_phases(fresh: DataFrame, tiles: DataFrame, phases: Iterable[int] = (1, 2, 3)) -> DataFrame:
+    """The whole merge of tiled predictions: (img, y, x, inst_id).
+
+    ``fresh`` (img, phase, tile, y, x, inst_id) has the instances found in every tile and
+    ``tiles`` (img, phase, tile, y0, y1, x0, x1) where the tiles lie, as
+    ``processing_tiles`` gives them with a number each. Phase 0 is placed as it is, with
+    ids unique in its image. Then each phase repairs what the one before left: strips over
+    the seams of the grid, and last the crossings of the seams. Tiles of one phase do not
+    overlap, so a phase is one step for all of them; its result is written, as the next
+    phase reads it several times.
+    """
+    merged = unique_ids(fresh.filter("phase = 0"), ["tile"]).select("img", "y", "x", "inst_id")
+    for phase in phases:
+        now = F.col("phase") == phase
+        merged = replace_in_tiles(cut_lineage(merged), fresh.filter(now).drop("phase"), tiles.filter(now).drop("phase"))
+    return merged
+
+
 def reassemble(patches: DataFrame, size: int, height: int, width: int) -> DataFrame:
     """Patch predictions placed on the full map and cropped to the source."""
     placed = patches.select(

@@ -470,11 +470,7 @@ def tile_unique_ids(spark, sf):
     return tl.unique_ids(_patches(spark, sf))
 
 
-@query(
-    "tile_stitched",
-    d.sql(
-        "masks",
-        extra=_PATCHES + """,
+_STITCHED = """,
 sz AS (SELECT img, uid, count(*) AS size FROM uniq GROUP BY 1, 2 HAVING count(*) >= 4),
 pos AS (
     SELECT u.img, u.uid, size, u.row, u.col, u.col % 2 AS layer, u.row * 16 + dy AS y, u.col * 16 + dx AS x
@@ -485,7 +481,14 @@ cover AS (
     WHERE y >= r * 16 AND y < r * 16 + 32 AND x >= c * 16 AND x < c * 16 + 32 AND c % 2 = layer
     GROUP BY 1, 2, 3),
 seen AS (SELECT pos.* FROM pos JOIN cover USING (y, x, layer) WHERE pos.row = lr AND pos.col = lc),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY size DESC, layer) AS rn FROM seen)""",
+ranked AS (SELECT *, row_number() OVER (PARTITION BY img, y, x ORDER BY size DESC, layer) AS rn FROM seen)"""
+
+
+@query(
+    "tile_stitched",
+    d.sql(
+        "masks",
+        extra=_PATCHES + _STITCHED,
         body="""SELECT img, y::int AS y, x::int AS x, uid::int AS inst_id FROM seen
 WHERE (img, uid) NOT IN (SELECT (img, uid) FROM ranked WHERE rn > 1)""",
     ),
@@ -531,6 +534,76 @@ def tile_seam_repair(spark, sf):
     return tl.replace_in_tiles(old, fresh, tiles)
 
 
+def _phase_sql(phase: int) -> str:
+    """One repair phase over the mask of the phase before."""
+    return f"""
+st{phase} AS MATERIALIZED (
+    SELECT m.img, inst_id, bool_or(y = y0 OR y = y1 - 1 OR x = x0 OR x = x1 - 1) AS edge
+    FROM m{phase - 1} m JOIN t ON phase = {phase} AND y >= y0 AND y < y1 AND x >= x0 AND x < x1 GROUP BY m.img, tile, inst_id),
+kept{phase} AS MATERIALIZED (
+    SELECT * FROM m{phase - 1} m WHERE NOT EXISTS (
+        SELECT 1 FROM st{phase} s WHERE s.img = m.img AND s.inst_id = m.inst_id AND NOT edge)),
+bad{phase} AS MATERIALIZED (
+    SELECT DISTINCT f.img, f.tile, f.inst_id FROM fresh f JOIN kept{phase} k USING (img, y, x) WHERE phase = {phase}),
+m{phase} AS MATERIALIZED (
+    SELECT img, y, x, inst_id FROM kept{phase} UNION ALL
+    SELECT img, y, x, (top + dense_rank() OVER (PARTITION BY img ORDER BY tile, inst_id))::int AS inst_id
+    FROM fresh f JOIN (SELECT img, max(inst_id) AS top FROM m{phase - 1} GROUP BY 1) USING (img)
+    WHERE phase = {phase} AND NOT EXISTS (
+        SELECT 1 FROM bad{phase} b WHERE b.img = f.img AND b.tile = f.tile AND b.inst_id = f.inst_id))"""
+
+
+@query(
+    "tile_three_phases",
+    d.sql(
+        "masks",
+        extra="""cuts AS (
+    SELECT phase, y - dy AS y0, x - dx AS x0, y + ey AS y1, x + ex AS x1, ys, xs
+    FROM (VALUES (0, 0, 0, 32, 32, 0, 0), (1, 0, 8, 32, 8, 0, 1), (2, 8, 0, 8, 32, 1, 0), (3, 16, 16, 16, 16, 1, 1))
+        p(phase, dy, dx, ey, ex, ys, xs), (VALUES (0), (32), (64)) a(y), (VALUES (0), (32), (64)) b(x)
+    WHERE (ys = 0 OR y > 0) AND (xs = 0 OR x > 0)),
+t AS (SELECT phase, y0 * 1000 + x0 AS tile, y0, x0, CASE phase WHEN 0 THEN least(y1, 64) ELSE y1 END AS y1,
+             CASE phase WHEN 0 THEN least(x1, 64) ELSE x1 END AS x1 FROM cuts),
+fresh AS MATERIALIZED (
+    SELECT img, phase, tile, y, x, CASE phase WHEN 0 THEN pred_id ELSE true_id END AS inst_id
+    FROM masks JOIN t ON y >= y0 AND y < y1 AND x >= x0 AND x < x1
+    WHERE CASE phase WHEN 0 THEN pred_id ELSE true_id END > 0),
+m0 AS MATERIALIZED (
+    SELECT img, y, x, (dense_rank() OVER (PARTITION BY img ORDER BY tile, inst_id))::int AS inst_id
+    FROM fresh WHERE phase = 0),"""
+        + ",".join(_phase_sql(phase) for phase in (1, 2, 3)),
+        body="SELECT img, y, x, inst_id FROM m3",
+    ),
+)
+def tile_three_phases(spark, sf):
+    """Instances of grid tiles, mended over the seams and then over their crossings."""
+    tiles = tl.processing_tiles(_images(spark, sf), 32, 8).withColumn("tile", F.col("y0") * 1000 + F.col("x0"))
+    covers = F.col("y").between(F.col("y0"), F.col("y1") - 1) & F.col("x").between(F.col("x0"), F.col("x1") - 1)
+    found = F.when(F.col("phase") == 0, F.col("pred_id")).otherwise(F.col("true_id"))
+    fresh = d.masks(spark, sf).join(tiles, "img").filter(covers).withColumn("inst_id", found).filter("inst_id > 0")
+    return tl.merge_phases(fresh.select("img", "phase", "tile", "y", "x", "inst_id"), tiles)
+
+
+@query(
+    "tile_stitched_relabelled",
+    d.sql(
+        "masks",
+        extra=_PATCHES + _STITCHED + """,
+px AS MATERIALIZED (SELECT img, y, x, uid FROM seen WHERE (img, uid) NOT IN (SELECT (img, uid) FROM ranked WHERE rn > 1)),
+walk AS (
+    SELECT img, uid, y, x, y * 64 + x AS k FROM px
+    UNION
+    SELECT p.img, p.uid, p.y, p.x, w.k FROM walk w JOIN px p ON p.img = w.img AND p.uid = w.uid
+        AND abs(p.y - w.y) <= 1 AND abs(p.x - w.x) <= 1),
+part AS (SELECT img, y, x, min(k) AS k FROM walk GROUP BY 1, 2, 3)""",
+        body="""SELECT img, y::int AS y, x::int AS x, (dense_rank() OVER (PARTITION BY img ORDER BY k))::int AS inst_id FROM part""",
+    ),
+)
+def tile_stitched_relabelled(spark, sf):
+    """The stitched mask with the ids of its connected parts."""
+    return cc.relabel(tl.stitch(_patches(spark, sf), 3, 3, 32, 16), tile=16)
+
+
 @query(
     "tile_reassembled",
     d.sql(

@@ -242,3 +242,33 @@ def sql(*names: str, body: str, extra: str = "") -> str:
     if extra:
         steps.append(extra)
     return "WITH RECURSIVE " + ",\n".join(steps) + "\n" + body if steps else body
+
+
+def normal_tail_sql(z: str) -> str:
+    """P(Z > z) for z >= 0 in DuckDB: one half less the density times z + z^3/3 + z^5/(3 * 5) + ...
+
+    Beyond 7 the tail is below 2e-12 and counts as zero.
+    """
+    step = f"e.t * ({z}) * ({z}) / (2 * k.k + 1)"
+    return f"""CASE WHEN {z} > 7 THEN 0.0::double ELSE 0.5 - exp(-({z}) * ({z}) / 2) / sqrt(2 * pi()) * list_reduce(
+    list_prepend({{'t': ({z})::double, 's': ({z})::double, 'k': 0.0::double}},
+        list_transform(range(1, 150), lambda k: {{'t': 0.0::double, 's': 0.0::double, 'k': k::double}})),
+    lambda e, k: {{'t': {step}, 's': e.s + {step}, 'k': k.k}}).s END"""
+
+
+def student_two_sided_sql(t: str, df: str) -> str:
+    """P(|T| > |t|) for whole degrees of freedom in DuckDB, by the finite series in cos^2 of atan(t / sqrt(df))."""
+    c2 = f"(({df})::double / (({df}) + ({t}) * ({t})))"
+    sine = f"(abs({t}) / sqrt(({df}) + ({t}) * ({t})))"
+
+    def series(factor: str, terms: str) -> str:
+        step = f"e.t * {factor} * {c2}"
+        return f"""list_reduce(list_prepend({{'t': 1.0::double, 's': 1.0::double, 'k': 0.0::double}},
+        list_transform(range(1, {terms}), lambda k: {{'t': 0.0::double, 's': 0.0::double, 'k': k::double}})),
+    lambda e, k: {{'t': {step}, 's': e.s + {step}, 'k': k.k}}).s"""
+
+    even = series("(2 * k.k - 1) / (2 * k.k)", f"({df})::bigint // 2")
+    odd = series("(2 * k.k) / (2 * k.k + 1)", f"greatest((({df})::bigint - 1) // 2, 1)")
+    first = f"CASE WHEN ({df}) > 1 THEN {sine} * sqrt({c2}) * {odd} ELSE 0.0::double END"
+    return f"""CASE WHEN ({df})::bigint % 2 = 0 THEN 1 - {sine} * {even}
+    ELSE 1 - 2 / pi() * (atan(abs({t}) / sqrt({df})) + {first}) END"""

@@ -207,9 +207,26 @@ def moran_cell_types(spark, sf):
     return _rounded(g.morans_i(values, _edges(spark, sf), n))
 
 
-@query("moran_genes_pvalues")
-def moran_genes_pvalues(spark, sf):
-    """Normal p-values with step-up correction; the most autocorrelated genes first."""
+_MORAN_TESTED = (
+    _EDGES
+    + _MORAN
+    + _moran_body("SELECT barcode, gene AS marker, count AS value FROM expr JOIN sp USING (barcode)")
+    + f""",
+zs AS MATERIALIZED (
+    SELECT marker, i, (i + 1 / (n - 1)) / sqrt((n * n * s1 - n * s2 + 3 * s0 * s0) / ((n - 1) * (n + 1) * s0 * s0)
+        - 1 / ((n - 1) * (n - 1))) AS z FROM idx),
+tails AS MATERIALIZED (SELECT marker, i, z, {d.normal_tail_sql("abs(z)")} AS p FROM zs),
+ranks AS (
+    SELECT *, coalesce(p, 1) AS q, count(*) OVER () AS m,
+           count(*) OVER (ORDER BY coalesce(p, 1) RANGE UNBOUNDED PRECEDING) AS rk FROM tails),
+tested AS MATERIALIZED (
+    SELECT marker, i, z, p, least(min(q * m / rk) OVER (ORDER BY q DESC RANGE UNBOUNDED PRECEDING), 1) AS adjusted
+    FROM ranks)"""
+)
+
+
+def _moran_tested(spark, sf):
+    """Normal p-values with step-up correction."""
     from ..functions.probability import normal_tail
     from ..operators.comparative import adjust_step_up
 
@@ -219,6 +236,33 @@ def moran_genes_pvalues(spark, sf):
     return adjust_step_up(tested, [], "pval_norm", "pval_norm_fdr_bh")
 
 
+@query(
+    "moran_genes_pvalues",
+    d.sql(
+        "expr", "spots", extra=_MORAN_TESTED,
+        body="""SELECT marker, round(i, 6) AS "I", round(z, 6) AS zscore, round(p, 6) AS pval_norm,
+    round(adjusted, 6) AS pval_norm_fdr_bh FROM tested""",
+    ),
+)
+def moran_genes_pvalues(spark, sf):
+    tested = _moran_tested(spark, sf)
+    return tested.select("marker", *[r6(F.col(c)).alias(c) for c in ("I", "zscore", "pval_norm", "pval_norm_fdr_bh")])
+
+
+@query(
+    "moran_genes_significant",
+    d.sql(
+        "expr", "spots", extra=_MORAN_TESTED,
+        body="""SELECT marker, round(i, 6) AS "I", round(adjusted, 6) AS pval_norm_fdr_bh
+FROM tested WHERE adjusted < 0.05 ORDER BY i DESC, marker LIMIT 16""",
+    ),
+)
+def moran_genes_significant(spark, sf):
+    """The most autocorrelated genes among the significant ones."""
+    top = g.significant_markers(_moran_tested(spark, sf), 16, "pval_norm_fdr_bh", 0.05)
+    return top.select("marker", *[r6(F.col(c)).alias(c) for c in ("I", "pval_norm_fdr_bh")])
+
+
 @query("moran_genes_permuted")
 def moran_genes_permuted(spark, sf):
     return g.permuted_morans_i(_gene_values(spark, sf), _edges(spark, sf), _spots(spark, sf), 100)

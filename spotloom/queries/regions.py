@@ -97,6 +97,62 @@ def compare_clusters_tested(spark, sf):
     return c.compare_regions(d.expr(spark, sf), _cluster_members(spark, sf))
 
 
+def _adjusted_sql(p: str, out: str, of: str) -> str:
+    """Step-up adjusted p-values within each pair of regions; a missing one counts as 1."""
+    return f"""
+{out}_ranks AS (
+    SELECT *, coalesce({p}, 1) AS q, count(*) OVER (PARTITION BY region_a, region_b) AS m,
+           count(*) OVER (PARTITION BY region_a, region_b ORDER BY coalesce({p}, 1) RANGE UNBOUNDED PRECEDING) AS rk
+    FROM {of}),
+{out}_table AS MATERIALIZED (
+    SELECT * EXCLUDE (q, m, rk), least(min(q * m / rk)
+        OVER (PARTITION BY region_a, region_b ORDER BY q DESC RANGE UNBOUNDED PRECEDING), 1) AS {out} FROM {out}_ranks)"""
+
+
+_SIGNIFICANCE = f""",
+ties AS (
+    SELECT gene, ra, rb, sum(t * t * t - t) AS ties FROM (
+        SELECT gene, ra, rb, value, sum(n) AS t FROM (
+            SELECT gene, a.region AS ra, b.region AS rb, value, h.n FROM full_hist h, sizes a, sizes b WHERE h.region = a.region
+            UNION ALL
+            SELECT gene, a.region, b.region, value, h.n FROM full_hist h, sizes a, sizes b WHERE h.region = b.region)
+        GROUP BY 1, 2, 3, 4) GROUP BY 1, 2, 3),
+scores AS MATERIALIZED (
+    SELECT s.gene, region_a, region_b, n1 + n2 - 2 AS df, mean1, mean2,
+           CASE WHEN within > 1e-9 * scale
+                THEN (mean1 - mean2) / sqrt(within / (n1 + n2 - 2) * (1 / n1 + 1 / n2)) END AS t,
+           abs((greatest(u, n1 * n2 - u) - n1 * n2 / 2 - 0.5) / nullif(sqrt(greatest(
+               n1 * n2 / 12 * ((n1 + n2 + 1) - ties / ((n1 + n2) * (n1 + n2 - 1))), 0)), 0)) AS z
+    FROM stats s JOIN us ON us.gene = s.gene AND us.ra = region_a AND us.rb = region_b
+    JOIN ties ON ties.gene = s.gene AND ties.ra = region_a AND ties.rb = region_b),
+ps AS MATERIALIZED (
+    SELECT *, {d.student_two_sided_sql("t", "df")} AS tp, coalesce(least(2 * ({d.normal_tail_sql("z")}), 1), 1) AS mp
+    FROM scores),
+{_adjusted_sql("tp", "ct", "ps")},
+{_adjusted_sql("mp", "cm", "ct_table")}"""
+
+
+@query(
+    "compare_clusters_significance",
+    d.sql(
+        "expr", "spots", extra=_CLUSTER_MEMBERS + _STATS + _SIGNIFICANCE,
+        body="""SELECT gene, region_a, region_b, round(tp, 6) AS t_pvalue, round(mp, 6) AS mw_pvalue,
+    round(ct, 6) AS corrected_t_pvalue, round(cm, 6) AS corrected_mw_pvalue, ct < 0.05 AND cm < 0.05 AS is_significant,
+    CASE WHEN ct >= 0.05 OR cm >= 0.05 THEN 'not significant'
+         WHEN mean2 = 0 OR mean1 = 0 OR mean1 / mean2 >= 3 THEN 'upregulated'
+         WHEN mean1 / mean2 <= 1 / 3.0::double THEN 'downregulated' ELSE 'not significant' END AS direction
+FROM cm_table""",
+    ),
+)
+def compare_clusters_significance(spark, sf):
+    """p-values of both tests, their corrections, and which genes differ in which direction."""
+    tested = c.compare_regions(d.expr(spark, sf), _cluster_members(spark, sf))
+    numbers = ["t_pvalue", "mw_pvalue", "corrected_t_pvalue", "corrected_mw_pvalue"]
+    return tested.select(
+        "gene", "region_a", "region_b", *[r6(F.col(n)).alias(n) for n in numbers], "is_significant", "direction"
+    )
+
+
 @query(
     "compare_step_up",
     d.sql(

@@ -359,6 +359,23 @@ def infiltration_significance(spark, sf):
     return sp.infiltration_test(table).select("region_class", "region_name", "cell_type", "significant")
 
 
+@query(
+    "infiltration_pvalues",
+    d.sql(
+        "spots", "regions", "cells",
+        extra=_LEVELS + _TEST_SUMS + """,
+zs AS MATERIALIZED (
+    SELECT *, abs((x1 / n1 - x2 / n2)
+        / nullif(sqrt((x1 + x2) / (n1 + n2) * (1 - (x1 + x2) / (n1 + n2)) * (1 / n1 + 1 / n2)), 0)) AS z FROM sums)""",
+        body=f"""SELECT region_class, region_name, cell_type, CASE WHEN n1 > 0 AND n2 > 0 THEN
+    round(2 * ({d.normal_tail_sql("z")}), 6) ELSE 1.0::double END AS p FROM zs""",
+    ),
+)
+def infiltration_pvalues(spark, sf):
+    table = sp.infiltration_table(_levels(spark, sf), d.SPOT_DIAMETER, d.STEP)
+    return sp.infiltration_test(table).select("region_class", "region_name", "cell_type", r6(F.col("p")).alias("p"))
+
+
 @query(
     "slides_cells_to_spots",
     d.sql(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import running_sum
@@ -183,20 +185,9 @@ def hole_sizes(pixels: DataFrame, tile: int = 128) -> DataFrame:
     return per_part.filter("not outside").groupBy("img", "inst_id").agg(F.sum("c").alias("holes"))
 
 
-def _hull_area(rows: pd.DataFrame) -> int:
-    """Pixels whose centre lies in the hull of the pixels' edge midpoints."""
-    y = rows["y"].to_numpy(dtype=float)
-    low, high = rows["lo"].to_numpy(dtype=float), rows["hi"].to_numpy(dtype=float)
-    points = np.concatenate(
-        [
-            np.stack(p, axis=1)
-            for p in (
-                (low - 0.5, y), (high + 0.5, y),
-                (low, y - 0.5), (low, y + 0.5), (high, y - 0.5), (high, y + 0.5),
-            )
-        ]
-    )
-    points = np.unique(points[:, ::-1], axis=0)
+def _chains(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two chains of the hull of (y, x) points, each from the least y to the largest."""
+    points = np.unique(points, axis=0)
 
     def side(sign: float) -> np.ndarray:
         chain: list[np.ndarray] = []
@@ -210,37 +201,59 @@ def _hull_area(rows: pd.DataFrame) -> int:
             chain.append(p)
         return np.array(chain)
 
-    # Chains run along y, so each row of pixels meets either chain once.
-    scan = np.arange(y.min(), y.max() + 1)
-    left, right = side(1.0), side(-1.0)
+    return side(1.0), side(-1.0)
+
+
+def _midpoints(rows: pd.DataFrame) -> np.ndarray:
+    """(y, x) of the edge midpoints of the outermost pixels of each row."""
+    y = rows["y"].to_numpy(dtype=float)
+    low, high = rows["lo"].to_numpy(dtype=float), rows["hi"].to_numpy(dtype=float)
+    sides = ((y, low - 0.5), (y, high + 0.5), (y - 0.5, low), (y + 0.5, low), (y - 0.5, high), (y + 0.5, high))
+    return np.concatenate([np.stack(side, axis=1) for side in sides])
+
+
+def _pixels_within(points: np.ndarray) -> int:
+    """Pixels whose centre lies in the hull of (y, x) points.
+
+    Chains run along y, so each row of pixels meets either chain once.
+    """
+    left, right = _chains(points)
+    scan = np.arange(left[0, 0] + 0.5, left[-1, 0])
     a, b = np.interp(scan, left[:, 0], left[:, 1]), np.interp(scan, right[:, 0], right[:, 1])
     return int((np.floor(np.maximum(a, b) + 1e-9) - np.ceil(np.minimum(a, b) - 1e-9) + 1).sum())
 
 
-def hull_features(pixels: DataFrame, tile: int = 128) -> DataFrame:
-    """(img, inst_id, area, area_convex, area_filled, solidity).
+def convex_areas(pixels: DataFrame, band: int = 256) -> DataFrame:
+    """(img, inst_id, area, area_convex).
 
-    Pixels fold to the two ends of each row before the hull is drawn, so a hull
-    sees two numbers per row of its instance.
+    Pixels fold to the two ends of each row, bands of rows to the corners of their own
+    hulls, and these are merged: a hull of hulls is the hull. The last step sees the few
+    corners of each band, however large the instance is.
     """
     ends = pixels.groupBy("img", "inst_id", "y").agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.count("*").alias("n")
     )
+    kinds = dict(pixels.dtypes)
+    key = f"img {kinds['img']}, inst_id {kinds['inst_id']}"
 
-    def hull(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "img": [pdf["img"].iloc[0]], "inst_id": [pdf["inst_id"].iloc[0]],
-                "area": [int(pdf["n"].sum())], "area_convex": [_hull_area(pdf)],
-            }
-        )
+    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
+        corners = np.unique(np.concatenate(_chains(_midpoints(pdf))), axis=0)
+        out = pdf[["img", "inst_id"]].iloc[np.zeros(len(corners), int)].reset_index(drop=True)
+        return out.assign(py=corners[:, 0], px=corners[:, 1], n=[int(pdf["n"].sum())] + [0] * (len(corners) - 1))
 
-    kinds = dict(pixels.dtypes)
-    hulls = ends.groupBy("img", "inst_id").applyInPandas(
-        hull, f"img {kinds['img']}, inst_id {kinds['inst_id']}, area long, area_convex long"
-    )
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf[["img", "inst_id"]].iloc[:1].reset_index(drop=True)
+        return out.assign(area=int(pdf["n"].sum()), area_convex=_pixels_within(pdf[["py", "px"]].to_numpy()))
+
+    banded = ends.withColumn("band", F.floor(F.col("y") / band))
+    corners = banded.groupBy("img", "inst_id", "band").applyInPandas(partial, f"{key}, py double, px double, n long")
+    return corners.groupBy("img", "inst_id").applyInPandas(merge, f"{key}, area long, area_convex long")
+
+
+def hull_features(pixels: DataFrame, tile: int = 128, band: int = 256) -> DataFrame:
+    """(img, inst_id, area, area_convex, area_filled, solidity)."""
     holes = hole_sizes(pixels, tile)
-    return hulls.join(holes, ["img", "inst_id"], "left").select(
+    return convex_areas(pixels, band).join(holes, ["img", "inst_id"], "left").select(
         "img", "inst_id", "area", "area_convex",
         (F.col("area") + F.coalesce("holes", F.lit(0))).alias("area_filled"),
         (F.col("area") / F.col("area_convex")).alias("solidity"),
@@ -264,72 +277,97 @@ def mask_polygons(pixels: DataFrame, tile: int = 128) -> DataFrame:
     ).select("img", "cell_ids", "_p.cell_x", "_p.cell_y", "_p.area", "_p.component")
 
 
-def _trace(edges: pd.DataFrame) -> str:
-    """Outer ring from unit edges directed with the inside on their left."""
-    following: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for a, b, c, d in edges[["x1", "y1", "x2", "y2"]].itertuples(index=False):
-        following.setdefault((a, b), []).append((c, d))
-    start = min(following, key=lambda p: (p[1], p[0]))
-    ring, at, came = [start], start, None
-    while True:
-        options = following[at]
-        if len(options) > 1 and came is not None:
-            # At a pinched corner turn towards the inside, which keeps one part together.
-            dx, dy = at[0] - came[0], at[1] - came[1]
-            options = sorted(options, key=lambda p: -(dx * (p[1] - at[1]) - dy * (p[0] - at[0])))
-        came, at = at, options.pop(0) if len(following[at]) == 1 else _take(following, at, options[0])
-        if at == start:
-            break
-        if len(ring) > 1 and (ring[-1][0] - ring[-2][0]) * (at[1] - ring[-1][1]) == (
-            ring[-1][1] - ring[-2][1]
-        ) * (at[0] - ring[-1][0]):
-            ring[-1] = at
-        else:
-            ring.append(at)
-    ring.append(start)
-    return "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in ring) + "))"
+SIDES = [((0, 0), (1, 0)), ((1, 0), (1, 1)), ((1, 1), (0, 1)), ((0, 1), (0, 0))]  # of a pixel, inside on one hand
 
 
-def _take(following, at, chosen):
-    following[at].remove(chosen)
-    return chosen
+def _side_key(x: Column, y: Column, way: Column) -> Column:
+    """A side by its first corner, y before x, and its direction; x below 2^31, y below 2^29."""
+    return F.shiftleft(y.cast("long"), 33) + F.shiftleft(x.cast("long"), 2) + way.cast("long")
 
 
-def mask_rings(pixels: DataFrame, tile: int = 128) -> DataFrame:
-    """(img, cell_ids, polygon) WKT outlines of the first part of every instance.
+def _outline_sides(pixels: DataFrame, tile: int) -> DataFrame:
+    """(img, cell_ids, e, way, x1, y1, x2, y2): sides of the first part of every instance.
 
-    Sides shared by two pixels of a part cancel in an aggregation, so only the
-    outline reaches the tracing helper.
+    Those shared by two pixels of the part cancel in an aggregation.
     """
     parts = mask_components(pixels, diagonal=False, tile=tile)
     first = parts.groupBy("img", "inst_id").agg(F.min("component").alias("component"))
     kept = parts.join(first, ["img", "inst_id", "component"])
-    sides = [((0, 0), (1, 0)), ((1, 0), (1, 1)), ((1, 1), (0, 1)), ((0, 1), (0, 0))]
     listed = F.array(
         *[
-            F.struct(*[F.lit(v).alias(n) for v, n in zip((*a, *b), ("x1", "y1", "x2", "y2"))])
-            for a, b in sides
+            F.struct(F.lit(way).alias("way"), *[F.lit(v).alias(n) for v, n in zip((*a, *b), ("x1", "y1", "x2", "y2"))])
+            for way, (a, b) in enumerate(SIDES)
         ]
     )
-    edges = kept.select("img", "inst_id", "y", "x", F.explode(listed).alias("_s")).select(
-        "img",
-        F.col("inst_id").alias("cell_ids"),
-        *[(F.col(n[0]) + F.col(f"_s.{n}")).alias(n) for n in ("x1", "y1", "x2", "y2")],
+    sides = kept.select("img", F.col("inst_id").alias("cell_ids"), "y", "x", F.explode(listed).alias("_s")).select(
+        "img", "cell_ids", F.col("_s.way").alias("way"),
+        *[(F.col(n[0]) + F.col(f"_s.{n}")).cast("long").alias(n) for n in ("x1", "y1", "x2", "y2")],
     )
     start = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))
     end = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
-    low, high = F.least(start, end), F.greatest(start, end)
-    outline = (
-        edges.groupBy("img", "cell_ids", low.alias("_l"), high.alias("_h"))
-        .agg(F.count("*").alias("c"), *[F.first(n).alias(n) for n in ("x1", "y1", "x2", "y2")])
+    return (
+        sides.groupBy("img", "cell_ids", F.least(start, end).alias("_l"), F.greatest(start, end).alias("_h"))
+        .agg(F.count("*").alias("c"), *[F.first(n).alias(n) for n in ("way", "x1", "y1", "x2", "y2")])
         .filter("c = 1")
+        .select("img", "cell_ids", _side_key(F.col("x1"), F.col("y1"), F.col("way")).alias("e"), "way", "x1", "y1", "x2", "y2")
     )
 
-    def trace(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"img": [pdf["img"].iloc[0]], "cell_ids": [pdf["cell_ids"].iloc[0]], "polygon": [_trace(pdf)]}
+
+def outline_corners(pixels: DataFrame, tile: int = 128) -> DataFrame:
+    """(img, cell_ids, left, x, y): corners of the outer ring of every instance's first part.
+
+    ``left`` is the number of unit sides from the corner on to the ring's end, plus one;
+    the ring runs down to 1, which is the corner it begins at, the first in scan order.
+    Places along a ring come from pointer doubling: in each round every side learns where
+    twice as many steps lead, so rings of n sides need log2(n) joins and no task holds a
+    whole ring. At a corner where a part touches itself the ring stays with the pixel.
+    """
+    own = ["img", "cell_ids"]
+    sides = cut_lineage(_outline_sides(pixels, tile))
+    bits = F.array(*[F.lit(1 << way) for way in range(4)])
+    leaving = sides.groupBy(*own, F.col("x1").alias("x2"), F.col("y1").alias("y2")).agg(
+        F.bit_or(F.element_at(bits, F.col("way") + 1)).alias("ways")
+    )
+    inward = F.pmod(F.col("way") + 1, F.lit(4))
+    onward = F.when(
+        F.col("ways").bitwiseAND(F.element_at(bits, inward + 1)) != 0, inward
+    ).otherwise(F.array_position(bits, F.col("ways")).cast("int") - 1)
+    heads = sides.groupBy(*own).agg(F.min("e").alias("head"), F.count("*").alias("n"))
+    to = _side_key(F.col("x2"), F.col("y2"), F.col("_next"))
+    hops = cut_lineage(
+        sides.join(leaving, [*own, "x2", "y2"])
+        .withColumn("_next", onward)
+        .join(heads, own)
+        .select(
+            *own, "e", "n", F.when(to != F.col("head"), to).alias("to"), F.lit(1).cast("long").alias("left"),
+            F.when(F.col("way") != F.col("_next"), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))).alias("corner"),
+        )
+    )
+    ready, covered = [], 1
+    while True:
+        # Of rings this short all sides know the end; those that do not are sides of holes.
+        ready.append(hops.filter((F.col("n") <= covered) & F.col("to").isNull() & F.col("corner").isNotNull()))
+        hops = hops.filter(F.col("n") > covered)
+        if not hops.take(1):
+            break
+        ahead = hops.select(*own, F.col("e").alias("_at"), F.col("to").alias("_to"), F.col("left").alias("_left"))
+        # Sides that know the end look for a key that is not there, each for its own.
+        step = hops.withColumn("_at", F.coalesce("to", -1 - F.col("e"))).join(ahead, [*own, "_at"], "left")
+        hops = cut_lineage(
+            step.select(
+                *own, "e", "n", F.col("_to").alias("to"),
+                (F.col("left") + F.coalesce("_left", F.lit(0))).alias("left"), "corner",
+            )
         )
+        covered *= 2
+    return reduce(DataFrame.unionByName, ready).select(*own, "left", "corner.x", "corner.y")
 
-    return outline.select("img", "cell_ids", "x1", "y1", "x2", "y2").groupBy("img", "cell_ids").applyInPandas(
-        trace, "img long, cell_ids long, polygon string"
+
+def mask_rings(pixels: DataFrame, tile: int = 128) -> DataFrame:
+    """(img, cell_ids, polygon) WKT outlines of the first part of every instance."""
+    ring = F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("k"), "x", "y")))
+    closed = F.concat(F.slice("ring", -1, 1), F.col("ring"))
+    text = F.concat_ws(", ", F.transform(closed, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))))
+    return outline_corners(pixels, tile).groupBy("img", "cell_ids").agg(ring.alias("ring")).select(
+        "img", "cell_ids", F.concat(F.lit("POLYGON (("), text, F.lit("))")).alias("polygon")
     )

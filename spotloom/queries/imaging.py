@@ -301,8 +301,45 @@ def mask_polygons(spark, sf):
     return cells.withColumn("cell_x", r6(F.col("cell_x"))).withColumn("cell_y", r6(F.col("cell_y")))
 
 
-@query("mask_rings")
+@query(
+    "mask_rings",
+    d.sql(
+        "masks",
+        extra=_PARTS + """,
+kept AS (
+    SELECT img, inst_id, x::bigint AS x, y::bigint AS y FROM part
+    WHERE (img, inst_id, component) IN (SELECT (img, inst_id, min(component)) FROM part GROUP BY img, inst_id)),
+sides AS (
+    SELECT img, inst_id, x AS x1, y AS y1, x + 1 AS x2, y AS y2, 0 AS way FROM kept
+    UNION ALL SELECT img, inst_id, x + 1, y, x + 1, y + 1, 1 FROM kept
+    UNION ALL SELECT img, inst_id, x + 1, y + 1, x, y + 1, 2 FROM kept
+    UNION ALL SELECT img, inst_id, x, y + 1, x, y, 3 FROM kept),
+line AS MATERIALIZED (
+    SELECT * FROM sides s WHERE NOT EXISTS (
+        SELECT 1 FROM sides t WHERE t.img = s.img AND t.inst_id = s.inst_id
+            AND t.x1 = s.x2 AND t.y1 = s.y2 AND t.x2 = s.x1 AND t.y2 = s.y1)),
+step AS MATERIALIZED (
+    SELECT a.*, b.way AS onward FROM line a JOIN line b
+      ON a.img = b.img AND a.inst_id = b.inst_id AND a.x2 = b.x1 AND a.y2 = b.y1
+    QUALIFY row_number() OVER (
+        PARTITION BY a.img, a.inst_id, a.x1, a.y1, a.way ORDER BY (b.way = (a.way + 1) % 4) DESC) = 1),
+head AS (
+    SELECT s.*, 0 AS pos, x1 AS hx, y1 AS hy FROM step s
+    QUALIFY row_number() OVER (PARTITION BY img, inst_id ORDER BY y1, x1) = 1),
+tour AS (
+    SELECT * FROM head
+    UNION ALL
+    SELECT s.*, t.pos + 1, t.hx, t.hy FROM tour t JOIN step s
+      ON s.img = t.img AND s.inst_id = t.inst_id AND s.x1 = t.x2 AND s.y1 = t.y2 AND s.way = t.onward
+    WHERE t.x2 <> t.hx OR t.y2 <> t.hy)""",
+        body="""SELECT img, inst_id::bigint AS cell_ids,
+    'POLYGON ((' || any_value(hx) || ' ' || any_value(hy)
+    || string_agg(', ' || x2 || ' ' || y2, '' ORDER BY pos) FILTER (WHERE way <> onward) || '))' AS polygon
+FROM tour GROUP BY img, inst_id""",
+    ),
+)
 def mask_rings(spark, sf):
+    """Outlines, one side after the other, of the first part of every predicted instance."""
     return cc.mask_rings(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
 
 
@@ -333,8 +370,35 @@ def mask_hull_features(spark, sf):
     return shapes.select("img", "inst_id", "area", "area_filled")
 
 
-@query("mask_convex_areas")
+@query(
+    "mask_convex_areas",
+    d.sql(
+        "masks",
+        extra=_PRED + """,
+ends AS (
+    SELECT img, inst_id, y::double AS y, min(x)::double AS lo, max(x)::double AS hi FROM px GROUP BY 1, 2, 3),
+middles AS (
+    SELECT img, inst_id, y, lo - 0.5::double AS l, hi + 0.5::double AS r FROM ends
+    UNION ALL SELECT img, inst_id, y - 0.5::double, lo, hi FROM ends
+    UNION ALL SELECT img, inst_id, y + 0.5::double, lo, hi FROM ends),
+box AS (SELECT img, inst_id, min(y) AS y0, max(y) AS y1, count(*) AS area FROM px GROUP BY 1, 2),
+scan AS (SELECT img, inst_id, area, unnest(range(y0, y1 + 1))::double AS y FROM box),
+wide AS (
+    SELECT s.img, s.inst_id, s.area, s.y,
+        min(a.l + (b.l - a.l) * CASE WHEN b.y > a.y THEN (s.y - a.y) / (b.y - a.y) ELSE 0 END) AS low,
+        max(a.r + (b.r - a.r) * CASE WHEN b.y > a.y THEN (s.y - a.y) / (b.y - a.y) ELSE 0 END) AS high
+    FROM scan s
+    JOIN middles a ON a.img = s.img AND a.inst_id = s.inst_id AND a.y <= s.y
+    JOIN middles b ON b.img = s.img AND b.inst_id = s.inst_id AND b.y >= s.y
+    GROUP BY 1, 2, 3, 4)""",
+        body="""SELECT img, inst_id, c AS area_convex, area / c::double AS solidity FROM (
+    SELECT img, inst_id, any_value(area) AS area,
+        sum(floor(high + 1e-9::double) - ceil(low - 1e-9::double) + 1)::bigint AS c
+    FROM wide GROUP BY img, inst_id)""",
+    ),
+)
 def mask_convex_areas(spark, sf):
+    """The text takes the widest chord over all pairs of points above and below a row."""
     shapes = cc.hull_features(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
     return shapes.select("img", "inst_id", "area_convex", "solidity")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spotloom.functions import geometry as geo
 from spotloom.operators import cooccurrence, spatial
-from spotloom.operators.components import contract_labels, hull_features, mask_components, mask_rings
+from spotloom.operators.components import contract_labels, convex_areas, hull_features, mask_components, mask_rings
 from spotloom.operators.delaunay import circles, delaunay_edges, flat, triangulate
 
 SQUARE = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
@@ -184,6 +184,65 @@ def test_outline_of_an_l_shape(spark):
     assert area == len(rows)
 
 
+def _walked(cells):
+    """Outer ring of a 4-connected set of (y, x), one side at a time, straight runs joined."""
+    moves = [(1, 0), (0, 1), (-1, 0), (0, -1)]
+    y, x = min(cells)
+    at, way, ring = (x, y), 0, [(x, y)]
+    while True:
+        at = (at[0] + moves[way][0], at[1] + moves[way][1])
+        # The pixel on the inner hand and the one across, ahead of the corner.
+        (dx, dy), (ex, ey) = moves[way], moves[(way + 1) % 4]
+        ahead = [(int(at[1] + (dy + side * ey - 1) / 2), int(at[0] + (dx + side * ex - 1) / 2)) for side in (1, -1)]
+        if ahead[0] not in cells:
+            turned = (way + 1) % 4
+        elif ahead[1] in cells:
+            turned = (way + 3) % 4
+        else:
+            turned = way
+        if turned != way:
+            ring.append(at)
+        way = turned
+        if at == (x, y):
+            return ring
+
+
+@pytest.mark.parametrize("tile", [3, 64])
+def test_outlines_equal_a_walk_with_holes_and_touching_corners(spark, tile):
+    rng = np.random.default_rng(31)
+    rows = [(img, int(y), int(x), 1) for img in range(6) for y, x in zip(*np.nonzero(rng.random((9, 9)) < 0.62))]
+    rows += [(9, 0, 0, 7), (9, 0, 300, 8)] + [(9, 5, x, 5) for x in range(500)]  # a dot, a dot, a long ring
+    snake = [(y, x) for y in range(0, 15, 2) for x in range(20)] + [(y, 19 if y % 4 == 1 else 0) for y in range(1, 14, 2)]
+    rows += [(10, y, x, 3) for y, x in snake]
+    df = spark.createDataFrame(rows, "img long, y int, x int, inst_id int")
+    got = {(r.img, r.cell_ids): r.polygon for r in mask_rings(df, tile=tile).collect()}
+    sets = {}
+    for img, y, x, inst in rows:
+        sets.setdefault((img, inst), set()).add((y, x))
+    assert got.keys() == sets.keys()
+    for key, cells in sets.items():
+        part, todo = set(), [min(cells)]
+        while todo:
+            y, x = todo.pop()
+            if (y, x) in cells and (y, x) not in part:
+                part.add((y, x))
+                todo += [(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)]
+        want = _walked(part)
+        assert got[key] == "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in want) + "))", key
+    assert mask_rings(df.limit(0), tile=tile).count() == 0
+
+
+def test_merged_hulls_do_not_depend_on_the_band(spark):
+    rng = np.random.default_rng(32)
+    rows = [(0, int(y), int(x), i) for i in range(4) for y, x in rng.integers(0, 60, (30, 2))]
+    df = spark.createDataFrame(rows, "img long, y int, x int, inst_id int").distinct()
+    found = [
+        {r.inst_id: (r.area, r.area_convex) for r in convex_areas(df, band).collect()} for band in (1, 7, 1000)
+    ]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 4
+    assert all(60 * 60 > convex > 1500 > area for area, convex in found[0].values())
+
+
 def test_label_contraction_on_a_long_chain(spark):
     rng = np.random.default_rng(8)
     order = rng.permutation(300)

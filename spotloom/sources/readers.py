@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from .. import schemas
+from .json_records import json_records
 
 
 def positions(spark: SparkSession, path: str, in_tissue_only: bool = True) -> DataFrame:
@@ -34,7 +34,7 @@ def optional_csv(
     try:
         df = spark.read.option("header", True).option("inferSchema", True).csv(path)
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
+        if _absent(error):
             return None
         raise
     df = df.withColumnRenamed(df.columns[0], key).drop("Unnamed: 0")
@@ -54,20 +54,27 @@ def wide_clusters(long: DataFrame, files: list[str]) -> DataFrame:
     return long.groupBy("barcode").pivot("file", files).agg(F.first("label"))
 
 
+def _absent(error: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(error)
+
+
 def annotations(spark: SparkSession, path: str) -> DataFrame:
     """Annotation polygons from GeoJSON: a feature collection or a bare list.
 
     Features with several rings are skipped; of equally named features of a class
-    the last one stays.
+    the last one stays. Large files are read in splits; absent ones have no polygons.
     """
-    text = spark.read.text(path, wholetext=True).select("value")
-    bare = T.ArrayType(schemas.FEATURE)
-    wrapped = T.StructType([T.StructField("features", bare)])
-    listed = F.coalesce(
-        F.from_json("value", wrapped)["features"],
-        F.from_json("value", bare),
+    try:
+        records = json_records(spark, path, "features")
+    except AnalysisException as error:
+        if not _absent(error):
+            raise
+        return spark.createDataFrame(
+            [], "region_class string, region_name string, ring array<struct<x: double, y: double>>"
+        )
+    features = records.select(
+        F.struct("file", "block", "k").alias("i"), F.from_json("value", schemas.FEATURE).alias("f")
     )
-    features = text.select(F.posexplode(listed).alias("i", "f"))
     # Text coordinates keep ragged features apart from plain ones.
     rings = F.col("f.geometry.coordinates")
     flat = features.filter(F.size(rings) == 1).select(
@@ -86,9 +93,8 @@ def nuclei(spark: SparkSession, path: str, types: DataFrame) -> DataFrame:
 
     ``types`` has (type_id STRING, cell_type, rgb ARRAY<INT>).
     """
-    text = spark.read.text(path, wholetext=True)
-    body = text.select(F.from_json("value", schemas.NUCLEI).alias("j"))
-    cells = body.select(F.explode("j.nuc").alias("cell_ids", "n"))
+    records = json_records(spark, path, "nuc")
+    cells = records.select(F.col("key").alias("cell_ids"), F.from_json("value", schemas.NUCLEUS).alias("n"))
     return name_types(
         cells.select(
             "cell_ids",

@@ -8,6 +8,7 @@ from spotloom.operators.masks import moment_features, pattern_features
 from spotloom.plans.stages import Settings, run
 from spotloom.sinks import report, writers
 from spotloom.sources import arrays, readers
+from spotloom.sources.json_records import json_records
 from spotloom.streaming import quality as stream
 
 
@@ -158,3 +159,47 @@ def test_all_stages_on_a_small_sample(spark, tmp_path):
         assert state["infilt_test"].count() == 2
         assert state["diff_exp_clusters"].count() == 8 * 4
         assert state["morans_gene"].count() == 8
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {n: spark.conf.get(n) for n in names}
+
+    def use(size):
+        for n in names:
+            spark.conf.set(n, str(size))
+
+    yield use
+    for n, value in old.items():
+        spark.conf.set(n, value)
+
+
+ODD = ['a "quoted} name', "brace { and ] in text", "back\\slash\\", "]}{[", "", "nuc", "\u00e9\u4e2d"]
+
+
+@pytest.mark.parametrize("size, indent", [(150, None), (601, 1), (1 << 20, None)])
+def test_json_records_do_not_depend_on_the_splits(spark, tmp_path, small_splits, size, indent):
+    features = [
+        {"type": "Feature", "properties": {"name": ODD[i % 7], "deep": [{"x": {"y": [i, {}]}}]}, "i": i} for i in range(25)
+    ]
+    files = {
+        "wrapped": {"type": "x", "crs": {"properties": {"features": [{"no": 1}]}, "list": [{"no": 2}]}, "features": features, "z": [{"no": 3}]},
+        "bare": features,
+        "keyed": {"mag": None, "nuc": {f"n{i}": f for i, f in enumerate(features)}, "features": {}},
+    }
+    for name, value in files.items():
+        (tmp_path / name).write_text(json.dumps(value, indent=indent, ensure_ascii=False))
+    small_splits(size)
+    for name in files:
+        found = json_records(spark, str(tmp_path / name), "nuc" if name == "keyed" else "features")
+        rows = found.orderBy("file", "block", "k").collect()
+        assert [json.loads(r.value) for r in rows] == features, name
+        assert [r.key for r in rows] == [f"n{i}" if name == "keyed" else None for i in range(25)]
+        assert size > 1000 or len({r.block for r in rows}) > 1
+    (tmp_path / "none").write_text('{"features": []}')
+    assert json_records(spark, str(tmp_path / "none"), "features").count() == 0
+
+
+def test_absent_annotations_are_no_polygons(spark, tmp_path):
+    assert readers.annotations(spark, str(tmp_path / "nothing.json")).count() == 0

@@ -11,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, In, InputPartition
 
 
 class Range(InputPartition):
@@ -112,7 +112,9 @@ class CountMatrixSource(DataSource):
     """``spark.read.format('count_matrix')``: column-compressed counts as COO rows.
 
     The path is an HDF5 matrix file, or a folder with indptr/indices/data/barcodes/
-    gene_ids/gene_names as npy files. Tasks split the barcodes.
+    gene_ids/gene_names as npy files. Tasks split the barcodes. Equality and IN filters on
+    barcode, gene and gene_name, and lower bounds of count, are answered while reading: of
+    barcodes that are left out neither indices nor counts are read, of genes no counts.
     """
 
     @classmethod
@@ -139,6 +141,25 @@ class _CountReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.columns = int(options.get("barcodes_per_task", 512))
+        self.wanted: dict[str, set[str]] = {}
+        self.above: int | float | None = None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            column = f.attribute[0] if isinstance(f, EqualTo | In | GreaterThan) and len(f.attribute) == 1 else None
+            if column in ("barcode", "gene", "gene_name") and isinstance(f, EqualTo | In):
+                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.wanted[column] = self.wanted.get(column, values) & values
+            elif column == "count" and isinstance(f, GreaterThan) and f.value is not None:
+                self.above = f.value if self.above is None else max(self.above, f.value)
+            else:
+                yield f
+
+    def _hits(self, column: str, values: list[str]) -> np.ndarray:
+        """Which values the filters of the column let through."""
+        if column not in self.wanted:
+            return np.ones(len(values), bool)
+        return np.array([v in self.wanted[column] for v in values], bool)
 
     def _part(self, name: str, window: slice = slice(None)):
         if Path(self.path).is_dir():
@@ -160,21 +181,37 @@ class _CountReader(DataSourceReader):
     def read(self, partition: Range) -> Iterator:
         import pyarrow as pa
 
-        indptr = np.asarray(self._part("indptr", slice(partition.low, partition.high + 1)), dtype=np.int64)
-        window = slice(int(indptr[0]), int(indptr[-1]))
-        genes = pa.array(self._text(self._part("gene_ids")))
-        names = pa.array(self._text(self._part("gene_names")))
-        barcodes = pa.array(self._text(self._part("barcodes", slice(partition.low, partition.high))))
-        index = pa.array(np.asarray(self._part("indices", window), dtype=np.int64))
-        owner = pa.array(np.repeat(np.arange(len(indptr) - 1), np.diff(indptr)))
-        counts = pa.array(np.asarray(self._part("data", window), dtype=np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [barcodes.take(owner), genes.take(index), names.take(index), counts],
-            names=["barcode", "gene", "gene_name", "count"],
-        )
+        barcodes = self._text(self._part("barcodes", slice(partition.low, partition.high)))
+        hits = self._hits("barcode", barcodes)
+        if not hits.any():
+            return
+        genes, names = (self._text(self._part(c)) for c in ("gene_ids", "gene_names"))
+        known = self._hits("gene", genes) & self._hits("gene_name", names)
+        if not known.any():
+            return
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], hits, [False]]).astype(np.int8)))
+        gene_texts, name_texts = pa.array(genes), pa.array(names)
+        for low, high in edges.reshape(-1, 2).tolist():  # barcodes that follow each other are read at once
+            at = partition.low + low
+            indptr = np.asarray(self._part("indptr", slice(at, partition.low + high + 1)), dtype=np.int64)
+            window = slice(int(indptr[0]), int(indptr[-1]))
+            index = np.asarray(self._part("indices", window), dtype=np.int64)
+            keep = np.flatnonzero(known[index])
+            if not len(keep):
+                continue
+            counts = np.asarray(self._part("data", window)[keep], dtype=np.int64)
+            if self.above is not None:
+                keep, counts = keep[counts > self.above], counts[counts > self.above]
+            owner = np.repeat(np.arange(high - low), np.diff(indptr))[keep]
+            index = pa.array(index[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(barcodes[low:high]).take(pa.array(owner)), gene_texts.take(index), name_texts.take(index), pa.array(counts)],
+                names=["barcode", "gene", "gene_name", "count"],
+            )
 
 
 def register(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     for source in (MaskSource, ImageSource, CountMatrixSource):
         spark.dataSource.register(source)
 

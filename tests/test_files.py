@@ -3,6 +3,7 @@ import json
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo
 
 from spotloom.operators.masks import moment_features, pattern_features
 from spotloom.plans.stages import Settings, run
@@ -203,3 +204,48 @@ def test_json_records_do_not_depend_on_the_splits(spark, tmp_path, small_splits,
 
 def test_absent_annotations_are_no_polygons(spark, tmp_path):
     assert readers.annotations(spark, str(tmp_path / "nothing.json")).count() == 0
+
+
+def test_filters_reach_the_count_matrix(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(5)
+    dense = rng.integers(0, 4, (40, 30))
+    owner, index = np.nonzero(dense)
+    parts = {
+        "indptr": np.concatenate([[0], np.cumsum((dense > 0).sum(axis=1))]), "indices": index, "data": dense[owner, index],
+        "barcodes": np.array([f"b{i}" for i in range(40)]), "gene_ids": np.array([f"g{i}" for i in range(30)]),
+        "gene_names": np.array([f"G{i // 2}" for i in range(30)]),
+    }
+    for name, value in parts.items():
+        np.save(tmp_path / f"{name}.npy", value)
+    counts = arrays.read_counts(spark, str(tmp_path), barcodes_per_task=16)
+    every = {tuple(r) for r in counts.collect()}
+    assert len(every) == len(index)
+    for text, test in {
+        "barcode = 'b7'": lambda r: r[0] == "b7",
+        "barcode IN ('b3', 'b4', 'b39', 'none')": lambda r: r[0] in ("b3", "b4", "b39"),
+        "gene IN ('g1', 'g20') AND count > 1": lambda r: r[1] in ("g1", "g20") and r[3] > 1,
+        "gene_name = 'G3' AND barcode = 'b0' AND gene <> 'g6'": lambda r: r[2] == "G3" and r[0] == "b0" and r[1] != "g6",
+        "gene = 'g1' AND gene = 'g2'": lambda r: False,
+        "barcode = 'b1' OR count = 3": lambda r: r[0] == "b1" or r[3] == 3,
+    }.items():
+        assert {tuple(r) for r in counts.filter(text).collect()} == {r for r in every if test(r)}, text
+    plan = counts.filter("barcode = 'b7'")._jdf.queryExecution().executedPlan().toString()
+    assert "isnotnull(barcode" in plan and "b7" not in plan  # the reader has taken the comparison
+
+    def read(*filters):
+        reader, seen, part = arrays._CountReader({"path": str(tmp_path), "barcodes_per_task": 16}), [], arrays._CountReader._part
+        list(reader.pushFilters(list(filters)))
+
+        def counted(self, name, window=slice(None)):
+            got = part(self, name, window)
+            seen.append(len(got) if name in ("indices", "data") else 0)
+            return got
+
+        monkeypatch.setattr(arrays._CountReader, "_part", counted)
+        rows = sum(b.num_rows for p in reader.partitions() for b in reader.read(p))
+        monkeypatch.setattr(arrays._CountReader, "_part", part)
+        return rows, sum(seen)
+
+    rows, entries = read(EqualTo(("barcode",), "b7"))
+    assert rows == (dense[7] > 0).sum() and entries == 2 * rows and 10 * entries < read()[1]
+    assert read(EqualTo(("gene",), "none")) == (0, 0)

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import domain as d
+from .. import schemas
 from ..functions.numeric import r6
 from ..operators import components as cc
 from ..operators import evaluation as ev
@@ -10,6 +11,7 @@ from ..operators import history as h
 from ..operators import masks as mk
 from ..operators import tiles as tl
 from ..registry import query
+from ..sinks import writers
 
 _PRED = "px AS (SELECT img, y, x, pred_id AS inst_id, pixel_type, intensity FROM masks WHERE pred_id > 0)"
 
@@ -301,11 +303,7 @@ def mask_polygons(spark, sf):
     return cells.withColumn("cell_x", r6(F.col("cell_x"))).withColumn("cell_y", r6(F.col("cell_y")))
 
 
-@query(
-    "mask_rings",
-    d.sql(
-        "masks",
-        extra=_PARTS + """,
+_TOUR = _PARTS + """,
 kept AS (
     SELECT img, inst_id, x::bigint AS x, y::bigint AS y FROM part
     WHERE (img, inst_id, component) IN (SELECT (img, inst_id, min(component)) FROM part GROUP BY img, inst_id)),
@@ -331,7 +329,14 @@ tour AS (
     UNION ALL
     SELECT s.*, t.pos + 1, t.hx, t.hy FROM tour t JOIN step s
       ON s.img = t.img AND s.inst_id = t.inst_id AND s.x1 = t.x2 AND s.y1 = t.y2 AND s.way = t.onward
-    WHERE t.x2 <> t.hx OR t.y2 <> t.hy)""",
+    WHERE t.x2 <> t.hx OR t.y2 <> t.hy)"""
+
+
+@query(
+    "mask_rings",
+    d.sql(
+        "masks",
+        extra=_TOUR,
         body="""SELECT img, inst_id::bigint AS cell_ids,
     'POLYGON ((' || any_value(hx) || ' ' || any_value(hy)
     || string_agg(', ' || x2 || ' ' || y2, '' ORDER BY pos) FILTER (WHERE way <> onward) || '))' AS polygon
@@ -343,6 +348,44 @@ def mask_rings(spark, sf):
     return cc.mask_rings(_pred(spark, sf).select("img", "y", "x", "inst_id"), tile=32)
 
 
+@query(
+    "export_instance_documents",
+    d.sql(
+        "masks",
+        extra=_TOUR + """,
+kinds AS (SELECT img, inst_id, CASE WHEN pixel_type = 5 THEN 0 ELSE pixel_type END AS t, y, x FROM px),
+votes AS (
+    SELECT img, inst_id, t, count(*) AS c,
+        row_number() OVER (PARTITION BY img, inst_id ORDER BY (t = 0)::int, count(*) DESC, t) AS rn
+    FROM kinds GROUP BY 1, 2, 3),
+rings AS (
+    SELECT img, inst_id, any_value(hx) || ' ' || any_value(hy) || string_agg(', ' || x2 || ' ' || y2, '' ORDER BY pos)
+        FILTER (WHERE way <> onward AND (x2 <> hx OR y2 <> hy)) AS contour
+    FROM tour GROUP BY 1, 2)""",
+        body="""SELECT k.img, 40.0::double AS mag, k.inst_id::varchar AS id, min(y)::int AS rmin, min(x)::int AS cmin,
+    (max(y) + 1)::int AS rmax, (max(x) + 1)::int AS cmax, round(avg(x), 6) AS centroid_x, round(avg(y), 6) AS centroid_y,
+    any_value(v.t)::int AS type, round(any_value(v.c) / (count(*) + 1e-6), 6) AS type_prob, any_value(r.contour) AS contour
+FROM kinds k JOIN votes v ON v.img = k.img AND v.inst_id = k.inst_id AND rn = 1
+JOIN rings r ON r.img = k.img AND r.inst_id = k.inst_id GROUP BY k.img, k.inst_id""",
+    ),
+)
+def export_instance_documents(spark, sf):
+    """Whole documents with outlines, as text, read back through the declared schema."""
+    kind = F.when(F.col("pixel_type") == 5, 0).otherwise(F.col("pixel_type"))
+    px = _pred(spark, sf).withColumn("pixel_type", kind)
+    corners = cc.outline_corners(px.select("img", "y", "x", "inst_id"), tile=32)
+    texts = writers.instance_documents(mk.instance_info(px), corners, 40.0, per_line=16)
+    read = texts.select("img", F.from_json("value", schemas.NUCLEI).alias("j"))
+    n = read.select("img", "j.mag", F.explode("j.nuc").alias("id", "n"))
+    points = F.transform("n.contour", lambda p: F.concat_ws(" ", p.cast("array<string>")))
+    return n.select(
+        "img", "mag", "id",
+        *[F.col("n.bbox")[i][j].alias(c) for i, j, c in ((0, 0, "rmin"), (0, 1, "cmin"), (1, 0, "rmax"), (1, 1, "cmax"))],
+        *[r6(F.col("n.centroid")[i]).alias(f"centroid_{c}") for i, c in enumerate("xy")],
+        F.col("n.type").alias("type"), r6(F.col("n.type_prob")).alias("type_prob"), F.concat_ws(", ", points).alias("contour"),
+    )
+
+
 @query(
     "mask_hull_features",
     d.sql(

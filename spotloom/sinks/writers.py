@@ -49,6 +49,43 @@ def instance_json(info: DataFrame) -> DataFrame:
     return info.select("img", F.to_json(F.create_map(F.col("inst_id").cast("string"), body)).alias("json"))
 
 
+def instance_documents(
+    info: DataFrame, corners: DataFrame, mag: float | None = None, per_line: int = 1000
+) -> DataFrame:
+    """(img, value): whole JSON documents {"mag": ..., "nuc": {"id": {...}}} of bounded size.
+
+    An instance has bbox, centroid, contour, type_prob and type; ``corners`` is the table
+    of ``outline_corners``, and an instance without an outline has a null contour. Ids of
+    one document share ``id div per_line``, so no image is gathered in one row.
+    """
+    points = F.sort_array(F.collect_list(F.struct((-F.col("left")).alias("k"), F.array("x", "y").alias("p"))))["p"]
+    drawn = corners.groupBy("img", F.col("cell_ids").alias("inst_id")).agg(points.alias("_c"))
+    contour = F.concat(F.slice("_c", -1, 1), F.slice("_c", 1, F.size("_c") - 1))
+    body = F.struct(
+        F.array(F.array("rmin", "cmin"), F.array("rmax", "cmax")).alias("bbox"),
+        F.array("centroid_x", "centroid_y").alias("centroid"),
+        contour.alias("contour"),
+        "type_prob",
+        "type",
+    )
+    entry = F.struct(F.col("inst_id").cast("string").alias("id"), body.alias("body"))
+    nuc = F.map_from_entries(F.sort_array(F.collect_list(entry)))
+    grouped = info.join(drawn, ["img", "inst_id"], "left").groupBy("img", F.floor(F.col("inst_id") / per_line).alias("_part"))
+    text = F.to_json(F.struct(F.lit(mag).cast("double").alias("mag"), "nuc"), {"ignoreNullFields": "false"})
+    return grouped.agg(nuc.alias("nuc")).select("img", text.alias("value"))
+
+
+def save_instance_documents(
+    info: DataFrame, corners: DataFrame, path: str, mag: float | None = None, per_line: int = 1000
+) -> None:
+    """``instance_documents`` as lines of text, in a folder for each image.
+
+    Spark's committer publishes the files of tasks that ended, so a lost or failed task
+    leaves no half file; ``readers.nuclei`` reads the folders.
+    """
+    instance_documents(info, corners, mag, per_line).write.mode("overwrite").partitionBy("img").text(path)
+
+
 def save_run_config(config: dict, path: str) -> None:
     Path(path).write_text(json.dumps(config, indent=2, sort_keys=True, default=str))
 

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo
 
-from spotloom.operators.masks import moment_features, pattern_features
+from spotloom.operators.components import outline_corners
+from spotloom.operators.masks import instance_info, moment_features, pattern_features
 from spotloom.plans.stages import Settings, run
 from spotloom.sinks import report, writers
 from spotloom.sources import arrays, readers
@@ -249,3 +250,23 @@ def test_filters_reach_the_count_matrix(spark, tmp_path, monkeypatch):
     rows, entries = read(EqualTo(("barcode",), "b7"))
     assert rows == (dense[7] > 0).sum() and entries == 2 * rows and 10 * entries < read()[1]
     assert read(EqualTo(("gene",), "none")) == (0, 0)
+
+
+def test_instance_documents_are_read_back_and_leave_no_half_file(spark, tmp_path):
+    rows = [(img, y, x, i, 1) for img in range(2) for i in range(1, 8) for y in range(i) for x in range(10 * i, 10 * i + 3)]
+    px = spark.createDataFrame(rows, "img long, y int, x int, inst_id int, pixel_type int")
+    corners = outline_corners(px.select("img", "y", "x", "inst_id"), tile=4)
+    info = instance_info(px)
+    writers.save_instance_documents(info, corners, str(tmp_path / "out"), 20.0, per_line=3)
+    records = json_records(spark, str(tmp_path / "out" / "*"), "nuc").collect()
+    assert sorted(r.key for r in records) == sorted([str(i) for i in range(1, 8)] * 2)
+    for r in records:
+        i, body = int(r.key), json.loads(r.value)
+        assert body["bbox"] == [[0, 10 * i], [i, 10 * i + 3]] and body["type"] == 1
+        assert body["contour"] == [[10 * i, 0], [10 * i + 3, 0], [10 * i + 3, i], [10 * i, i]]
+    lines = [json.loads(t) for f in (tmp_path / "out" / "img=0").glob("*.txt") for t in f.read_text().splitlines()]
+    assert len(lines) == 3 and all(line["mag"] == 20.0 for line in lines)
+    broken = info.withColumn("type", F.when(F.col("inst_id") == 7, F.raise_error("stop").cast("int")).otherwise(F.col("type")))
+    with pytest.raises(Exception, match="stop"):
+        writers.save_instance_documents(broken, corners, str(tmp_path / "half"), 20.0)
+    assert not list((tmp_path / "half").glob("img=*")) and not (tmp_path / "half" / "_SUCCESS").exists()

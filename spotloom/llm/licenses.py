@@ -14,7 +14,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .rows import ROW, pieces, texts_of, utf8, with_row
@@ -105,7 +105,8 @@ BUCKETS = 1 << 18
 GRAMS = 3  # longest word n-gram
 SIMILAR = 0.55  # least share of bigrams in common with a template
 CERTAIN = 0.5  # least calibrated probability
-BACKGROUND_ROWS = 2000  # documents that background sentences are taken from, at most
+BACKGROUND_ROWS = 2000  # documents that background sentences are drawn from, about
+BACKGROUND_SENTENCES = 20_000  # sentences drawn, about
 CHUNK = 1 << 18  # bytes of text handled at once
 WORDY = np.zeros(256, bool)
 WORDY[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -256,19 +257,31 @@ def _fit(s: Sentences, y: np.ndarray, steps: int = 150, ridge: float = 1e-4) ->
     return marked, w.astype(np.float32), c
 
 
-def train(docs: DataFrame, background_rows: int = BACKGROUND_ROWS, seed: int = 3) -> Classifier:
+def _share(part: int, whole: int) -> Column:
+    """Upper limit of 30-bit hashes that lets about ``part`` of ``whole`` rows through."""
+    return F.lit(max(1, round((1 << 30) * min(1.0, part / max(1, whole)))))
+
+
+def _background(docs: DataFrame, rows: int, sentences: int) -> list[str]:
+    """About ``sentences`` different sentences of about ``rows`` different texts, from anywhere in them."""
+    every = docs.filter("text IS NOT NULL").select(F.col("text").cast("string").alias("text"))
+    low = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    texts = every.filter(low < _share(rows, every.count()))
+    lines = texts.select(F.explode(F.split("text", r"\n|(?<=\.) ")).alias("t")).filter("trim(t) <> ''").distinct()
+    drawn = F.pmod(F.xxhash64(F.lit("sentence"), "t"), F.lit(1 << 30))
+    return [r.t for r in lines.filter(drawn < _share(sentences, lines.count())).orderBy(F.xxhash64("t"), "t").collect()]
+
+
+def train(
+    docs: DataFrame, background_rows: int = BACKGROUND_ROWS, seed: int = 3, background_sentences: int = BACKGROUND_SENTENCES
+) -> Classifier:
     """A classifier of notices against background.
 
-    Notices are variants of the templates; background is a fixed list and the sentences
-    of about ``background_rows`` documents at most, taken by a hash of their text
-    (up to 2,000 characters of each, for training alone).
+    Notices are variants of the templates; background is a fixed list and about
+    ``background_sentences`` sentences, drawn by their hash from the whole texts of about
+    ``background_rows`` documents, which are drawn by a hash of their text.
     """
     rng = np.random.default_rng(seed)
-    text = F.substring(F.col("text").cast("string"), 1, 2000)
-    some = docs.filter("text IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    part = F.lit(max(1, round((1 << 30) * min(1.0, background_rows / max(1, some.count())))))
-    # a share of the hashes, so no more than about that many texts; copies of a text are one
-    rows = some.filter(F.pmod("h", F.lit(1 << 30)) < part).groupBy("h").agg(F.min(text).alias("t")).orderBy("h")
     texts, y = [], []
     for family, notices in TEMPLATES.items():
         for notice in notices:
@@ -280,12 +293,11 @@ def train(docs: DataFrame, background_rows: int = BACKGROUND_ROWS, seed: int = 3
         texts += some
         y += [0] * len(some)
     known = {x for t in TEMPLATES.values() for x in t}
-    for r in rows.collect():
-        for line in r["t"].replace(". ", ".\n").split("\n")[:20]:
-            low = line.lower()
-            if line.strip() and line not in known and not any(m in low for m in ("licen", "copyright", "rights reserved", "redistribut")):
-                texts.append(line)
-                y.append(0)
+    for line in _background(docs, background_rows, background_sentences):
+        low = line.lower()
+        if line not in known and not any(m in low for m in ("licen", "copyright", "rights reserved", "redistribut")):
+            texts.append(line)
+            y.append(0)
     texts = [t.replace("\n", " ").replace(". ", ", ").replace("! ", ", ").replace("? ", ", ") for t in texts]
     keep = [i for i, t in enumerate(texts) if any(WORDY[b] for b in t.encode())]
     label = np.array([y[i] for i in keep])

@@ -280,3 +280,15 @@ def test_operators_ignore_clashing_columns(spark, documents):
     scored = toxicity.score(more, grammar, ["doc_id", "score", "_lower"])
     assert scored.columns == ["doc_id", "_lower", "score"] and scored.count() == 4
     assert toxicity.score(documents([]), grammar, ["doc_id"]).collect() == []
+
+
+def test_background_sentences_come_from_whole_texts(spark):
+    long = " ".join(f"sentence number {i} of a long text." for i in range(3000))
+    docs = spark.createDataFrame([(1, long), (2, long), (3, None), (4, "")], "doc_id long, text string")
+    every = licenses._background(docs, 100, 10_000)
+    assert len(every) == len(set(every)) == 3000
+    some = licenses._background(docs, 100, 300)
+    assert 200 < len(some) < 400 and set(some) < set(every)
+    places = [int(t.split()[2]) for t in some]
+    assert min(places) < 300 and max(places) > 2700
+    assert licenses._background(docs.limit(0), 100, 300) == []

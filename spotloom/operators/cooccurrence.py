@@ -7,13 +7,15 @@ once. Where the smallest and the largest distance of two blocks, or of two nodes
 into one band, the product of their type counts is booked and nothing below is opened;
 only what lies astride a limit goes on, at last to pairs of cells.
 
-Blocks meet by their bounds and counts alone. Coordinates are sent for pairs of blocks
-astride a limit, and no pair of nodes or cells leaves a task: what does is a small count
-table per slide.
+Blocks meet by their bounds and counts alone. Coordinates are sent for pairs of groups of
+neighbouring blocks, with the list of their block pairs astride a limit, so a block is sent
+once for each group near it and not once for each block. No pair of nodes or cells leaves a
+task: what does is a small count table per slide.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
@@ -27,8 +29,10 @@ from ..session import cut_lineage, spread_by
 
 BLOCK_ROWS = 4096  # cells of a block at most, where a tile has no more
 LEVELS = 8  # a block spans at most 2^LEVELS tiles a side
-NODE_CELLS = 8
-STRIP, PAIRS = 24, 384  # left nodes, and pairs of nodes, at once: tables stay in the processor's cache
+GROUP_STEPS = 3  # a group is a square of at most 2^GROUP_STEPS blocks a side
+NODE_CELLS = 16
+MOST_FLAT = 3
+STRIP, PAIRS = 24, 96  # left nodes, and pairs of nodes, at once: tables stay in the processor's cache
 OPEN_SLIDES = 32  # count tables a task holds before it emits them; the sums come later
 
 
@@ -82,15 +86,29 @@ def _blocks(cells: DataFrame, by: list[str], tile: float, block_rows: int) -> Da
     )
 
 
+def _grouped(blocks: DataFrame, by: list[str], waves: int) -> DataFrame:
+    """Add ``square``, the group of a block: a square of blocks of one level (and part).
+
+    Groups are as large as leaves some pairs of them to each of ``waves`` tasks a core.
+    """
+    tasks = waves * blocks.sparkSession.sparkContext.defaultParallelism
+    held = max(1.0, blocks.count() / math.sqrt(2 * tasks))
+    steps = min(GROUP_STEPS, int(math.log(held, 4)))
+    return blocks.withColumn(
+        "square", F.struct(*by, "level", *[F.shiftright(c, steps).alias(c) for c in ("btx", "bty")], "part")
+    )
+
+
 class Nodes:
     """Cells of a block in nodes of NODE_CELLS: strips by x, cut by y. The last node is filled up.
 
-    A filling repeats a cell under the type after the last one, which is not counted.
+    Nodes are about 4^``flat`` times as wide as high. A filling repeats a cell under the type
+    after the last one, which is not counted.
     """
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, t: np.ndarray, kinds: int):
+    def __init__(self, x: np.ndarray, y: np.ndarray, t: np.ndarray, kinds: int, flat: int = 0):
         n = len(x)
-        wide = NODE_CELLS * max(1, int(np.ceil(np.sqrt(n / NODE_CELLS))))
+        wide = NODE_CELLS * max(1, int(np.ceil(np.sqrt(n * 4.0**flat / NODE_CELLS))))
         strip = np.empty(n, np.int64)
         strip[np.argsort(x, kind="stable")] = np.arange(n) // wide
         order = np.lexsort((y, strip))
@@ -106,6 +124,30 @@ class Nodes:
         np.add.at(self.hist, (np.repeat(np.arange(nodes), NODE_CELLS), kind), 1)
 
 
+class Group:
+    """Blocks of one group; their nodes are built when a pair asks for them.
+
+    Nodes lie across the line between the two blocks of a pair: the thinner they are along
+    it, the fewer pairs of nodes are astride a limit.
+    """
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, t: np.ndarray, kinds: int):
+        ends = np.cumsum(sizes)
+        self.cells = {b: (x[e - n : e], y[e - n : e], t[e - n : e]) for b, e, n in zip(ids, ends, sizes)}
+        self.centre = {b: (x_.mean(), y_.mean()) for b, (x_, y_, _) in self.cells.items()}
+        self.kinds = kinds
+        self.built: dict[tuple[int, int], Nodes] = {}
+
+    def nodes(self, block: int, flat: int) -> Nodes:
+        if (block, flat) not in self.built:
+            self.built[block, flat] = Nodes(*self.cells[block], self.kinds, flat)
+        return self.built[block, flat]
+
+    def flat(self, block: int, other: Group, second: int) -> int:
+        (ax, ay), (bx, by) = self.centre[block], other.centre[second]
+        return int(np.clip(round(math.log2((abs(ay - by) + 1e-9) / (abs(ax - bx) + 1e-9))), -MOST_FLAT, MOST_FLAT))
+
+
 class Bands:
     """Bands as 0 (within the first limit), 1 to n and, beyond the last limit, n + 1.
 
@@ -254,6 +296,8 @@ def pair_counts(
     number = F.when(place > 0, place).otherwise(unknown.cast("long")) - 1
     coded = typed.withColumn("type_code", number.cast("int")).withColumn("n_types", F.size(listed))
     blocks = cut_lineage(_blocks(coded, by, tile, block_rows).withColumn("block", F.monotonically_increasing_id()))
+    waves = 16
+    blocks = _grouped(blocks, by, waves)
     pairs = _block_pairs(blocks, by, bounds, tile * 2**LEVELS)
 
     n_bands = len(bounds) - 1
@@ -265,24 +309,42 @@ def pair_counts(
 
     def measure(row, total: np.ndarray) -> None:
         kinds = int(row.n_types)
-        left = Nodes(np.asarray(row.lxs), np.asarray(row.lys), np.asarray(row.lts), kinds)
-        right = left if row.first == row.second else Nodes(np.asarray(row.rxs), np.asarray(row.rys), np.asarray(row.rts), kinds)
-        hits = _measure(left, right, bands, kinds)
-        total += hits if left is right else hits + hits.transpose(0, 2, 1)
+        left = Group(row.lids, row.lsizes, row.lxs, row.lys, row.lts, kinds)
+        right = left if row.alone else Group(row.rids, row.rsizes, row.rxs, row.rys, row.rts, kinds)
+        for first, second in zip(row.firsts, row.seconds):
+            flat = left.flat(first, right, second)
+            hits = _measure(left.nodes(first, flat), right.nodes(second, flat), bands, kinds)
+            total += hits if first == second else hits + hits.transpose(0, 2, 1)
 
     types_of = dict(cells.dtypes)
     schema = ", ".join([*(f"{c} {types_of[c]}" for c in by), "band int", "a int", "b int", "n long"])
     booked = pairs.filter("one_band >= 0").select(*by, "n_types", "one_band", "lhist", "rhist")
-    open_ = pairs.filter("one_band IS NULL").select(*by, "n_types", "first", "second")
-    held = ("xs", "ys", "ts")
-    for which, side in (("first", "l"), ("second", "r")):
-        cells_of = blocks.select(F.col("block").alias(which), *[F.col(c).alias(f"{side}{c}") for c in held])
-        open_ = open_.join(cells_of, which)
-    open_ = open_.select(*by, "n_types", "first", "second", *[f"{side}{c}" for side in ("l", "r") for c in held])
-    # Block pairs are heavy to measure but small in bytes: they are dealt to many tasks,
-    # and to more than cores by far, as those of one block with itself take longer.
+    # Pairs count both ways, so either block may come first.
+    turned = F.col("lsquare") > F.col("rsquare")
+    sides = {"lsquare": "rsquare", "rsquare": "lsquare", "first": "second", "second": "first"}
+    open_ = (
+        pairs.filter("one_band IS NULL")
+        .select(*by, "n_types", *[F.when(turned, F.col(o)).otherwise(F.col(c)).alias(c) for c, o in sides.items()])
+        .groupBy(*by, "n_types", "lsquare", "rsquare")
+        .agg(F.collect_list("first").alias("firsts"), F.collect_list("second").alias("seconds"))
+        .withColumn("alone", F.col("lsquare") == F.col("rsquare"))
+    )
+    groups = blocks.groupBy("square").agg(
+        F.collect_list("block").alias("ids"),
+        F.collect_list(F.size("xs")).alias("sizes"),
+        *[F.flatten(F.collect_list(c)).alias(c) for c in ("xs", "ys", "ts")],
+    )
+    held = ("ids", "sizes", "xs", "ys", "ts")
+    for side in ("l", "r"):
+        cells_of = groups.select(F.col("square").alias(f"{side}square"), *[F.col(c).alias(f"{side}{c}") for c in held])
+        open_ = open_.join(cells_of, f"{side}square")
+    dealt = spread_by(open_, "lsquare", "rsquare", waves=waves).select(
+        *by, "n_types", "alone", "firsts", "seconds", *[f"{side}{c}" for side in ("l", "r") for c in held]
+    )
+    # Pairs of groups are heavy to measure but small in bytes: they are dealt to many tasks,
+    # and to more than cores by far, as those of one group with itself take longer.
     found = booked.mapInPandas(_tables(by, n_bands, book), schema).unionByName(
-        spread_by(open_, "first", "second", waves=16).mapInPandas(_tables(by, n_bands, measure), schema)
+        dealt.mapInPandas(_tables(by, n_bands, measure), schema)
     )
     return (
         found.groupBy(*by, "band", "a", "b")
@@ -309,7 +371,7 @@ def _block_pairs(blocks: DataFrame, by: list[str], bounds: np.ndarray, widest: f
     corners = ["x0", "x1", "y0", "y1"]
     wide = reach + widest
     home = blocks.select(
-        *by, "block", "n_types", *corners, hist.alias("hist"),
+        *by, "block", "square", "n_types", *corners, hist.alias("hist"),
         F.floor(F.col("x0") / wide).alias("gx"), F.floor(F.col("y0") / wide).alias("gy"),
     )
     around = F.array(F.lit(-1), F.lit(0), F.lit(1))
@@ -335,6 +397,8 @@ def _block_pairs(blocks: DataFrame, by: list[str], bounds: np.ndarray, widest: f
             *[F.col(f"l.{c}").alias(c) for c in (*by, "n_types")],
             F.col("l.block").alias("first"),
             F.col("r.block").alias("second"),
+            F.col("l.square").alias("lsquare"),
+            F.col("r.square").alias("rsquare"),
             F.when(whole, first).alias("one_band"),
             F.col("l.hist").alias("lhist"),
             F.col("r.hist").alias("rhist"),

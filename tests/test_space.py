@@ -118,6 +118,29 @@ def test_cooccurrence_with_small_blocks(spark):
         assert got == want
 
 
+def test_cooccurrence_sends_blocks_once_a_group(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    xy = np.unique(rng.integers(0, 400, (900, 2)), axis=0).astype(float)
+    types = np.array(["a", "b"])[rng.integers(0, 2, len(xy))]
+    df = spark.createDataFrame(
+        [(i, float(x), float(y), str(t)) for i, ((x, y), t) in enumerate(zip(xy, types))],
+        "cell_ids int, cell_x double, cell_y double, cell_type string",
+    )
+    sent = []
+    spread_by = cooccurrence.spread_by
+    monkeypatch.setattr(cooccurrence, "spread_by", lambda d, *k, **o: sent.append(d) or spread_by(d, *k, **o))
+    limits = [0, 30, 60, 90, 120, 600]
+    got = {(r.band, r.type_a, r.type_b): r.n for r in cooccurrence.pair_counts(df, None, limits, tile=32.0, block_rows=16).collect()}
+    gap = np.hypot(*(xy[:, None, :] - xy[None]).transpose(2, 0, 1))
+    want = {
+        (k, a, b): int(((gap > lo) & (gap <= hi))[types == a][:, types == b].sum())
+        for k, (lo, hi) in enumerate(zip(limits, limits[1:])) for a in "ab" for b in "ab"
+    }
+    assert got == want
+    blocks = 900 / 16  # at least; every two of them are within reach
+    assert sent[0].count() < blocks * blocks / 8
+
+
 def test_triangulation_has_empty_circles():
     rng = np.random.default_rng(5)
     for n, side in ((6, 3), (60, 12), (400, 4000)):

@@ -6,6 +6,7 @@ from .. import domain as d
 from ..functions.numeric import r6
 from ..operators import annealing, assignment as a, deconvolution as dc, morphology as mo
 from ..operators import summaries as s
+from ..operators.merge import NOT_DECONVOLVED
 from ..registry import query
 
 
@@ -112,6 +113,11 @@ comb AS (
     JOIN pc USING (cluster_name, cell_type))"""
 
 
+def _deconvolved(spark, sf):
+    """Cells of spots with types to deal: 'not deconvolved' is no type and has no probability."""
+    return _naive(spark, sf).filter(~F.col("cell_type").eqNullSafe(NOT_DECONVOLVED))
+
+
 def _combined(cells):
     p_spot = s.spot_probability(cells)
     return s.combined_probability(cells, p_spot, s.cluster_probability(cells, p_spot))
@@ -126,7 +132,7 @@ FROM typed JOIN comb USING (barcode, cluster_name, cell_type) GROUP BY 1""",
     ),
 )
 def assign_allocation_score(spark, sf):
-    cells = _naive(spark, sf)
+    cells = _deconvolved(spark, sf)
     scored = a.allocation_score(cells.filter("cell_type is not null"), _combined(cells))
     return scored.withColumn("score", r6(F.col("score")))
 
@@ -134,7 +140,7 @@ def assign_allocation_score(spark, sf):
 @query("assign_global")
 def assign_global(spark, sf):
     """Best allocation per spot, with the score before and after."""
-    cells = _naive(spark, sf).select("cell_ids", "barcode", "cluster_name", "cell_type")
+    cells = _deconvolved(spark, sf).select("cell_ids", "barcode", "cluster_name", "cell_type")
     combined = _combined(cells)
     best = a.optimal_allocation(cells, combined)
     before = a.allocation_score(cells.filter("cell_type is not null"), combined)

@@ -107,3 +107,18 @@ def test_crowded_spot_gives_the_same_labels(spark, monkeypatch):
     by_id = dict(rows)
     want = annealing.anneal(np.array([by_id[i] for i in order]), annealing._usable_share([20, 10], 30))
     assert [labels[i] for i in order] == want.tolist()
+
+
+def test_spots_without_deconvolution_have_no_score(spark, monkeypatch):
+    from spotloom import domain
+    from spotloom.queries import assign
+
+    cells = spark.createDataFrame(
+        [(i, 1 + i // 4, "t", i % 2, 1.0) for i in range(8)],
+        "cell_ids long, barcode long, cell_type string, cluster_name int, area double",
+    )
+    counts = spark.createDataFrame([(1, "a", 1), (1, "b", 2)], "barcode long, cell_type string, n long")
+    monkeypatch.setattr(domain, "assigned", lambda *_: cells)
+    monkeypatch.setattr(domain, "deconv", lambda *_: counts)
+    for query in (assign.assign_allocation_score, assign.assign_global):
+        assert [r.barcode for r in query(spark, "").collect()] == [1]

@@ -143,6 +143,23 @@ def test_exact_enrichment_agrees_with_permutations(spark):
         assert z == pytest.approx(exact[pair], abs=0.15 * abs(exact[pair]) + 0.3)
 
 
+def test_trials_are_counted_over_one_row_an_edge():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    kinds, trials, edges = 4, 7, 600
+    a, b = (rng.integers(1, kinds + 1, (edges, trials)) for _ in range(2))
+    want = {}
+    for x, y in zip(a, b):
+        for t in range(trials):
+            key = (t, x[t] - 1, y[t] - 1)
+            want[key] = want.get(key, 0) + 1
+    listed = [pa.array(list(v.astype(np.int16)), pa.list_(pa.int16())) for v in (a, b)]
+    batch = pa.RecordBatch.from_arrays([*listed, pa.array([kinds] * edges, pa.int32())], ["a", "b", "kinds"])
+    got = [r for out in graph._count_trials(iter([batch.slice(0, 300), batch.slice(300)])) for r in out.to_pylist()]
+    assert {(r["trial"], r["a"], r["b"]): r["n"] for r in got} == want
+
+
 def test_planted_gene_is_spatially_variable(spark):
     rng = np.random.default_rng(1)
     spots, expr = [], []

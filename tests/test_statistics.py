@@ -143,6 +143,49 @@ def test_exact_enrichment_agrees_with_permutations(spark):
         assert z == pytest.approx(exact[pair], abs=0.15 * abs(exact[pair]) + 0.3)
 
 
+def _written(spark):
+    """Rows written to shuffles so far."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = jvm.java.util.ArrayList()
+    stages = store.stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+@pytest.mark.parametrize(("markers", "groups"), [(300, 3), (1, 8), (40, 1)])
+def test_permuted_moran_makes_no_row_for_an_entry_and_a_draw(spark, markers, groups):
+    rng = np.random.default_rng(markers)
+    n, trials = 45, 60
+    ends = rng.integers(0, n + 3, (200, 2))  # three ends are no spots, and not all spots have neighbours
+    ends = ends[(ends[:, 0] < n - 2) & (ends[:, 0] != ends[:, 1])]
+    spots = spark.createDataFrame([(f"s{i}",) for i in range(n)], "barcode string")
+    edges = spark.createDataFrame([(f"s{a}", f"s{b}") for a, b in ends.tolist()], "src string, dst string")
+    x = np.where(rng.random((markers, n + 5)) < 0.8, rng.integers(1, 9, (markers, n + 5)), 0)
+    rows = [(f"s{i}", f"m{k:03}", int(x[k, i])) for k, i in zip(*np.nonzero(x), strict=True)]
+    values = spark.createDataFrame(rows, "barcode string, marker string, value int").repartition(4)
+    before = _written(spark)
+    got = {r.marker: r.pval_sim for r in graph.permuted_morans_i(values, edges, spots, trials, 1, groups).collect()}
+    assert _written(spark) - before < len(rows) * 4 + n * (8 * trials + 30 * groups) + 5000
+    w = np.zeros((n, n + 5))
+    np.add.at(w, (ends[:, 0], ends[:, 1]), 1.0)
+    w /= np.maximum(w.sum(axis=1, keepdims=True), 1)
+    hashes = spots.crossJoin(spark.range(trials + 1).select(F.col("id").cast("int").alias("t"))).select(
+        "barcode", "t", F.xxhash64("barcode", F.lit(1), "t").alias("h")
+    )
+    order = [[] for _ in range(trials + 1)]
+    for r in sorted(hashes.collect(), key=lambda r: r.h):
+        order[r.t].append(int(r.barcode[1:]))
+    for k in range(markers):
+        lag, has, mean = w @ x[k], w.sum(axis=1), x[k].sum() / n
+
+        def stat(to, of, v=x[k]):
+            return round(float(v[to] @ lag[of] - mean * (v[to] @ has[of])), 9)
+
+        seen = stat(order[0], order[0])
+        ge = sum(stat(order[0], order[t]) >= seen for t in range(1, trials + 1))
+        assert got[f"m{k:03}"] == (min(ge, trials - ge) + 1) / (trials + 1)
+
+
 def test_trials_are_counted_over_one_row_an_edge():
     import pyarrow as pa
 

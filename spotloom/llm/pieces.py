@@ -10,8 +10,10 @@ Characters that no piece covers become byte pieces, which makes every text decod
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ WORD = re.compile(" *[^ ]+| +")
 CHARS = 1_500_000  # characters handled at once, so that few words come twice
 LONG = 32  # words of more characters get a lattice of their own
 TABLE = 1 << 20
+FIRST = np.uint64(64 - 20)  # shift to the bits that choose a slot of the first table
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
@@ -71,32 +75,42 @@ class Vocabulary:
         self.flat = np.frombuffer(b"".join(self.surface), np.uint8)
 
     def _table(self, plain: dict[str, int]) -> None:
-        keys = np.array([self._key(np.array([[ord(c) for c in p]], np.uint64))[0] for p in plain], np.uint64)
-        ids = np.array(list(plain.values()), np.int32)
-        self.keys, self.found = np.zeros((2, TABLE), np.uint64), np.full((2, TABLE), -1, np.int32)
-        slot = (keys & np.uint64(TABLE - 1)).astype(np.int64)
-        _, first = np.unique(slot, return_index=True)
-        self.keys[0, slot[first]], self.found[0, slot[first]] = keys[first], ids[first]
-        rest = np.setdiff1d(np.arange(len(keys)), first)
-        for self.shift in range(20, 44):
-            second = ((keys[rest] >> np.uint64(self.shift)) & np.uint64(TABLE - 1)).astype(np.int64)
+        """Two small tables of places in ``found``; the second has the pieces whose slot in the first is taken."""
+        self.found = np.array([-1, *plain.values()], np.int32)
+        keys = [self._key(np.array([[ord(c) for c in p]], np.uint64))[0] for p in plain]
+        self.keys = np.array([0, *keys], np.uint64)
+        spread = self.keys * SPREAD
+        self.slots = np.zeros((2, TABLE), np.int32)
+        slot = (spread >> FIRST).astype(np.int64)
+        _, first = np.unique(slot[1:], return_index=True)
+        self.slots[0, slot[first + 1]] = first + 1
+        rest = np.setdiff1d(np.arange(1, len(self.keys)), first + 1)
+        for self.shift in range(10, 44):
+            second = ((spread[rest] >> np.uint64(self.shift)) & np.uint64(TABLE - 1)).astype(np.int64)
             if len(np.unique(second)) == len(second):
                 break
         else:
             raise ValueError("the vocabulary is too large for the table")
-        self.keys[1, second], self.found[1, second] = keys[rest], ids[rest]
+        self.slots[1, second] = rest
 
     @staticmethod
     def _key(codes: np.ndarray) -> np.ndarray:
         width = codes.shape[1]
         raw = ((codes + np.uint64(1)) * powers(BASE, width)).sum(axis=1, dtype=np.uint64)
-        return mix(raw ^ (np.uint64(width) << np.uint64(56)))
-
-    def lookup(self, keys: np.ndarray) -> np.ndarray:
-        one = (keys & np.uint64(TABLE - 1)).astype(np.int64)
-        two = ((keys >> np.uint64(self.shift)) & np.uint64(TABLE - 1)).astype(np.int64)
-        first = np.where(self.keys[0, one] == keys, self.found[0, one], -1)
-        return np.where((first < 0) & (self.keys[1, two] == keys), self.found[1, two], first)
+        return raw ^ (np.uint64(width) << np.uint64(56))
+
+    def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(position, id) of the keys that are pieces; most others end at an empty slot."""
+        spread = keys * SPREAD
+        place = self.slots[0][(spread >> FIRST).view(np.int64)]
+        at = np.flatnonzero(place)
+        place = place[at]
+        other = np.flatnonzero(self.keys[place] != keys[at])
+        there = ((spread[at[other]] >> np.uint64(self.shift)) & np.uint64(TABLE - 1)).view(np.int64)
+        second = self.slots[1][there]
+        place[other] = np.where(self.keys[second] == keys[at[other]], second, 0)
+        known = place > 0
+        return at[known], self.found[place[known]]
 
     def lattice(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(shares, arcs) of words of one length: shares[w, end, k] is cumulative over arcs of length k + 1.
@@ -105,34 +119,33 @@ class Vocabulary:
         """
         n, width = codes.shape
         reach = min(width, self.longest)
-        sums = np.zeros((n, width + 1), np.uint64)
-        sums[:, 1:] = np.cumsum((codes + np.uint64(1)) * powers(BASE, width), axis=1, dtype=np.uint64)
+        sums = np.zeros((width + 1, n), np.uint64)
+        sums[1:] = np.cumsum((codes + np.uint64(1)) * powers(BASE, width), axis=1, dtype=np.uint64).T
         back = powers(INVERSE, width + 1)
-        forward = np.zeros((n, width + 1))
-        forward[:, 0] = 1.0
+        forward = np.zeros((width + 1, n))
+        forward[0] = 1.0
         shares = np.zeros((n, width + 1, reach), np.float32)
         arcs = np.full((n, width + 1, reach), -1, np.int32)
         for end in range(1, width + 1):
             here = np.zeros((n, reach))
             for k in range(min(end, reach)):
                 start = end - k - 1
-                key = mix(((sums[:, end] - sums[:, start]) * back[start]) ^ (np.uint64(k + 1) << np.uint64(56)))
-                ids = self.lookup(key)
-                weight = np.where(ids >= 0, self.weight[ids], 0.0)
-                if k == 0:
+                if k == 0:  # bytes, where no piece is found
                     code = codes[:, start].astype(np.int64)
                     size = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-                    weight = np.where(ids >= 0, weight, self.byte_weight**size)
-                    ids = np.where(ids >= 0, ids, -1 - code)
-                arcs[:, end, k] = ids
-                here[:, k] = forward[:, start] * weight
+                    arcs[:, end, 0] = -1 - code
+                    here[:, 0] = forward[start] * self.byte_weight**size
+                key = ((sums[end] - sums[start]) * back[start]) ^ (np.uint64(k + 1) << np.uint64(56))
+                at, ids = self.lookup(key)
+                if len(at):
+                    arcs[at, end, k] = ids
+                    here[at, k] = forward[start][at] * self.weight[ids]
             total = here.sum(axis=1)
             shares[:, end] = np.cumsum(here, axis=1) / total[:, None]
             # keep the scale: only ratios matter
-            forward[:, end] = total
+            forward[end] = total
             if end % 8 == 0:
-                scale = forward[:, max(0, end - self.longest) : end + 1].max(axis=1, keepdims=True)
-                forward[:, : end + 1] /= scale
+                forward[: end + 1] /= forward[max(0, end - self.longest) : end + 1].max(axis=0)
         return shares, arcs
 
 
@@ -168,8 +181,8 @@ def segment(v: Vocabulary, texts: list[str], seeds: np.ndarray) -> tuple[np.ndar
     """(pieces, offsets): a sampled segmentation of each text; a space goes before it."""
     split = [WORD.findall(" " + t) if t else [] for t in texts]
     counts = np.array([len(s) for s in split], np.int64)
-    number: dict[str, int] = {}
-    which = np.array([number.setdefault(w, len(number)) for s in split for w in s], np.int64)
+    number: defaultdict[str, int] = defaultdict(count().__next__)
+    which = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
     if not len(which):
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
     doc = np.repeat(np.arange(len(texts)), counts)
@@ -198,7 +211,7 @@ def segment(v: Vocabulary, texts: list[str], seeds: np.ndarray) -> tuple[np.ndar
                 near = shares[word, end]
                 k = np.minimum((near < u[:, None]).sum(axis=1), np.minimum(end, near.shape[1]) - 1)
                 rows.append(at)
-                order.append(np.full(len(at), turn))
+                order.append(np.full(len(at), turn, np.int32))
                 values.append(arcs[word, end, k])
                 end = end - k - 1
                 more = end > 0
@@ -210,7 +223,7 @@ def segment(v: Vocabulary, texts: list[str], seeds: np.ndarray) -> tuple[np.ndar
             order.append(np.arange(1, len(found) + 1))
             values.append(np.array(found, np.int64))
     rows, order = np.concatenate(rows), np.concatenate(order)
-    values = np.concatenate([x.astype(np.int64) for x in values])
+    values = np.concatenate(values).astype(np.int64)
     steps = np.bincount(rows, minlength=len(which))
     first = np.cumsum(steps) - steps
     arcs = np.empty(len(values), np.int64)

@@ -34,6 +34,17 @@ def test_pieces_do_not_depend_on_partitions(odd):
     assert of(odd.repartition(1)) == of(odd.repartition(7))
 
 
+def test_every_piece_and_nothing_else_is_looked_up():
+    v = pieces.Vocabulary(PIECES)
+    for width in (1, 2, 3, 7):
+        known = [p for p in v.ids if len(p) == width]
+        words = known + [p[:-1] + "\u4e00" for p in known]
+        codes = np.array([[ord(c) for c in w] for w in words], np.uint64)
+        raw = [v._key(codes[i : i + 1])[0] for i in range(len(words))]
+        at, ids = v.lookup(np.array(raw, np.uint64))
+        assert {words[i]: int(j) for i, j in zip(at, ids, strict=True)} == {w: v.ids[w] for w in words if w in v.ids}
+
+
 def test_pieces_follow_the_lattice():
     v = pieces.Vocabulary(PIECES)
 

@@ -223,6 +223,23 @@ def test_planted_gene_is_spatially_variable(spark):
     assert result[result.gene != 0].LLR.max() < best.LLR / 3
 
 
+def test_noise_ratios_are_found_in_few_passes(monkeypatch):
+    rng = np.random.default_rng(4)
+    xy = np.array([(i % 8, i // 8) for i in range(64)], float)
+    square = ((xy[:, None] - xy[None]) ** 2).sum(axis=2)
+    y = rng.normal(size=(20, 64)) + 50 + 3 * np.exp(-square[rng.integers(0, 64, 20)] / 8) * rng.random((20, 1))
+    passes = []
+    whole = variability._log_likelihood
+    monkeypatch.setattr(variability, "_log_likelihood", lambda *args: passes.append(1) or whole(*args))
+    s, u, gower = variability._decomposed(np.exp(-square / 18))
+    ll, fsv = variability._fit(y, s, u, gower)
+    assert len(passes) <= 33
+    fine = np.linspace(-10, 20, 3001)
+    values = np.stack([whole(np.full(20, g), s, (u.sum(axis=0), y @ u), 64) for g in fine], axis=1)
+    assert ll == pytest.approx(values.max(axis=1), abs=2e-3)
+    assert fsv == pytest.approx(gower / (gower + np.exp(fine[values.argmax(axis=1)])), abs=0.02)
+
+
 def test_moving_average_over_several_levels(spark):
     from spotloom.operators.history import moving_average
 

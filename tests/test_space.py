@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spotloom.functions import geometry as geo
 from spotloom.operators import cooccurrence, spatial
 from spotloom.operators.components import contract_labels, convex_areas, hull_features, mask_components, mask_rings
+from spotloom.operators import delaunay
 from spotloom.operators.delaunay import circles, delaunay_edges, flat, triangulate
 
 SQUARE = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
@@ -154,6 +155,21 @@ def test_triangulation_has_empty_circles():
         assert not (gap < r[:, None] * (1 - 1e-7)).any()
 
 
+def test_triangulation_tests_few_circles_a_point(monkeypatch):
+    """Only circles next to the new point are tested, not those of all triangles that may still change."""
+    asked = []
+    plain = delaunay._Signs.in_circle
+
+    def counted(self, *corners_and_p):
+        asked.append(len(corners_and_p[0]) if np.ndim(corners_and_p[0]) else 1)
+        return plain(self, *corners_and_p)
+
+    monkeypatch.setattr(delaunay._Signs, "in_circle", counted)
+    xy = np.unique(np.random.default_rng(5).random((1500, 2)), axis=0)
+    triangulate(xy)
+    assert sum(asked) < 40 * len(xy)
+
+
 def test_tiled_delaunay_equals_one_triangulation(spark):
     rng = np.random.default_rng(6)
     xy = np.unique(np.concatenate([rng.integers(0, 2000, (500, 2)), rng.integers(400, 440, (250, 2))]).astype(float), axis=0)

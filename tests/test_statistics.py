@@ -253,6 +253,30 @@ def test_moving_average_over_several_levels(spark):
     assert got.to_numpy() == pytest.approx(np.array(want))
 
 
+def test_tables_of_many_genes_are_filled_together(monkeypatch):
+    """One pass for a batch of genes gives what a pass for each gene gives, without calling it."""
+    from spotloom.operators import comparative
+
+    rng = np.random.default_rng(3)
+    rows = sorted({(int(g), float(v), int(r)) for g, v, r in rng.integers(0, (30, 6, 4), (900, 3))})
+    gene, values, place = (np.array(c) for c in zip(*rows, strict=True))
+    n = rng.integers(1, 5, len(rows)).astype(float)
+    starts = np.append(np.searchsorted(gene, np.unique(gene)), len(gene))
+    want_own, want = np.zeros((4, 30, 4)), np.zeros((3, 30, 4, 4))
+    for i, (a, b) in enumerate(zip(starts[:-1], starts[1:], strict=True)):
+        there, *sums = comparative._sums_of_gene(place[a:b], values[a:b], n[a:b], np.zeros(b - a, bool))
+        for table, flat in zip(want_own, sums[:4], strict=True):
+            table[i][there] = flat
+        for table, flat in zip(want, sums[4:], strict=True):
+            table[i][np.ix_(there, there)] = flat.reshape(len(there), -1)
+    monkeypatch.setattr(comparative, "JOINT", 0)
+    assert all(map(np.array_equal, comparative._dense_sums(place, values, n, starts, 4), (want_own, want)))
+    monkeypatch.setattr(comparative, "JOINT", 16)
+    monkeypatch.setattr(comparative, "_sums_of_gene", None)
+    own, cross = comparative._dense_sums(place, values, n, starts, 4)
+    assert np.array_equal(own, want_own) and np.array_equal(cross, want)
+
+
 @pytest.mark.parametrize("light, dense", [(10_000, 1 << 20), (5, 7)])
 def test_rank_sums_of_present_and_absent_regions(spark, monkeypatch, light, dense):
     """Also with genes cut into value ranges and tables of a few rows at a time."""

@@ -155,6 +155,18 @@ def test_triangulation_has_empty_circles():
         assert not (gap < r[:, None] * (1 - 1e-7)).any()
 
 
+def test_edges_of_pairs_are_folded_without_a_sort(spark):
+    """Levels hash the edges of a pair together, and cells of both slides are dealt over the tasks."""
+    from spotloom.queries import QUERIES
+
+    cells = spark.createDataFrame([(1, 5.0, 5.0, "t")], "cell_ids int, cell_x double, cell_y double, cell_type string")
+    levels = spatial.infiltration_levels(cells, _regions(spark, s=SQUARE), 2, 3, unit=4.0)
+    plan = levels._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    plan = QUERIES["slides_region_cells"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_triangulation_tests_few_circles_a_point(monkeypatch):
     """Only circles next to the new point are tested, not those of all triangles that may still change."""
     asked = []

@@ -131,6 +131,17 @@ def best_transport(supply: np.ndarray, demand: np.ndarray, gain: np.ndarray) ->
     return flow
 
 
+def _tables(known: pd.DataFrame, row: np.ndarray, col: np.ndarray, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Cells and mean probability of every cluster and type of a spot; 0 where there is none."""
+    size, at = shape[0] * shape[1], row * shape[1] + col
+    flow = np.bincount(at, known["w"].to_numpy(), minlength=size).astype(np.int64)
+    p = known["p_combined"].to_numpy(dtype=float)
+    there = ~np.isnan(p)
+    times = np.bincount(at[there], minlength=size)
+    gain = np.bincount(at[there], p[there], minlength=size) / np.maximum(times, 1)
+    return flow.reshape(shape), gain.reshape(shape)
+
+
 def optimal_allocation(cells: DataFrame, p_combined: DataFrame, min_cells: int = 3) -> DataFrame:
     """Reassign the types within each spot for the greatest total probability.
 
@@ -151,21 +162,17 @@ def optimal_allocation(cells: DataFrame, p_combined: DataFrame, min_cells: int =
     sized = gains.withColumn("_n", F.sum("w").over(margin)).filter(F.col("_n") >= min_cells)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        flow = pdf.pivot_table(
-            index="cluster_name", columns="cell_type", values="w", aggfunc="sum", fill_value=0
-        )
-        gain = pdf.pivot_table(
-            index="cluster_name", columns="cell_type", values="p_combined", fill_value=0.0
-        ).reindex(index=flow.index, columns=flow.columns, fill_value=0.0)
-        best = best_transport(
-            flow.sum(axis=1).to_numpy(), flow.sum(axis=0).to_numpy(), gain.to_numpy(dtype=float)
-        )
+        known = pdf.dropna(subset=["cluster_name", "cell_type"])
+        clusters, row = np.unique(known["cluster_name"].to_numpy(), return_inverse=True)
+        types, col = np.unique(known["cell_type"].to_numpy(), return_inverse=True)
+        flow, gain = _tables(known, row, col, (len(clusters), len(types)))
+        best = best_transport(flow.sum(axis=1), flow.sum(axis=0), gain)
         row, col = np.nonzero(best)
         return pd.DataFrame(
             {
                 "barcode": pdf["barcode"].iloc[0],
-                "cluster_name": flow.index.to_numpy()[row],
-                "cell_type": flow.columns.to_numpy()[col],
+                "cluster_name": clusters[row],
+                "cell_type": types[col],
                 "n": best[row, col],
             }
         )

@@ -1,6 +1,7 @@
 from itertools import permutations
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from spotloom.operators import annealing, assignment
@@ -122,3 +123,17 @@ def test_spots_without_deconvolution_have_no_score(spark, monkeypatch):
     monkeypatch.setattr(domain, "deconv", lambda *_: counts)
     for query in (assign.assign_allocation_score, assign.assign_global):
         assert [r.barcode for r in query(spark, "").collect()] == [1]
+
+
+def test_tables_of_a_spot_equal_pivots():
+    """Counts add up, probabilities of a cell of the table are averaged, missing ones are zero."""
+    rng = np.random.default_rng(2)
+    rows = pd.DataFrame(rng.integers(0, (5, 4, 3), (40, 3)), columns=["cluster_name", "cell_type", "w"])
+    rows["p_combined"] = np.where(rng.random(40) < 0.2, np.nan, rng.random(40))
+    clusters, row = np.unique(rows["cluster_name"], return_inverse=True)
+    types, col = np.unique(rows["cell_type"], return_inverse=True)
+    flow, gain = assignment._tables(rows, row, col, (len(clusters), len(types)))
+    where = {"index": "cluster_name", "columns": "cell_type"}
+    want = rows.pivot_table(**where, values="w", aggfunc="sum", fill_value=0)
+    mean = rows.pivot_table(**where, values="p_combined", fill_value=0.0).reindex(index=want.index, columns=want.columns, fill_value=0.0)
+    assert np.array_equal(flow, want) and np.allclose(gain, mean, rtol=1e-15, atol=0)

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..operators.components import contract_labels
+from ..operators.components import contract_labels, least_reached
 from ..session import cut_lineage
 
 EDGES = 500_000  # links folded in one task, some 50 MB
@@ -19,17 +19,7 @@ def _folded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held = [batch[["a", "b"]].to_numpy(dtype=np.int64) for batch in batches]
     links = np.concatenate(held) if held else np.zeros((0, 2), np.int64)
     ids, at = np.unique(links, return_inverse=True)
-    at = at.reshape(links.shape)
-    root = np.arange(len(ids))
-    while True:
-        ends = root[at]
-        low, high = ends.min(axis=1), ends.max(axis=1)
-        apart = low < high
-        if not apart.any():
-            break
-        np.minimum.at(root, high[apart], low[apart])
-        while not np.array_equal(root, above := root[root]):
-            root = above
+    root = least_reached(len(ids), at.reshape(links.shape))
     yield pd.DataFrame({"a": ids, "b": ids[root]}).astype("int64")
 
 

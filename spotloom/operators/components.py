@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import running_sum
 from ..session import cut_lineage, spread_by
 
+AT_ONCE = 1 << 17  # rows of small groups handled together
+
 
 def contract_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, root): the smallest vertex of each component of an undirected graph.
@@ -53,54 +57,92 @@ def contract_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return roots.unionByName(own)
 
 
-def _label_tile(pdf: pd.DataFrame, diagonal: bool) -> np.ndarray:
-    """Smallest pixel key of each component within one tile."""
-    y, x = pdf["y"].to_numpy(), pdf["x"].to_numpy()
-    inst = pdf["inst_id"].to_numpy()
-    y0, x0 = y.min(), x.min()
-    grid = np.zeros((y.max() - y0 + 3, x.max() - x0 + 3), dtype=np.int64)
-    label = np.full(grid.shape, np.iinfo(np.int64).max)
-    grid[y - y0 + 1, x - x0 + 1] = inst
-    label[y - y0 + 1, x - x0 + 1] = pdf["key"].to_numpy()
-    shifts = [(0, 1), (0, -1), (1, 0), (-1, 0)]
-    if diagonal:
-        shifts += [(1, 1), (1, -1), (-1, 1), (-1, -1)]
-    inner = (slice(1, -1), slice(1, -1))
+def least_reached(count: int, ends: np.ndarray) -> np.ndarray:
+    """For each of ``count`` vertices the least one that it reaches over the edges ``ends`` (n, 2)."""
+    root = np.arange(count)
     while True:
-        best = label.copy()
-        for dy, dx in shifts:
-            near = np.roll(np.roll(label, dy, 0), dx, 1)
-            same = np.roll(np.roll(grid, dy, 0), dx, 1) == grid
-            best[inner] = np.where((same & (grid > 0))[inner], np.minimum(best, near)[inner], best[inner])
-        if np.array_equal(best, label):
-            return label[y - y0 + 1, x - x0 + 1]
-        label = best
+        reached = root[ends]
+        low, high = reached.min(axis=1), reached.max(axis=1)
+        apart = low < high
+        if not apart.any():
+            return root
+        np.minimum.at(root, high[apart], low[apart])
+        while not np.array_equal(root, above := root[root]):
+            root = above
+
+
+def _differs(column: pa.ChunkedArray) -> np.ndarray:
+    """Whether each value but the first is another than the one before; nulls are alike."""
+    if pa.types.is_nested(column.type):
+        values = column.to_pylist()
+        return np.array([a != b for a, b in zip(values[1:], values[:-1], strict=True)], dtype=bool)
+    one, two = column.slice(1), column.slice(0, max(0, len(column) - 1))
+    other = pc.if_else(pc.or_(pc.is_null(one), pc.is_null(two)), pc.xor(pc.is_null(one), pc.is_null(two)), pc.not_equal(one, two))
+    return other.to_numpy().astype(bool)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Many whole groups at a time, and where each begins; rows come in order of ``keys``."""
+    held: list[pa.RecordBatch] = []
+
+    def begins(table: pa.Table) -> np.ndarray:
+        return np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([_differs(table[k]) for k in keys])]))
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= AT_ONCE:
+            table = pa.Table.from_batches(held)
+            starts = begins(table)
+            cut = int(starts[-1])  # the last group may go on
+            if cut:
+                yield table.slice(0, cut), starts[:-1]
+                held = table.slice(cut).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, begins(table)
+
+
+def _label_tiles(group: np.ndarray, y: np.ndarray, x: np.ndarray, tile: int, diagonal: bool) -> np.ndarray:
+    """For each pixel the first one of its part; pixels come by group, then y, then x."""
+    width = tile + 2
+    code = (group * width + y % tile + 1) * width + x % tile + 1
+    twice = np.flatnonzero(code[1:] == code[:-1])
+    edges = [np.column_stack([twice, twice + 1])]
+    for dy, dx in [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if diagonal else []):
+        at = np.minimum(np.searchsorted(code, code + dy * width + dx), len(code) - 1)
+        hit = np.flatnonzero(code[at] == code + dy * width + dx)
+        edges.append(np.column_stack([hit, at[hit]]))
+    return least_reached(len(code), np.concatenate(edges))
 
 
 def mask_components(pixels: DataFrame, diagonal: bool = False, tile: int = 128) -> DataFrame:
     """Pixels with ``component``: the key of the first pixel, in scan order, of its part.
 
-    Tiles have at most tile^2 pixels whatever the mask looks like. Parts meet across
+    Tiles of an instance have at most tile^2 pixels whatever the mask looks like, and a task
+    labels many of them at once. Parts meet across
     tile borders through equi-joins on neighbouring border pixels, and only the
-    graph of parts is contracted.
+    graph of parts is contracted. Pixels of several instances may lie at one place.
     """
-    # Scan order key: y major; coordinates below 2^31.
-    key = F.shiftleft(F.col("y").cast("long"), 32) + F.col("x").cast("long")
     keyed = pixels.select(
-        "img", "y", "x", F.col("inst_id").cast("long").alias("inst_id"), key.alias("key"),
+        "img", "y", "x", F.col("inst_id").cast("long").alias("inst_id"),
         F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx"),
     )
+    tiles = ["img", "inst_id", "ty", "tx"]
 
-    def label(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        return pdf[["img", "y", "x", "inst_id"]].assign(part=_label_tile(pdf, diagonal))
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, tiles):
+            group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, table.num_rows)))
+            y, x = (table[c].to_numpy().astype(np.int64) for c in "yx")
+            # Scan order key: y major; coordinates below 2^31.
+            part = ((y << 32) + x)[_label_tiles(group, y, x, tile, diagonal)]
+            yield from table.select(["img", "y", "x", "inst_id"]).append_column("part", pa.array(part)).to_batches()
 
     kinds = dict(keyed.dtypes)
     # Keys pass through the tasks as they are, whatever their type.
     parts = cut_lineage(
-        spread_by(keyed, "img", "ty", "tx").groupBy("img", "ty", "tx").applyInPandas(
-            label,
-            f"img {kinds['img']}, y {kinds['y']}, x {kinds['x']}, inst_id long, part long",
+        spread_by(keyed, *tiles).sortWithinPartitions(*tiles, "y", "x").mapInArrow(
+            label, f"img {kinds['img']}, y {kinds['y']}, x {kinds['x']}, inst_id long, part long"
         )
     )
     low = (F.pmod("y", F.lit(tile)) == 0) | (F.pmod("x", F.lit(tile)) == 0)
@@ -114,10 +156,10 @@ def mask_components(pixels: DataFrame, diagonal: bool = False, tile: int = 128)
     touching = (
         moved.join(rim.select("img", "inst_id", "y", "x", F.col("part").alias("pb")), ["img", "inst_id", "y", "x"])
         .filter("pa != pb")
-        .select(F.struct("img", F.col("pa").alias("k")).alias("a"), F.struct("img", F.col("pb").alias("k")).alias("b"))
+        .select(*[F.struct("img", "inst_id", F.col(p).alias("k")).alias(n) for n, p in (("a", "pa"), ("b", "pb"))])
     )
     roots = contract_labels(touching)
-    joined = parts.withColumn("id", F.struct("img", F.col("part").alias("k"))).join(roots, "id", "left")
+    joined = parts.withColumn("id", F.struct("img", "inst_id", F.col("part").alias("k"))).join(roots, "id", "left")
     return joined.select(
         "img", "y", "x", "inst_id", F.coalesce(F.col("root.k"), F.col("part")).alias("component")
     )
@@ -169,12 +211,8 @@ def hole_sizes(pixels: DataFrame, tile: int = 128) -> DataFrame:
         "x", F.explode(F.sequence("lox", "hix"))
     )
     empty = filled.join(pixels.select("img", "inst_id", "y", "x"), ["img", "inst_id", "y", "x"], "left_anti")
-    # Boxes of neighbours overlap, so each instance's background is its own image.
-    own = F.struct("img", "inst_id")
-    parts = mask_components(
-        empty.select(own.alias("img"), "y", "x", F.lit(1).alias("inst_id")), diagonal=False, tile=tile
-    )
-    keyed = parts.select(F.col("img.img").alias("img"), F.col("img.inst_id").alias("inst_id"), "y", "x", "component")
+    # Boxes of neighbours overlap; a component is one within an instance's own box.
+    keyed = mask_components(empty.select("img", "inst_id", "y", "x"), diagonal=False, tile=tile)
     edge = (
         (F.col("y") == F.col("loy")) | (F.col("y") == F.col("hiy"))
         | (F.col("x") == F.col("lox")) | (F.col("x") == F.col("hix"))
@@ -187,10 +225,10 @@ def hole_sizes(pixels: DataFrame, tile: int = 128) -> DataFrame:
 
 def _chains(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The two chains of the hull of (y, x) points, each from the least y to the largest."""
-    points = np.unique(points, axis=0)
+    points = sorted(set(map(tuple, points.tolist())))
 
     def side(sign: float) -> np.ndarray:
-        chain: list[np.ndarray] = []
+        chain: list[tuple[float, float]] = []
         for p in points:
             while len(chain) > 1:
                 a, b = chain[-2], chain[-1]
@@ -204,12 +242,10 @@ def _chains(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return side(1.0), side(-1.0)
 
 
-def _midpoints(rows: pd.DataFrame) -> np.ndarray:
+def _midpoints(y: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """(y, x) of the edge midpoints of the outermost pixels of each row."""
-    y = rows["y"].to_numpy(dtype=float)
-    low, high = rows["lo"].to_numpy(dtype=float), rows["hi"].to_numpy(dtype=float)
     sides = ((y, low - 0.5), (y, high + 0.5), (y - 0.5, low), (y + 0.5, low), (y - 0.5, high), (y + 0.5, high))
-    return np.concatenate([np.stack(side, axis=1) for side in sides])
+    return np.stack([np.stack(side, axis=1) for side in sides], axis=1)
 
 
 def _pixels_within(points: np.ndarray) -> int:
@@ -235,19 +271,36 @@ def convex_areas(pixels: DataFrame, band: int = 256) -> DataFrame:
     )
     kinds = dict(pixels.dtypes)
     key = f"img {kinds['img']}, inst_id {kinds['inst_id']}"
-
-    def partial(pdf: pd.DataFrame) -> pd.DataFrame:
-        corners = np.unique(np.concatenate(_chains(_midpoints(pdf))), axis=0)
-        out = pdf[["img", "inst_id"]].iloc[np.zeros(len(corners), int)].reset_index(drop=True)
-        return out.assign(py=corners[:, 0], px=corners[:, 1], n=[int(pdf["n"].sum())] + [0] * (len(corners) - 1))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf[["img", "inst_id"]].iloc[:1].reset_index(drop=True)
-        return out.assign(area=int(pdf["n"].sum()), area_convex=_pixels_within(pdf[["py", "px"]].to_numpy()))
+    own, bands = ["img", "inst_id"], ["img", "inst_id", "band"]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, bands):
+            points = _midpoints(*[table[c].to_numpy().astype(float) for c in ("y", "lo", "hi")])
+            stops = np.append(starts[1:], table.num_rows)
+            hulls = [
+                np.unique(np.concatenate(_chains(points[i:j].reshape(-1, 2))), axis=0)
+                for i, j in zip(starts.tolist(), stops.tolist(), strict=True)
+            ]
+            counts = np.array([len(h) for h in hulls])
+            corners, n = np.concatenate(hulls), np.zeros(counts.sum(), np.int64)
+            n[np.cumsum(counts) - counts] = np.add.reduceat(table["n"].to_numpy(), starts)
+            out = table.select(own).take(pa.array(np.repeat(starts, counts)))
+            for name, column in (("py", corners[:, 0]), ("px", corners[:, 1]), ("n", n)):
+                out = out.append_column(name, pa.array(column))
+            yield from out.to_batches()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in whole_groups(batches, own):
+            points = np.column_stack([table["py"].to_numpy(), table["px"].to_numpy()])
+            stops = np.append(starts[1:], table.num_rows)
+            convex = [_pixels_within(points[i:j]) for i, j in zip(starts.tolist(), stops.tolist(), strict=True)]
+            out = table.select(own).take(pa.array(starts))
+            out = out.append_column("area", pa.array(np.add.reduceat(table["n"].to_numpy(), starts)))
+            yield from out.append_column("area_convex", pa.array(convex, pa.int64())).to_batches()
 
     banded = ends.withColumn("band", F.floor(F.col("y") / band))
-    corners = banded.groupBy("img", "inst_id", "band").applyInPandas(partial, f"{key}, py double, px double, n long")
-    return corners.groupBy("img", "inst_id").applyInPandas(merge, f"{key}, area long, area_convex long")
+    corners = spread_by(banded, *bands).sortWithinPartitions(*bands).mapInArrow(partial, f"{key}, py double, px double, n long")
+    return spread_by(corners, *own).sortWithinPartitions(*own).mapInArrow(merge, f"{key}, area long, area_convex long")
 
 
 def hull_features(pixels: DataFrame, tile: int = 128, band: int = 256) -> DataFrame:

@@ -1,11 +1,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from spotloom.functions import geometry as geo
-from spotloom.operators import cooccurrence, spatial
+from spotloom.operators import components, cooccurrence, spatial
 from spotloom.operators.components import contract_labels, convex_areas, hull_features, mask_components, mask_rings
 from spotloom.operators import delaunay
 from spotloom.operators.delaunay import circles, delaunay_edges, flat, triangulate
@@ -445,3 +446,22 @@ def test_rows_of_a_large_polygon_answer_like_its_whole_ring(spark):
     boxes, rows = spatial.region_rows(regions)
     held = {r["name"]: r["n"] for r in rows.groupBy("_region.region_name").agg(F.sum(F.size("_edges")).alias("n")).withColumnRenamed("region_name", "name").collect()}
     assert held["comb"] <= 2 * 4000 and held["star"] <= 2 * 20 + 20
+
+
+def test_parts_of_instances_at_one_place(spark):
+    rows = [(img, y, x, inst) for img in "ab" for inst in (1, 2) for y in range(6) for x in (0, 1, 3) if x != 3 or inst == 2]
+    pixels = spark.createDataFrame(rows + rows[:1], "img string, y int, x int, inst_id int")
+    parts = mask_components(pixels, tile=4).groupBy("img", "inst_id", "component").count().collect()
+    both = {(img, inst, at, n) for img in "ab" for inst, at, n in ((1, 0, 12), (2, 0, 12), (2, 3, 6))}
+    assert {tuple(r) for r in parts} == both - {("a", 1, 0, 12)} | {("a", 1, 0, 13)}
+
+
+def test_groups_stay_whole_over_batches(monkeypatch):
+    monkeypatch.setattr(components, "AT_ONCE", 3)
+    keys = [None, None, "a", "a", "a", "a", "b", "c", "c"]
+    batches = [pa.RecordBatch.from_pydict({"k": pa.array(keys[i : i + 2], pa.string())}) for i in range(0, 9, 2)]
+    groups = []
+    for table, starts in components.whole_groups(iter(batches), ["k"]):
+        stops = [*starts[1:], table.num_rows]
+        groups += [table["k"].to_pylist()[i:j] for i, j in zip(starts, stops, strict=True)]
+    assert groups == [[None, None], ["a"] * 4, ["b"], ["c", "c"]]

@@ -195,6 +195,26 @@ def test_tiled_delaunay_equals_one_triangulation(spark):
     assert got == want
 
 
+def test_plans_do_not_grow_with_the_grids_of_empty_circles(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    xy = rng.uniform(0, 4096, (60, 2))
+    cells = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "id long, x double, y double")
+    circles_ = [(i, i + 1, i + 2, float(x), float(y), float(r)) for i, (x, y, r) in enumerate(zip(*rng.uniform(0, 4096, (2, 40)), 2.0 ** rng.uniform(-3, 12, 40)))]
+    found = spark.createDataFrame(circles_, "a long, b long, c long, cx double, cy double, r double")
+    leaves, joined = [], delaunay.box_join
+
+    def box_join(points, boxes, *more, **named):
+        leaves.append(boxes._jdf.queryExecution().analyzed().collectLeaves().size())
+        return joined(points, boxes, *more, **named)
+
+    monkeypatch.setattr(delaunay, "box_join", box_join)
+    got = {r.a for r in delaunay._empty_circles(found, cells, 4.0, 4096.0).collect()}
+    gap = np.hypot(*(xy[None] - np.array(circles_)[:, None, 3:5]).transpose(2, 0, 1))
+    inside = (gap < np.array(circles_)[:, 5:]) & ((np.arange(60) < np.arange(40)[:, None]) | (np.arange(60) > np.arange(40)[:, None] + 2))
+    assert got == set(np.flatnonzero(~inside.any(axis=1)).tolist()) and 0 < len(got) < 40
+    assert len(leaves) == 6 and max(leaves) <= 2
+
+
 def _flood(grid, diagonal):
     label = np.zeros(grid.shape, dtype=int)
     steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if diagonal else [])

@@ -152,6 +152,35 @@ def _written(spark):
     return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
 
 
+def test_permuted_enrichment_makes_no_row_for_a_vertex_and_a_trial(spark):
+    """Counts follow Spark's hashes of (id, seed, trial); what is shuffled does not hold the draws."""
+    rng = np.random.default_rng(3)
+    n, trials = 400, 70
+    kinds = [None if k == 3 else "abc"[k] for k in rng.integers(0, 4, n).tolist()]
+    ends = rng.integers(0, n + 5, (900, 2))  # some ends have no label row
+    labels = spark.createDataFrame([(f"v{i}", k) for i, k in enumerate(kinds)], "id string, label string")
+    edges = spark.createDataFrame([(f"v{a}", f"v{b}") for a, b in ends.tolist()], "src string, dst string")
+    before = _written(spark)
+    rows = graph.permuted_enrichment(edges, labels, trials, 5).collect()
+    assert _written(spark) - before < 60 * n
+    hashes = labels.crossJoin(spark.range(trials + 1).select(F.col("id").cast("int").alias("t"))).select(
+        "id", "t", F.xxhash64("id", F.lit(5), "t").alias("h")
+    )
+    order = [[] for _ in range(trials + 1)]
+    for r in sorted(hashes.collect(), key=lambda r: r.h):
+        order[r.t].append(int(r.id[1:]))
+    counts = {}
+    for t in range(trials + 1):
+        label = {v: kinds[w] for v, w in zip(order[0], order[t], strict=True)}
+        for a, b in ends.tolist():
+            if a < n and b < n:
+                counts.setdefault((label[a], label[b]), np.zeros(trials + 1))[t] += 1
+    assert {(r.type_a, r.type_b): r.n_edges for r in rows} == {k: v[0] for k, v in counts.items()}
+    for r in rows:
+        seen = counts[r.type_a, r.type_b]
+        assert r.zscore == pytest.approx((seen[0] - seen[1:].mean()) / seen[1:].std())
+
+
 @pytest.mark.parametrize(("markers", "groups"), [(300, 3), (1, 8), (40, 1)])
 def test_permuted_moran_makes_no_row_for_an_entry_and_a_draw(spark, markers, groups):
     rng = np.random.default_rng(markers)

@@ -215,6 +215,40 @@ def test_permuted_moran_makes_no_row_for_an_entry_and_a_draw(spark, markers, gro
         assert got[f"m{k:03}"] == (min(ge, trials - ge) + 1) / (trials + 1)
 
 
+def test_permuted_moran_makes_no_row_for_a_spot_and_a_draw(spark):
+    n, trials = 300, 150
+    spots = spark.range(n).select(F.col("id").alias("barcode"))
+    edges = spots.select(F.col("barcode").alias("src"), ((F.col("barcode") + 1) % n).alias("dst"))
+    values = spots.select("barcode", (F.col("barcode") % 7).alias("marker"), F.lit(2).alias("value"))
+    before = _written(spark)
+    assert graph.permuted_morans_i(values, edges, spots, trials, 1, 4).count() == 7
+    assert _written(spark) - before < n * 60
+
+
+def test_lags_of_many_spots_are_solved_together(monkeypatch):
+    """Few passes however many spots there are, and what a table of all lags gives."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    n, markers = 60_000, 400
+    heads = [rng.integers(0, n, 6).astype(np.int32).tobytes() for _ in range(n)]
+    rows = pa.table({"spot": np.arange(n, dtype=np.int32), "base": rng.integers(-(2**62), 2**62, n), "heads": pa.array(heads, pa.binary()), "degree": np.full(n, 6)})
+    draws = graph._Draws(rows, 20)
+    marker = np.sort(rng.integers(0, markers, 4000))
+    spot = rng.integers(0, n, 4000)
+    spot[:2000:2] = np.frombuffer(b"".join(heads), np.int32).reshape(n, 6)[spot[1:2000:2], 0]  # lags meet entries
+    value = rng.integers(1, 9, 4000).astype(float)
+    passes, some = [], graph._Draws._some
+    monkeypatch.setattr(graph._Draws, "_some", lambda *args: passes.append(args[-1]) or some(*args))
+    got, want = np.empty((2, markers), np.int64)
+    draws.larger(marker, spot, value, got)
+    assert sum(passes) == markers and len(passes) < 20
+    for k in range(markers):
+        here = marker == k
+        want[k] = draws._some(np.zeros(here.sum(), np.int64), spot[here], value[here], 1)[0]
+    assert (got == want).all() and got.min() == 0 < got.max()
+
+
 def test_trials_are_counted_over_one_row_an_edge():
     import pyarrow as pa
 

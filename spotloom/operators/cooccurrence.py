@@ -33,6 +33,9 @@ GROUP_STEPS = 3  # a group is a square of at most 2^GROUP_STEPS blocks a side
 NODE_CELLS = 16
 MOST_FLAT = 3
 STRIP, PAIRS = 24, 96  # left nodes, and pairs of nodes, at once: tables stay in the processor's cache
+APART = 1.5  # widths between the centres of two blocks that are measured in strips
+MOST_STRIPS, MEASURED = 64, 1 << 14  # strips of a block, and pairs measured at once
+SLACK = 1e-7  # share of a limit
 OPEN_SLIDES = 32  # count tables a task holds before it emits them; the sums come later
 
 
@@ -156,7 +159,7 @@ class Bands:
     """
 
     def __init__(self, limits: np.ndarray):
-        self.n = len(limits) - 1
+        self.n, self.limits = len(limits) - 1, limits
         upto = np.arange(int(limits[-1]) + 2)
         self.code = np.searchsorted(limits, upto, side="left").astype(np.int64)
         self.square = np.square(limits)
@@ -227,6 +230,120 @@ def _measure(left: Nodes, right: Nodes, bands: Bands, kinds: int) -> np.ndarray:
     return total[1 : bands.n + 1, :kinds, :kinds]
 
 
+class Seen:
+    """Two blocks in the frame of the line from the centre of the first to that of the second.
+
+    ``s`` runs along the line, ``t`` across it.
+    """
+
+    def __init__(self, left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...]):
+        (ax, ay, _), (bx, by, _) = left, right
+        x, y = ax.mean(), ay.mean()
+        dx, dy = bx.mean() - x, by.mean() - y
+        self.far = math.hypot(dx, dy)
+        dx, dy = (dx / self.far, dy / self.far) if self.far else (1.0, 0.0)
+        self.s, self.t = zip(*((u * dx + v * dy, v * dx - u * dy) for u, v in ((ax - x, ay - y), (bx - x, by - y))))
+        self.wide = max(float(np.ptp(t)) for t in self.t)
+
+    def apart(self) -> bool:
+        """Whether an arc around a cell of one block is nearly straight in the other, and all of it ahead."""
+        return self.far >= APART * self.wide and self.s[0].max() < self.s[1].min()
+
+    def strips(self, cells: int) -> int:
+        """Strips that balance the search in them against the pairs left to measure."""
+        deep = max(float(np.ptp(self.s[1])), 1e-9)
+        return int(np.clip(math.sqrt(self.wide / self.far * self.wide / deep * cells / 6), 1, max(1, min(MOST_STRIPS, cells))))
+
+
+def _measure_apart(
+    left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], seen: Seen, bands: Bands, kinds: int
+) -> np.ndarray:
+    """Pairs (left, right) by band and types, for blocks that ``seen.apart()``.
+
+    The right block lies in strips across the line, each ordered along it. Within a limit of
+    a cell lie the cells of a strip up to some place; from the bounds of the strip follow a
+    place before which all are within and one after which none is, both looked up in a table.
+    Cells up to the first are counted by type from running totals, those between are measured. ``SLACK``
+    covers the rounding of the frame.
+    """
+    order = np.argsort(seen.s[0])
+    ax, ay, kind = (v[order] for v in left)
+    along, across = seen.s[0][order], seen.t[0][order]
+    m, size = seen.strips(len(right[0])), len(right[0])
+    strip = np.empty(size, np.int64)
+    strip[np.argsort(seen.t[1])] = np.arange(size) * m // size
+    order = np.lexsort((seen.s[1], strip))
+    bx, by, other = (v[order] for v in right)
+    s, t = seen.s[1][order], seen.t[1][order]
+    cuts = np.searchsorted(strip[order], np.arange(m + 1))
+    # A strip is cut into cells along the line: held has the cells of the strip before each, twice at its ends.
+    s0, n_cells = s[cuts[:-1]].min(), 4 * max(1, size // m)
+    per = n_cells / max(float(s.max()) - s0, 1e-9)
+    cell = np.minimum(((s - s0) * per).astype(np.int64), n_cells - 1)
+    held = np.zeros((m, n_cells + 3), np.int64)
+    np.add.at(held, (strip[order], cell + 2), 1)
+    np.cumsum(held, axis=1, out=held)
+    held += cuts[:-1, None]
+    row = np.arange(m)[:, None] * (n_cells + 3)
+
+    def cell_of(along: np.ndarray) -> np.ndarray:
+        """Place in ``held`` whose count is of cells before ``along`` for sure; the next one has all that may be."""
+        along -= s0
+        along *= per
+        np.clip(along, -1, n_cells, out=along)
+        along += 1
+        return along.astype(np.int64) + row
+
+    t0, t1 = np.minimum.reduceat(t, cuts[:-1])[:, None], np.maximum.reduceat(t, cuts[:-1])[:, None]
+    near = np.square(np.maximum(np.maximum(t0 - across, across - t1), 0.0))
+    wide = np.square(np.maximum(across - t0, t1 - across))
+    upto = np.zeros((size + 1, kinds))
+    upto[np.arange(1, size + 1), other] = 1
+    np.cumsum(upto, axis=0, out=upto)
+    each = np.bincount(kind, minlength=kinds).astype(float)
+    before = np.outer(each, upto[cuts[:-1]].sum(axis=0))
+    place = np.tile(kind.astype(np.int64) * (size + 1), m)
+    wide_kind = kind.astype(np.int64) * kinds
+    out = np.empty((bands.n + 1, kinds, kinds))
+    across_most = 2 * math.sqrt(wide.max())
+    low, high = s[cuts[:-1]].min() - along[-1], s.max() - along[0]
+    gap, reach = math.sqrt(max(low, 0.0) ** 2 + near.min()), math.sqrt(high * high + wide.max())
+    for k in range(bands.n + 1):
+        limit = bands.limits[k]
+        if limit < gap * (1 - SLACK) or limit > reach * (1 + SLACK):
+            out[k] = 0.0 if limit < gap else np.outer(each, upto[-1])
+            continue
+        square, slack = limit * limit, SLACK * limit
+        inner = np.sqrt(np.maximum(square - wide, 0.0))
+        inner += along - slack
+        outer = np.sqrt(np.maximum(square - near, 0.0))
+        outer += along + slack
+        sure = held.take(cell_of(inner))
+        open_ = held.take(cell_of(outer) + 1)
+        if limit < across_most:  # beyond the sides of a strip there is nothing
+            sure = np.where(wide <= square, sure, cuts[:-1, None])
+            open_ = np.where(near <= square * (1 + SLACK), open_, cuts[:-1, None])
+        sure, open_ = sure.ravel(), open_.ravel()
+        counted = np.bincount(place + sure, minlength=kinds * (size + 1)).reshape(kinds, size + 1)
+        out[k] = counted.astype(float) @ upto - before
+        some = np.flatnonzero(open_ > sure)
+        counts = open_[some] - sure[some]
+        ends = np.cumsum(counts)
+        done = 0
+        while done < len(some):
+            stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + MEASURED, side="right")))
+            c, at = counts[done:stop], some[done:stop]
+            a = np.repeat(at % len(ax), c)
+            b = np.repeat(sure[at] - (np.cumsum(c) - c), c)
+            b += np.arange(len(b))
+            hit = _squares(ax.take(a) - bx.take(b), ay.take(a) - by.take(b)) <= bands.square[k]
+            pair = wide_kind.take(a[hit])
+            pair += other.take(b[hit])
+            out[k] += np.bincount(pair, minlength=kinds * kinds).reshape(kinds, kinds)
+            done = stop
+    return np.diff(out, axis=0).astype(np.int64)
+
+
 def _gap(a0: str, a1: str, b0: str, b1: str) -> tuple[Column, Column]:
     """Smallest and largest distance between two intervals."""
     low = F.greatest(
@@ -312,6 +429,11 @@ def pair_counts(
         left = Group(row.lids, row.lsizes, row.lxs, row.lys, row.lts, kinds)
         right = left if row.alone else Group(row.rids, row.rsizes, row.rxs, row.rys, row.rts, kinds)
         for first, second in zip(row.firsts, row.seconds):
+            seen = Seen(left.cells[first], right.cells[second])
+            if seen.apart():
+                hits = _measure_apart(left.cells[first], right.cells[second], seen, bands, kinds)
+                total += hits + hits.transpose(0, 2, 1)
+                continue
             flat = left.flat(first, right, second)
             hits = _measure(left.nodes(first, flat), right.nodes(second, flat), bands, kinds)
             total += hits if first == second else hits + hits.transpose(0, 2, 1)

@@ -143,6 +143,39 @@ def test_cooccurrence_sends_blocks_once_a_group(spark, monkeypatch):
     assert sent[0].count() < blocks * blocks / 8
 
 
+def test_blocks_apart_measure_few_pairs(monkeypatch):
+    """Counts of pairs by band are exact, lattice distances on a limit among them; few distances are taken."""
+    rng = np.random.default_rng(11)
+    limits = np.array([0.0, 5.0, 60.0, 100.0, 130.0, 131.0, 250.0, 300.0])
+    bands, measured, squares = cooccurrence.Bands(limits), [], cooccurrence._squares
+    monkeypatch.setattr(cooccurrence, "_squares", lambda dx, dy: measured.append(dx.size) or squares(dx, dy))
+    apart = 0
+    for case in range(60):
+        sizes = rng.integers(1, 400, 2)
+        at = rng.choice([40, 90, 200]) * np.array([np.cos(case), np.sin(case)])
+        sides = [rng.choice([1, 9, 50], 2) for _ in range(2)]
+        xy = [rng.uniform(0, 1, (n, 2)) * side + (at if i else 0) for i, (n, side) in enumerate(zip(sizes, sides, strict=True))]
+        if case % 2:
+            xy = [np.round(v) for v in xy]
+        left, right = ((v[:, 0].copy(), v[:, 1].copy(), rng.integers(0, 3, len(v)).astype(np.int32)) for v in xy)
+        seen = cooccurrence.Seen(left, right)
+        if not seen.apart():
+            continue
+        apart += 1
+        got = cooccurrence._measure_apart(left, right, seen, bands, 3)
+        up = np.ceil(np.sqrt((left[0][:, None] - right[0]) ** 2 + (left[1][:, None] - right[1]) ** 2))
+        for k in range(bands.n):
+            hit = (up > limits[k]) & (up <= limits[k + 1])
+            want = np.zeros((3, 3), np.int64)
+            np.add.at(want, (left[2][np.nonzero(hit)[0]], right[2][np.nonzero(hit)[1]]), 1)
+            assert (got[k] == want).all()
+    assert apart > 30
+    measured.clear()
+    left, right = ((rng.uniform(0, 600, 4096), rng.uniform(0, 600, 4096) + y, rng.integers(0, 3, 4096).astype(np.int32)) for y in (0, 5000))
+    cooccurrence._measure_apart(left, right, cooccurrence.Seen(left, right), cooccurrence.Bands(np.array([0.0, 4900.0, 5000.0])), 3)
+    assert sum(measured) < 2 * 4096 * 4096 / 50
+
+
 def test_triangulation_has_empty_circles():
     rng = np.random.default_rng(5)
     for n, side in ((6, 3), (60, 12), (400, 4000)):
